@@ -59,6 +59,19 @@ class Inputs:
     def capped(self) -> DataFrame:
         return apply_budget(self.clean_table(), self.caps())
 
+    def corpus_input(self, policy: tuple[str, ...] = ()) -> DataFrame:
+        """Clean-shard lines of kept documents: (source, shard, pos, text[, policy cols]).
+
+        Built on the materialised clean table (phase 2 reads it several times).
+        The budget cap is a phase-1 policy; the corpus queries run on all kept
+        documents so their work grows with the input.
+        """
+        from tessera.functions.text import flatten_newlines
+        c = self.clean_table().where("kept").select("source", "shard", "pos", flatten_newlines(F.col("text")).alias("text"))
+        if policy:
+            c = R.attach_policy(c, self.registry, policy)
+        return c
+
     def first_n(self, n: int) -> DataFrame:
         """First n raw records per source in record order (sampling operator)."""
         from pyspark.sql import Window
