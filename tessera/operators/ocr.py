@@ -45,9 +45,10 @@ def ocr_ratio_join(df: DataFrame, keys: list[str], text_col: str, dictionary: Da
                    cfg: C.CleanConfig = C.CleanConfig(), dictionary_rows: int | None = None) -> DataFrame:
     """Per-row non-word ratio by a join: ``keys + [n_tokens, n_nonword, nonword_ratio]``.
 
-    Rows with fewer than ``ocr_min_tokens`` tokens (or an empty dictionary) get
-    ratio 0.0 without being exploded. The dictionary is broadcast only below the
-    configured row bound; above it the join shuffles on the word.
+    One pass: rows with fewer than ``ocr_min_tokens`` tokens keep one row with a
+    NULL word (ratio 0.0); the others explode to one row per token, left-join
+    the dictionary (broadcast below the configured bound, shuffled above it),
+    and re-aggregate per row with map-side partial aggregation.
     """
     if dictionary_rows is None:
         dictionary_rows = dictionary.count()
@@ -56,20 +57,17 @@ def ocr_ratio_join(df: DataFrame, keys: list[str], text_col: str, dictionary: Da
     if dictionary_rows == 0:
         return toks.select(*keys, "n_tokens", F.lit(0).cast("bigint").alias("n_nonword"),
                            F.lit(0.0).alias("nonword_ratio"))
-    short = toks.where(F.col("n_tokens") < cfg.ocr_min_tokens).select(
-        *keys, "n_tokens", F.lit(None).cast("bigint").alias("n_nonword"))
-    long_ = toks.where(F.col("n_tokens") >= cfg.ocr_min_tokens)
-    exploded = long_.select(*keys, "n_tokens", F.explode("_toks").alias("word"))
+    long_enough = F.col("n_tokens") >= cfg.ocr_min_tokens
+    exploded = toks.select(*keys, "n_tokens", F.explode_outer(F.when(long_enough, F.col("_toks"))).alias("word"))
     d = dictionary.select("word", F.lit(True).alias("_in")).distinct()
     if dictionary_rows <= cfg.max_broadcast_dictionary:
         d = F.broadcast(d)
     joined = exploded.join(d, "word", "left")
-    scored = joined.groupBy(*keys, "n_tokens").agg(
-        F.sum(F.when(F.col("_in").isNull(), 1).otherwise(0)).cast("bigint").alias("n_nonword"))
-    both = scored.unionByName(short)
-    return both.select(*keys, "n_tokens", F.coalesce("n_nonword", F.lit(0)).cast("bigint").alias("n_nonword"),
-                       F.when(F.col("n_tokens") < cfg.ocr_min_tokens, F.lit(0.0))
-                       .otherwise(F.col("n_nonword") / F.col("n_tokens")).alias("nonword_ratio"))
+    miss = F.when(F.col("word").isNotNull() & F.col("_in").isNull(), 1).otherwise(0)
+    scored = joined.groupBy(*keys, "n_tokens").agg(F.sum(miss).cast("bigint").alias("n_nonword"))
+    return scored.select(*keys, "n_tokens", "n_nonword",
+                         F.when(F.col("n_tokens") < cfg.ocr_min_tokens, F.lit(0.0))
+                         .otherwise(F.col("n_nonword") / F.col("n_tokens")).alias("nonword_ratio"))
 
 
 def broadcast_dictionary(dictionary: DataFrame, cfg: C.CleanConfig = C.CleanConfig()):

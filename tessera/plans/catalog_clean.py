@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from tessera import config as C
 from tessera.functions import text as X
+from tessera.operators import ocr as O
 from tessera.operators.clean import clean_documents, clean_stages
 from tessera.plans import oracle as Q
 from tessera.plans import reports as REP
 from tessera.plans.inputs import Inputs
+from tessera.session import cut_lineage
 from tessera.sources import registry as R
 
 # ----------------------------------------------------------------------------
@@ -150,7 +152,36 @@ def q_phase1_report(spark: SparkSession, d: str) -> DataFrame:
     return REP.phase1_report(Inputs(spark, d).capped())
 
 
+def _pre_ocr_kept(i: Inputs, first_n: int | None = None) -> DataFrame:
+    """Documents of strict-OCR sources that pass every gate before OCR (sweep input)."""
+    raw = i.raw_with_policy().where("strict_ocr").drop("strict_ocr")
+    if first_n is not None:
+        w = Window.partitionBy("source").orderBy("shard", "pos")
+        raw = raw.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= first_n).drop("_rn")
+    # materialised: the pre-OCR result is a phase output read by the gate
+    return cut_lineage(clean_documents(raw, None, None)).where("kept")
+
+
+def q_dictionary_build(spark: SparkSession, d: str) -> DataFrame:
+    return Inputs(spark, d).dictionary
+
+
+def q_ocr_gate(spark: SparkSession, d: str) -> DataFrame:
+    i = Inputs(spark, d)
+    r = O.ocr_ratio_join(_pre_ocr_kept(i), ["source", "shard", "pos"], "text", i.dictionary)
+    return r.withColumn("ocr", F.col("nonword_ratio") > F.lit(C.NONWORD_RATIO_MAX))
+
+
+def q_ocr_threshold_sweep(spark: SparkSession, d: str) -> DataFrame:
+    i = Inputs(spark, d)
+    r = O.ocr_ratio_join(_pre_ocr_kept(i, C.OCR_SAMPLE_N), ["source", "shard", "pos"], "text", i.dictionary)
+    return O.threshold_sweep(r.where(F.col("n_tokens") >= C.OCR_MIN_TOKENS))
+
+
 QUERIES = {
+    "dictionary_build": q_dictionary_build,
+    "ocr_gate": q_ocr_gate,
+    "ocr_threshold_sweep": q_ocr_threshold_sweep,
     "source_policy": q_source_policy,
     "shard_plan": q_shard_plan,
     "first_n_sample": q_first_n_sample,
@@ -302,3 +333,37 @@ SQL = {
 SQL["clean_flatten"] = f"""
         {Q.clean_ctes()}, {Q.caps_cte().strip()}, {Q.CAPPED.strip()}
         SELECT source, shard, pos, trim(replace(text, chr(10), ' ')) AS line FROM capped WHERE kept"""
+
+
+_PRE_OCR = Q.clean_ctes(strict=False) + f""",
+cand AS (SELECT source, shard, pos, text FROM cleaned WHERE kept AND {Q.policy_case('strict_ocr')}),
+{Q.DICT.strip()},
+ot AS (SELECT source, shard, pos, list_transform(regexp_extract_all(text, '[A-Za-z]{{3,}}'), lambda t: lower(t)) AS toks
+       FROM cand),
+ox AS (SELECT source, shard, pos, len(toks) AS nt, unnest(toks) AS word FROM ot WHERE len(toks) >= {C.OCR_MIN_TOKENS}),
+om AS (SELECT ox.source, ox.shard, ox.pos, CAST(count(*) FILTER (WHERE dict.word IS NULL) AS BIGINT) AS n_nonword
+       FROM ox LEFT JOIN dict ON ox.word = dict.word GROUP BY ox.source, ox.shard, ox.pos),
+ocr_all AS (SELECT ot.source, ot.shard, ot.pos, CAST(len(ot.toks) AS INTEGER) AS n_tokens,
+                   CASE WHEN len(ot.toks) < {C.OCR_MIN_TOKENS} THEN CAST(0 AS BIGINT) ELSE coalesce(om.n_nonword, 0) END
+                     AS n_nonword,
+                   CASE WHEN len(ot.toks) < {C.OCR_MIN_TOKENS} THEN CAST(0.0 AS DOUBLE)
+                        ELSE CAST(coalesce(om.n_nonword, 0) AS DOUBLE) / len(ot.toks) END AS nonword_ratio
+            FROM ot LEFT JOIN om ON ot.source = om.source AND ot.shard = om.shard AND ot.pos = om.pos)"""
+
+SQL["dictionary_build"] = "WITH " + Q.DICT.strip() + "\nSELECT word FROM dict"
+SQL["ocr_gate"] = _PRE_OCR + f"""
+SELECT source, shard, pos, n_tokens, n_nonword, nonword_ratio, nonword_ratio > CAST({C.NONWORD_RATIO_MAX} AS DOUBLE) AS ocr
+FROM ocr_all"""
+_SWEEP_SRC = _PRE_OCR.replace(
+    "cand AS (SELECT source, shard, pos, text FROM cleaned WHERE kept AND",
+    "cand AS (SELECT source, shard, pos, text FROM cleaned WHERE kept AND pos IN (SELECT pos FROM first_n) AND")
+SQL["ocr_threshold_sweep"] = _SWEEP_SRC.replace(
+    "WITH raw AS (SELECT", "WITH raw AS (SELECT", 1).replace(
+    "s2 AS (SELECT", "first_n AS (SELECT pos FROM (SELECT pos, row_number() OVER (PARTITION BY source ORDER BY shard, pos) AS rn "
+    f"FROM raw WHERE {Q.policy_case('strict_ocr')}) WHERE rn <= {C.OCR_SAMPLE_N}),\ns2 AS (SELECT", 1) + """,
+sc AS (SELECT nonword_ratio FROM ocr_all WHERE n_tokens >= """ + str(C.OCR_MIN_TOKENS) + """),
+th(threshold) AS (VALUES """ + ", ".join(f"(CAST({t} AS DOUBLE))" for t in C.OCR_SWEEP_THRESHOLDS) + """)
+SELECT threshold, (SELECT count(*) FROM sc) AS scored,
+       CAST((SELECT count(*) FROM sc WHERE nonword_ratio > threshold) AS BIGINT) AS dropped,
+       CAST((SELECT count(*) FROM sc WHERE nonword_ratio > threshold) AS DOUBLE) / (SELECT count(*) FROM sc) AS share
+FROM th"""
