@@ -178,7 +178,23 @@ def q_ocr_threshold_sweep(spark: SparkSession, d: str) -> DataFrame:
     return O.threshold_sweep(r.where(F.col("n_tokens") >= C.OCR_MIN_TOKENS))
 
 
+def q_clean_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The clean phase as a Structured Streaming query (file source -> Parquet sink,
+    availableNow trigger, checkpointed); returns what the sink wrote."""
+    import uuid
+
+    from tessera.session import checkpoint_dir
+    from tessera.streaming import clean_stream as S
+    i = Inputs(spark, d)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/clean_stream-{uuid.uuid4().hex}"
+    cleaned = S.clean_stream(S.raw_stream(spark, f"{d.rstrip('/')}/documents.parquet"), i.registry, i.dictionary)
+    q = S.start_clean_sink(cleaned, f"{base}/out", f"{base}/chk")
+    q.awaitTermination()
+    return spark.read.schema(cleaned.schema).parquet(f"{base}/out")
+
+
 QUERIES = {
+    "clean_stream": q_clean_stream,
     "dictionary_build": q_dictionary_build,
     "ocr_gate": q_ocr_gate,
     "ocr_threshold_sweep": q_ocr_threshold_sweep,
@@ -330,6 +346,7 @@ SQL = {
         FROM ps GROUP BY ROLLUP (source)""",
 }
 
+SQL["clean_stream"] = SQL["clean_documents"]
 SQL["clean_flatten"] = f"""
         {Q.clean_ctes()}, {Q.caps_cte().strip()}, {Q.CAPPED.strip()}
         SELECT source, shard, pos, trim(replace(text, chr(10), ' ')) AS line FROM capped WHERE kept"""

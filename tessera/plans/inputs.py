@@ -72,6 +72,13 @@ class Inputs:
             c = R.attach_policy(c, self.registry, policy)
         return c
 
+    def corpus(self) -> DataFrame:
+        """Phase-2 output (kept rows: source, shard, pos, text), materialised once."""
+        from tessera.plans.corpus import build_corpus, corpus_rows
+        built = build_corpus(self.corpus_input(policy=("near_dup", "decontaminate")), self.table("benchmark"),
+                             self.cfg.dedup)
+        return cut_lineage(corpus_rows(built))
+
     def first_n(self, n: int) -> DataFrame:
         """First n raw records per source in record order (sampling operator)."""
         from pyspark.sql import Window
