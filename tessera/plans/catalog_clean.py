@@ -187,7 +187,7 @@ def q_clean_stream(spark: SparkSession, d: str) -> DataFrame:
     from tessera.streaming import clean_stream as S
     i = Inputs(spark, d)
     base = f"{checkpoint_dir(spark).rstrip('/')}/clean_stream-{uuid.uuid4().hex}"
-    cleaned = S.clean_stream(S.raw_stream(spark, f"{d.rstrip('/')}/documents.parquet"), i.registry, i.dictionary)
+    cleaned = S.clean_stream(S.raw_stream(spark, d, "documents.parquet"), i.registry, i.dictionary)
     q = S.start_clean_sink(cleaned, f"{base}/out", f"{base}/chk")
     q.awaitTermination()
     return spark.read.schema(cleaned.schema).parquet(f"{base}/out")

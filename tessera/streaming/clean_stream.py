@@ -19,13 +19,13 @@ from tessera.operators.clean import clean_documents
 from tessera.sources.tables import SCHEMAS
 
 
-def raw_stream(spark: SparkSession, path: str, n_shards: int = C.FIXTURE_SHARDS,
-               max_files_per_trigger: int | None = None) -> DataFrame:
-    """Documents table read as a stream (fixture adapter applied)."""
-    r = spark.readStream.schema(SCHEMAS["documents"])
+def raw_stream(spark: SparkSession, directory: str, file_glob: str = "documents*.parquet",
+               n_shards: int = C.FIXTURE_SHARDS, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Documents files of a directory read as a stream (fixture adapter applied)."""
+    r = spark.readStream.schema(SCHEMAS["documents"]).option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    docs = r.parquet(path)
+    docs = r.parquet(directory)
     return docs.select("source", F.pmod(F.col("doc_id"), F.lit(n_shards)).cast("int").alias("shard"),
                        F.col("doc_id").alias("pos"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
