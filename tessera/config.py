@@ -89,8 +89,8 @@ class DedupConfig:
     rows: int = 10
     decontam_ngram: int = DECONTAM_NGRAM
     max_broadcast_grams: int = 5_000_000
-    # greedy near-dup loop: rounds between lineage cuts
-    checkpoint_every: int = 1
+    # greedy near-dup loop: rounds between reliable checkpoints (persisted in between)
+    checkpoint_every: int = 4
     max_rounds: int = 10_000
 
 

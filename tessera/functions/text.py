@@ -44,6 +44,15 @@ def lit_re(pattern: str) -> Column:
     return F.lit(pattern)
 
 
+def filter_after(df: DataFrame, cond: Column) -> DataFrame:
+    """Filter on columns computed by expensive projections without the optimizer
+    pushing the predicate (with the expressions inlined) below them, which would
+    evaluate them twice. The fence is a cheap non-deterministic column the
+    predicate references, so the projection computing it is not crossed."""
+    fenced = df.withColumn("_fence", F.spark_partition_id())
+    return fenced.where(cond & F.col("_fence").isNotNull()).drop("_fence")
+
+
 def coerce_text(c: Column) -> Column:
     """``record.get(field) or ""`` then ``str(x)``: null becomes the empty string."""
     return F.coalesce(c.cast("string"), F.lit(""))

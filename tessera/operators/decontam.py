@@ -38,7 +38,8 @@ def contaminated_keys(docs: DataFrame, grams: DataFrame, keys: list[str], text_c
         gram_rows = grams.count()
     if gram_rows == 0:
         return docs.select(*keys).limit(0)
-    w = docs.select(*keys, X.dedup_words(F.col(text_col)).alias("_w")).where(F.size("_w") >= n)
+    # fewer than n words -> no grams -> no row after the explode (no filter needed)
+    w = docs.select(*keys, X.dedup_words(F.col(text_col)).alias("_w"))
     ex = w.select(*keys, F.explode(X.word_ngrams_joined(F.col("_w"), n)).alias("gram"))
     g = grams.select("gram")
     if gram_rows <= cfg.max_broadcast_grams:

@@ -76,10 +76,13 @@ def greedy_first_wins(members: DataFrame, cfg: C.DedupConfig = C.DedupConfig())
     sequential rule (an earlier kept neighbour always decides first) and
     finishes in few rounds. Returns ``(source, rank, kept)``.
     """
+    from pyspark import StorageLevel
+
     spark = members.sparkSession
     undecided = cut_lineage(members)
     decided_parts = []
-    for _ in range(cfg.max_rounds):
+    held: list[DataFrame] = []
+    for rnd in range(1, cfg.max_rounds + 1):
         if undecided.isEmpty():
             break
         bucket_min = undecided.groupBy("source", "band", "bucket").agg(F.min("rank").alias("_mr"))
@@ -90,11 +93,17 @@ def greedy_first_wins(members: DataFrame, cfg: C.DedupConfig = C.DedupConfig())
                         .select("source", "band", "bucket").distinct())
         touched = (undecided.join(kept_buckets, ["source", "band", "bucket"], "left_semi")
                    .select("source", "rank").distinct())
-        decided = cut_lineage(
-            touched.join(newly_kept.withColumn("kept", F.lit(True)), ["source", "rank"], "left")
-            .select("source", "rank", F.coalesce("kept", F.lit(False)).alias("kept")))
+        decided = (touched.join(newly_kept.withColumn("kept", F.lit(True)), ["source", "rank"], "left")
+                   .select("source", "rank", F.coalesce("kept", F.lit(False)).alias("kept")))
+        # persisted every round (recomputable), reliable checkpoint every few rounds (bounded lineage)
+        if rnd % cfg.checkpoint_every == 0:
+            decided = cut_lineage(decided)
+            undecided = cut_lineage(undecided.join(decided, ["source", "rank"], "left_anti"))
+        else:
+            decided = decided.persist(StorageLevel.MEMORY_AND_DISK)
+            undecided = undecided.join(decided, ["source", "rank"], "left_anti").persist(StorageLevel.MEMORY_AND_DISK)
+            held += [decided, undecided]
         decided_parts.append(decided)
-        undecided = cut_lineage(undecided.join(decided, ["source", "rank"], "left_anti"))
     if not decided_parts:
         return spark.createDataFrame([], "source string, rank struct<shard:int,pos:bigint>, kept boolean")
     out = decided_parts[0]

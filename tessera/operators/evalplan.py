@@ -56,6 +56,21 @@ def epoch_plan(windows: DataFrame, world_size: int = 8, per_gpu_windows: int = 6
     return plan.where((F.col("step") < steps) & (F.col("step") >= start_step))
 
 
+def eval_window_plan(windows: DataFrame, world_size: int = 8, n_windows: int = 64) -> DataFrame:
+    """Validation windows read by the in-training check: the flat validation index
+    (files in (source, tok_shard) order, windows in order) strided over ranks, the
+    first ``n_windows`` per rank. Dense index via counts per file -> running total
+    over files -> row number inside a file (no global sort)."""
+    from tessera.operators.pack import prefix_sum
+
+    val = windows.where(F.col("split") == "val").select("source", "tok_shard", "window_id")
+    g = prefix_sum(val, [], ["window_id"], F.lit(1), F.struct("source", "tok_shard"), "global_idx")
+    return (g.select("source", "tok_shard", "window_id", "global_idx",
+                     F.pmod(F.col("global_idx"), F.lit(world_size)).cast("int").alias("rank"),
+                     F.floor(F.col("global_idx") / world_size).cast("bigint").alias("slot"))
+            .where(F.col("slot") < n_windows))
+
+
 def unigram_losses(windows: DataFrame, vocab_size: int) -> DataFrame:
     """Add-one-smoothed unigram model fitted on train windows; mean -log p per val window.
 

@@ -25,7 +25,8 @@ def prefix_sum(df: DataFrame, group: list[str], order: list[str], value: Column,
     """
     d = df.withColumn("_v", value).withColumn("_b", bucket)
     tot = d.groupBy(*group, "_b").agg(F.sum("_v").alias("_bt"))
-    wb = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    # the bucket table is small (one row per bucket); with no group it is one window
+    wb = (Window.partitionBy(*group) if group else Window).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.withColumn("_bo", F.coalesce(F.sum("_bt").over(wb), F.lit(0))).drop("_bt")
     wi = Window.partitionBy(*group, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (d.join(tot, group + ["_b"])

@@ -128,7 +128,7 @@ def q_repetition_ratio(spark: SparkSession, d: str) -> DataFrame:
     out = rep.select("source", "pos", F.size("_rep_words").cast("bigint").alias("n_words"),
                      F.size("_rep_grams").cast("bigint").alias("n_grams"),
                      F.col("_rep_top").cast("bigint").alias("top_count"), F.col("_rep_ratio").alias("ratio"))
-    return out.where(F.col("n_words") >= 2 * C.REPETITION_NGRAM) \
+    return X.filter_after(out, F.col("n_words") >= 2 * C.REPETITION_NGRAM) \
         .withColumn("repetitive", F.col("ratio") > F.lit(C.MAX_REPETITION_RATIO))
 
 

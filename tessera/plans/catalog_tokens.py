@@ -25,6 +25,7 @@ L = C.FIXTURE_SEQ_LEN
 VAL_EVERY = C.FIXTURE_VAL_EVERY
 V = C.FIXTURE_VOCAB_SIZE
 WORLD, PER_GPU, MICRO = 8, 8, 4
+EVAL_WINDOWS = 4
 
 
 def word_ids(text, vocab: int = V):
@@ -123,7 +124,12 @@ def q_perplexity_rollup(spark: SparkSession, d: str) -> DataFrame:
     return EP.perplexity_rollup(EP.unigram_losses(_windows(spark, d), V))
 
 
+def q_eval_windows(spark: SparkSession, d: str) -> DataFrame:
+    return EP.eval_window_plan(_windows(spark, d), WORLD, EVAL_WINDOWS)
+
+
 QUERIES = {
+    "eval_windows": q_eval_windows,
     "pretoken_counts": q_pretoken_counts,
     "bpe_train": q_bpe_train,
     "vocab_layout": q_vocab_layout,
@@ -208,3 +214,11 @@ SELECT coalesce(source, 'TOTAL') AS source, count(*) AS windows, round(sum(loss)
        round(exp(sum(loss) / count(*)), 6) AS perplexity
 FROM wl GROUP BY ROLLUP (source)""",
 }
+
+SQL["eval_windows"] = LINES + f""",
+vw AS (SELECT source, tok_shard, window_id,
+              CAST(row_number() OVER (ORDER BY source, tok_shard, window_id) - 1 AS BIGINT) AS global_idx
+       FROM win WHERE split = 'val')
+SELECT source, tok_shard, window_id, global_idx, CAST(global_idx % {WORLD} AS INTEGER) AS rank,
+       CAST(global_idx // {WORLD} AS BIGINT) AS slot
+FROM vw WHERE global_idx // {WORLD} < {EVAL_WINDOWS}"""
