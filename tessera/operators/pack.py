@@ -74,14 +74,14 @@ def pack_windows(docs: DataFrame, ids_col: str = "ids", seq_len: int = C.SEQ_LEN
 
 
 def token_index(windows: DataFrame, seq_len: int = C.SEQ_LEN) -> DataFrame:
-    """Per (source, tok_shard) window and token counts by split, plus a TOTAL row."""
+    """Per (source, tok_shard) window and token counts by split, plus a TOTAL row
+    (one aggregate over grouping sets)."""
     is_val = F.col("split") == "val"
-    per = windows.groupBy("source", "tok_shard").agg(
+    g = windows.groupingSets([["source", "tok_shard"], []], "source", "tok_shard").agg(
         F.sum((~is_val).cast("int")).cast("bigint").alias("train_windows"),
-        F.sum(is_val.cast("int")).cast("bigint").alias("val_windows"))
-    per = per.withColumn("train_tokens", F.col("train_windows") * seq_len) \
-        .withColumn("val_tokens", F.col("val_windows") * seq_len)
-    cols = ["train_windows", "val_windows", "train_tokens", "val_tokens"]
-    tot = per.agg(*[F.sum(c).cast("bigint").alias(c) for c in cols])
-    return per.select(F.col("source"), F.col("tok_shard"), *cols).unionByName(
-        tot.select(F.lit("TOTAL").alias("source"), F.lit(None).cast("int").alias("tok_shard"), *cols))
+        F.sum(is_val.cast("int")).cast("bigint").alias("val_windows"),
+        F.grouping("source").alias("_g"))
+    return g.select(F.when(F.col("_g") == 1, F.lit("TOTAL")).otherwise(F.col("source")).alias("source"),
+                    "tok_shard", "train_windows", "val_windows",
+                    (F.col("train_windows") * seq_len).alias("train_tokens"),
+                    (F.col("val_windows") * seq_len).alias("val_tokens"))

@@ -53,10 +53,11 @@ def q_near_dups(spark: SparkSession, d: str) -> DataFrame:
 
 def q_near_dup_counts(spark: SparkSession, d: str) -> DataFrame:
     nd = q_near_dups(spark, d)
-    per = nd.groupBy("source").agg(F.count(F.lit(1)).alias("docs"),
-                                   F.sum(F.col("near_dup").cast("int")).cast("bigint").alias("near_dups"))
-    tot = per.agg(F.sum("docs").cast("bigint").alias("docs"), F.sum("near_dups").cast("bigint").alias("near_dups"))
-    return per.unionByName(tot.select(F.lit(REP.TOTAL).alias("source"), "docs", "near_dups"))
+    g = nd.rollup("source").agg(F.count(F.lit(1)).alias("docs"),
+                                F.sum(F.col("near_dup").cast("int")).cast("bigint").alias("near_dups"),
+                                F.grouping("source").alias("_g"))
+    return g.select(F.when(F.col("_g") == 1, F.lit(REP.TOTAL)).otherwise(F.col("source")).alias("source"),
+                    "docs", "near_dups")
 
 
 def q_build_corpus(spark: SparkSession, d: str) -> DataFrame:

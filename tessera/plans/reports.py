@@ -13,10 +13,12 @@ PHASE2_REASONS = ("near_dup", "exact_dup", "contaminated", "kept")
 
 
 def drop_report(clean: DataFrame) -> DataFrame:
-    """Documents per (source, reason) plus a TOTAL row per reason."""
-    return (clean.groupBy("source", "reason").agg(F.count(F.lit(1)).alias("docs"))
-            .unionByName(clean.groupBy("reason").agg(F.count(F.lit(1)).alias("docs"))
-                         .select(F.lit(TOTAL).alias("source"), "reason", "docs")))
+    """Documents per (source, reason) plus a TOTAL row per reason: one aggregate
+    over grouping sets, so the chain below is computed once."""
+    g = clean.groupingSets([["source", "reason"], ["reason"]], "source", "reason") \
+        .agg(F.count(F.lit(1)).alias("docs"), F.grouping("source").alias("_g"))
+    return g.select(F.when(F.col("_g") == 1, F.lit(TOTAL)).otherwise(F.col("source")).alias("source"),
+                    "reason", "docs")
 
 
 def shard_stats(clean: DataFrame) -> DataFrame:
