@@ -45,12 +45,13 @@ def lit_re(pattern: str) -> Column:
 
 
 def filter_after(df: DataFrame, cond: Column) -> DataFrame:
-    """Filter on columns computed by expensive projections without the optimizer
-    pushing the predicate (with the expressions inlined) below them, which would
-    evaluate them twice. The fence is a cheap non-deterministic column the
-    predicate references, so the projection computing it is not crossed."""
-    fenced = df.withColumn("_fence", F.spark_partition_id())
-    return fenced.where(cond & F.col("_fence").isNotNull()).drop("_fence")
+    """Keep rows where ``cond`` holds, evaluated *after* the projections that
+    compute its inputs. A plain filter would be pushed (with the expressions
+    inlined) below them and below any repartition, evaluating them twice and in
+    the scan tasks. Dropping rows through a generator (one element when kept,
+    none otherwise) is not a predicate, so it stays where it is written."""
+    keep = F.explode(F.when(cond, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))
+    return df.withColumn("_keep", keep).drop("_keep")
 
 
 def coerce_text(c: Column) -> Column:

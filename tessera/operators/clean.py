@@ -57,7 +57,7 @@ def clean_documents(raw: DataFrame, dictionary: DataFrame | None = None, strict_
                 "_ocr", O.nonword_ratio_column(F.when(gate_in, F.col("_s2")), bc, cfg))
         elif n_words > 0:
             # dictionary too large to broadcast: join form, narrow result joined back
-            cand = staged.where(gate_in).select("source", "shard", "pos", "_s2")
+            cand = X.filter_after(staged, gate_in).select("source", "shard", "pos", "_s2")
             r = O.ocr_ratio_join(cand, ["source", "shard", "pos"], "_s2", dictionary, cfg, n_words)
             staged = staged.join(r.select("source", "shard", "pos", F.col("nonword_ratio").alias("_ocr")),
                                  ["source", "shard", "pos"], "left")
