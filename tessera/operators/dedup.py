@@ -19,6 +19,23 @@ from tessera import config as C
 from tessera.functions import text as X
 from tessera.session import cut_lineage
 
+# Document order key packed in one BIGINT: shard < 2^23, position in shard < 2^40.
+# (A BIGINT keeps min/max in hash aggregates; a struct would force sort aggregates.)
+POS_BITS = 40
+
+
+def order_key(shard: Column, pos: Column) -> Column:
+    return shard.cast("bigint") * F.lit(1 << POS_BITS) + pos.cast("bigint")
+
+
+def key_shard(k: Column) -> Column:
+    return F.shiftright(k, POS_BITS).cast("int")
+
+
+def key_pos(k: Column) -> Column:
+    return k % F.lit(1 << POS_BITS)
+
+
 # MinHash family: h(s) = first 32 bits of md5(s) mod P; perm_i(h) = (a_i*h + b_i) mod P.
 MERSENNE_P = (1 << 31) - 1
 EMPTY_SIGNATURE_VALUE = MERSENNE_P  # wordless documents: every position at the sentinel
@@ -105,7 +122,7 @@ def greedy_first_wins(members: DataFrame, cfg: C.DedupConfig = C.DedupConfig())
             held += [decided, undecided]
         decided_parts.append(decided)
     if not decided_parts:
-        return spark.createDataFrame([], "source string, rank struct<shard:int,pos:bigint>, kept boolean")
+        return spark.createDataFrame([], "source string, rank bigint, kept boolean")
     out = decided_parts[0]
     for p in decided_parts[1:]:
         out = out.unionByName(p)
@@ -122,12 +139,12 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", cfg: C.DedupConfig
     """
     if sigs is None:
         sigs = with_signature(docs.select("source", "shard", "pos", text_col), text_col, cfg)
-    sigs = sigs.select("source", F.struct("shard", "pos").alias("rank"), "sig")
+    sigs = sigs.select("source", order_key(F.col("shard"), F.col("pos")).alias("rank"), "sig")
     reps = sigs.groupBy("source", "sig").agg(F.min("rank").alias("rank"))
     decided = greedy_first_wins(band_members(reps, cfg), cfg)
     kept = decided.where("kept").select("source", "rank", F.lit(True).alias("_k"))
     return (sigs.join(kept, ["source", "rank"], "left")
-            .select("source", F.col("rank.shard").alias("shard"), F.col("rank.pos").alias("pos"),
+            .select("source", key_shard(F.col("rank")).alias("shard"), key_pos(F.col("rank")).alias("pos"),
                     F.col("_k").isNull().alias("near_dup")))
 
 
@@ -141,8 +158,8 @@ def exact_firsts(docs: DataFrame, scope: str = "shard", text_col: str = "text")
     """
     part = ["source", "shard"] if scope == "shard" else ["source"]
     h = docs.select("source", "shard", "pos", X.exact_hash(F.col(text_col)).alias("_h"))
-    firsts = (h.groupBy(*part, "_h").agg(F.min(F.struct("shard", "pos")).alias("_r"))
-              .select("source", F.col("_r.shard").alias("shard"), F.col("_r.pos").alias("pos"),
+    firsts = (h.groupBy(*part, "_h").agg(F.min(order_key(F.col("shard"), F.col("pos"))).alias("_r"))
+              .select("source", key_shard(F.col("_r")).alias("shard"), key_pos(F.col("_r")).alias("pos"),
                       F.lit(True).alias("is_first")))
     return (h.join(firsts, ["source", "shard", "pos"], "left")
             .select("source", "shard", "pos", "_h", F.coalesce("is_first", F.lit(False)).alias("is_first")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,10 +68,10 @@ def raw_records_from_files(spark: SparkSession, paths: list[str], source: str, t
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.parquet(*paths)
-    ranks = spark.createDataFrame([(p, i) for i, p in enumerate(sorted(paths))], "path string, shard int")
-    return (df.select(coerce_text(F.col(text_field)).alias("text"),
-                      F.col("_metadata.file_path").alias("path"),
-                      F.col("_metadata.row_index").alias("pos"))
-            .join(F.broadcast(ranks), F.col("path").endswith(ranks["path"]) | (F.col("path") == ranks["path"]))
-            .select(F.lit(source).alias("source"), "shard", "pos", "text"))
+    df = reader.parquet(*paths).select(coerce_text(F.col(text_field)).alias("text"),
+                                       F.col("_metadata.file_path").alias("path"),
+                                       F.col("_metadata.row_index").alias("pos"))
+    # one row per file (bounded by the file count): rank in path order, broadcast equi-join
+    files = df.select("path").distinct()
+    ranks = files.withColumn("shard", (F.row_number().over(Window.orderBy("path")) - 1).cast("int"))
+    return df.join(F.broadcast(ranks), "path").select(F.lit(source).alias("source"), "shard", "pos", "text")

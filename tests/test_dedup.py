@@ -32,9 +32,8 @@ def test_greedy_matches_sequential(spark):
                     hot = rng.random() < 0.3
                     rows.append((src, r, b, "hot" if hot and b == 0 else str(rng.randint(0, 40))))
         df = spark.createDataFrame(rows, "source string, r int, band int, bucket string") \
-            .select("source", F.struct(F.lit(0).alias("shard"), F.col("r").cast("long").alias("pos")).alias("rank"),
-                    "band", "bucket")
-        got = {(x.source, x.rank.pos): x.kept for x in DD.greedy_first_wins(df.repartition(7)).collect()}
+            .select("source", DD.order_key(F.lit(0), F.col("r")).alias("rank"), "band", "bucket")
+        got = {(x.source, x.rank): x.kept for x in DD.greedy_first_wins(df.repartition(7)).collect()}
         want = brute_greedy(rows)
         assert got == want, trial
 
@@ -77,3 +76,15 @@ def test_decontamination_13_words(spark):
     ], "pos long, text string")
     hit = {r.pos for r in DC.contaminated_keys(docs, grams, ["pos"]).collect()}
     assert hit == {1, 3}
+
+
+def test_raw_records_from_files(spark):
+    from tessera.sources.tables import raw_records_from_files
+    from tests.conftest import SF001
+    p = f"{SF001}/documents.parquet"
+    df = raw_records_from_files(spark, [p, f"{SF001}/benchmark.parquet"], "x", "text")
+    n_docs = spark.read.parquet(p).count()
+    n_bench = spark.read.parquet(f"{SF001}/benchmark.parquet").count()
+    got = df.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.max("pos").alias("mx")).orderBy("shard").collect()
+    # shards follow sorted path order: benchmark.parquet < documents.parquet
+    assert [(r.shard, r.n, r.mx) for r in got] == [(0, n_bench, n_bench - 1), (1, n_docs, n_docs - 1)]
