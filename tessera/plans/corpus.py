@@ -15,7 +15,7 @@ KEY = ["source", "shard", "pos"]
 
 
 def build_corpus(docs: DataFrame, benchmark: DataFrame, cfg: C.DedupConfig = C.DedupConfig(),
-                 exact_scope: str = "shard") -> DataFrame:
+                 exact_scope: str = "shard", sigs: DataFrame | None = None) -> DataFrame:
     """``docs(source, shard, pos, text, near_dup, decontaminate)`` -> same keys + ``reason``, ``text``.
 
     Reasons, first match wins: near_dup (only near-dup sources), contaminated
@@ -24,7 +24,7 @@ def build_corpus(docs: DataFrame, benchmark: DataFrame, cfg: C.DedupConfig = C.D
     "seen earlier among kept" is "not the first copy". All flags are computed on
     narrow key tables and joined on the unique document key.
     """
-    near = DD.near_duplicates(docs.where("near_dup").select(*KEY, "text"), "text", cfg)
+    near = DD.near_duplicates(docs.where("near_dup").select(*KEY, "text"), "text", cfg, sigs)
     grams = DC.contamination_grams(DC.benchmark_text(benchmark), cfg.decontam_ngram)
     hit = DC.contaminated_keys(docs.where("decontaminate"), grams, KEY, "text", cfg.decontam_ngram, cfg) \
         .withColumn("_contam", F.lit(True))

@@ -66,12 +66,17 @@ def run_clean(spark: SparkSession, inp: str, out: str, web_shards: int | None =
     _report(REP.shard_stats(written), f"{out}/shard_stats")
 
 
-def run_dedup(spark: SparkSession, inp: str, out: str) -> None:
-    """Phase 2: clean_docs -> corpus + phase-2 report."""
+def run_dedup(spark: SparkSession, inp: str, out: str, reuse_signatures: bool = False) -> None:
+    """Phase 2: clean_docs -> signatures (reusable) -> corpus + phase-2 report."""
+    from tessera.operators.dedup import with_signature
     i = Inputs(spark, inp)
     clean = spark.read.parquet(f"{out}/clean_docs").where("kept").select("source", "shard", "pos", "text")
     docs = R.attach_policy(clean, i.registry, ("near_dup", "decontaminate"))
-    built = cut_lineage(build_corpus(docs, i.table("benchmark")))
+    if not reuse_signatures:
+        _write(with_signature(docs.where("near_dup").select("source", "shard", "pos", "text"), "text")
+               .select("source", "shard", "pos", "sig"), f"{out}/signatures")
+    sigs = spark.read.parquet(f"{out}/signatures")
+    built = cut_lineage(build_corpus(docs, i.table("benchmark"), sigs=sigs))
     _write(corpus_rows(built), f"{out}/corpus")
     _report(phase2_report(built), f"{out}/phase2_report")
 
@@ -135,13 +140,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--world-size", type=int, default=8)
     ap.add_argument("--max-steps", type=int, default=0)
     ap.add_argument("--losses", default=None)
+    ap.add_argument("--reuse-signatures", action="store_true")
     a = ap.parse_args(argv)
     spark = get_spark(app=f"tessera-{a.phase}")
     {
         "smoke": lambda: run_smoke(spark, a.input, a.out),
         "measure": lambda: run_measure(spark, a.input, a.out),
         "clean": lambda: run_clean(spark, a.input, a.out, a.web_shards),
-        "dedup": lambda: run_dedup(spark, a.input, a.out),
+        "dedup": lambda: run_dedup(spark, a.input, a.out, a.reuse_signatures),
         "tokenizer": lambda: run_tokenizer(spark, a.out, a.vocab_size),
         "tokenize": lambda: run_tokenize(spark, a.input, a.out, a.seq_len, a.val_every),
         "ocr": lambda: run_ocr(spark, a.input, a.out),

@@ -32,6 +32,10 @@ def test_pipeline_jobs_end_to_end(spark):
     out = tempfile.mkdtemp(prefix="jobs-")
     J.run_clean(spark, SF001, out)
     J.run_dedup(spark, SF001, out)
+    first = sorted(tuple(r) for r in spark.read.parquet(f"{out}/corpus").select("source", "shard", "pos").collect())
+    J.run_dedup(spark, SF001, out, reuse_signatures=True)
+    again = sorted(tuple(r) for r in spark.read.parquet(f"{out}/corpus").select("source", "shard", "pos").collect())
+    assert first == again
     J.run_tokenizer(spark, out, vocab_size=300)
     J.run_tokenize(spark, SF001, out, seq_len=64, val_every=10)
     J.run_eval(spark, out, vocab_size=300)
