@@ -78,4 +78,4 @@ def clean_stages(raw: DataFrame, cfg: C.CleanConfig = C.CleanConfig()) -> DataFr
     out = base.withColumn("raw_chars", F.length("text").cast("bigint")).withColumn("_s2", X.clean_text(F.col("text"), cfg))
     out = out.withColumn("ascii_ratio", X.ascii_ratio(X.lang_sample(F.col("_s2"), cfg)))
     return out.select("source", "shard", "pos", "raw_chars", F.length("_s2").cast("bigint").alias("clean_chars"),
-                      "ascii_ratio", X.english_by_ratio(F.col("ascii_ratio")).alias("is_english"))
+                      "ascii_ratio", X.english_by_ratio(F.col("ascii_ratio")).alias("is_english"), "_s2")

@@ -193,7 +193,20 @@ def q_clean_stream(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(cleaned.schema).parquet(f"{base}/out")
 
 
+def q_language_detect(spark: SparkSession, d: str) -> DataFrame:
+    """Detector option for the ASCII band: profiles from the labelled documents,
+    applied to the band documents of the chain (after the length gate)."""
+    from tessera.operators import lang as LG
+    i = Inputs(spark, d)
+    profile, langs = LG.train_profiles(i.documents)
+    st = clean_stages(i.raw)
+    band = X.filter_after(st, (F.col("clean_chars") >= C.MIN_DOC_CHARS) & (F.col("ascii_ratio") >= 0.90)
+                          & (F.col("ascii_ratio") < 0.99))
+    return LG.detect(band, ["source", "pos"], "_s2", profile, langs)
+
+
 QUERIES = {
+    "language_detect": q_language_detect,
     "clean_stream": q_clean_stream,
     "dictionary_build": q_dictionary_build,
     "ocr_gate": q_ocr_gate,
@@ -384,3 +397,28 @@ SELECT threshold, (SELECT count(*) FROM sc) AS scored,
        CAST((SELECT count(*) FROM sc WHERE nonword_ratio > threshold) AS BIGINT) AS dropped,
        CAST((SELECT count(*) FROM sc WHERE nonword_ratio > threshold) AS DOUBLE) / (SELECT count(*) FROM sc) AS share
 FROM th"""
+
+
+SQL["language_detect"] = f"""
+        {'WITH ' + Q.RAW}, {Q.STEP2}, {Q.LANG},
+        lt AS (SELECT lang, ' ' || trim(regexp_replace(lower(substring(coalesce(text, ''), 1, {C.LANG_SAMPLE_CHARS})),
+                                                       '[^\\p{{L}}]+', ' ', 'g')) || ' ' AS t FROM documents),
+        lg AS (SELECT lang, unnest(list_transform(range(1, length(t) - 1), lambda i: substring(t, i, 3))) AS gram
+               FROM lt WHERE length(t) >= 3),
+        cnt AS (SELECT lang, gram, count(*) AS c FROM lg GROUP BY lang, gram),
+        v AS (SELECT count(DISTINCT gram) AS v FROM cnt),
+        langs AS (SELECT lang, sum(c) AS n, ln(1.0 / (sum(c) + (SELECT v FROM v))) AS unseen FROM cnt GROUP BY lang),
+        prof AS (SELECT cnt.lang, gram, ln((c + 1) / CAST(langs.n + (SELECT v FROM v) AS DOUBLE)) - langs.unseen AS delta
+                 FROM cnt JOIN langs ON cnt.lang = langs.lang),
+        band AS (SELECT s2.source, s2.pos, ' ' || trim(regexp_replace(lower(substring(s2.s2, 1, {C.LANG_SAMPLE_CHARS})),
+                                                       '[^\\p{{L}}]+', ' ', 'g')) || ' ' AS t
+                 FROM s2 JOIN lang ON s2.pos = lang.pos
+                 WHERE length(s2.s2) >= {C.MIN_DOC_CHARS} AND lang.ar >= CAST(0.90 AS DOUBLE) AND lang.ar < CAST(0.99 AS DOUBLE)),
+        bg AS (SELECT source, pos, unnest(list_transform(range(1, length(t) - 1), lambda i: substring(t, i, 3))) AS gram
+               FROM band WHERE length(t) >= 3),
+        bn AS (SELECT source, pos, CASE WHEN length(t) >= 3 THEN length(t) - 2 ELSE 0 END AS n FROM band),
+        ss AS (SELECT source, pos, lang, sum(delta) AS s FROM bg JOIN prof ON bg.gram = prof.gram GROUP BY ALL),
+        sc AS (SELECT bn.source, bn.pos, langs.lang, bn.n * langs.unseen + coalesce(ss.s, 0.0) AS score
+               FROM bn CROSS JOIN langs LEFT JOIN ss ON ss.source = bn.source AND ss.pos = bn.pos AND ss.lang = langs.lang),
+        best AS (SELECT source, pos, lang, row_number() OVER (PARTITION BY source, pos ORDER BY score DESC, lang) AS r FROM sc)
+        SELECT source, pos, lang, lang = 'en' AS is_english FROM best WHERE r = 1"""
