@@ -12,7 +12,10 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from tessera import config as C
@@ -61,17 +64,45 @@ def shingle_hash(s: Column) -> Column:
     return F.conv(F.substring(F.md5(F.encode(s, "UTF-8")), 1, 8), 16, 10).cast("bigint") % F.lit(MERSENNE_P)
 
 
-def with_signature(df: DataFrame, text_col: str, cfg: C.DedupConfig = C.DedupConfig(),
-                   out: str = "sig") -> DataFrame:
-    """Add ``out``: ARRAY<BIGINT> of ``num_perm`` MinHash values (in-row, no shuffle)."""
-    params = minhash_params(cfg.num_perm)
+def _native_minhash(hashes: Column, params: list[tuple[int, int]]) -> Column:
     perms = F.array(*[F.struct(F.lit(a).cast("bigint").alias("a"), F.lit(b).cast("bigint").alias("b"))
                       for a, b in params])
+    return F.transform(perms, lambda p: F.coalesce(
+        F.array_min(F.transform(hashes, lambda x: (p["a"] * x + p["b"]) % F.lit(MERSENNE_P))),
+        F.lit(EMPTY_SIGNATURE_VALUE).cast("bigint")))
+
+
+def _numpy_minhash(hashes: Column, params: list[tuple[int, int]]) -> Column:
+    """Arrow-batched kernel: one (perm x shingle) matrix per document, min per row.
+    a, h < 2^31 so a*h + b < 2^63: exact in int64."""
+    a = np.array([x for x, _ in params], dtype=np.int64)[:, None]
+    b = np.array([y for _, y in params], dtype=np.int64)[:, None]
+    empty = [EMPTY_SIGNATURE_VALUE] * len(params)
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def _minhash(col: pd.Series) -> pd.Series:
+        def one(h):
+            if h is None or len(h) == 0:
+                return empty
+            v = np.asarray(h, dtype=np.int64)[None, :]
+            return ((a * v + b) % MERSENNE_P).min(axis=1).tolist()
+        return col.map(one)
+
+    return _minhash(hashes)
+
+
+def with_signature(df: DataFrame, text_col: str, cfg: C.DedupConfig = C.DedupConfig(),
+                   out: str = "sig", kernel: str = "numpy") -> DataFrame:
+    """Add ``out``: ARRAY<BIGINT> of ``num_perm`` MinHash values (narrow, no shuffle).
+
+    Words, shingles and shingle hashes are native expressions; the permutation
+    minimum (num_perm x shingles per document) runs in a NumPy Arrow kernel
+    (``kernel="native"``: the same as nested higher-order functions).
+    """
+    params = minhash_params(cfg.num_perm)
     step = df.withColumn("_mh_w", X.dedup_words(F.col(text_col)))
     step = step.withColumn("_mh_h", F.array_distinct(F.transform(shingles(F.col("_mh_w"), cfg.shingle_k), shingle_hash)))
-    sig = F.transform(perms, lambda p: F.coalesce(
-        F.array_min(F.transform(F.col("_mh_h"), lambda x: (p["a"] * x + p["b"]) % F.lit(MERSENNE_P))),
-        F.lit(EMPTY_SIGNATURE_VALUE).cast("bigint")))
+    sig = _numpy_minhash(F.col("_mh_h"), params) if kernel == "numpy" else _native_minhash(F.col("_mh_h"), params)
     return step.withColumn(out, sig).drop("_mh_w", "_mh_h")
 
 
@@ -139,7 +170,8 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", cfg: C.DedupConfig
     """
     if sigs is None:
         sigs = with_signature(docs.select("source", "shard", "pos", text_col), text_col, cfg)
-    sigs = sigs.select("source", order_key(F.col("shard"), F.col("pos")).alias("rank"), "sig")
+    # read twice (representatives, final flags): materialise once
+    sigs = cut_lineage(sigs.select("source", order_key(F.col("shard"), F.col("pos")).alias("rank"), "sig"))
     reps = sigs.groupBy("source", "sig").agg(F.min("rank").alias("rank"))
     decided = greedy_first_wins(band_members(reps, cfg), cfg)
     kept = decided.where("kept").select("source", "rank", F.lit(True).alias("_k"))

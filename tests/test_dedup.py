@@ -88,3 +88,13 @@ def test_raw_records_from_files(spark):
     got = df.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.max("pos").alias("mx")).orderBy("shard").collect()
     # shards follow sorted path order: benchmark.parquet < documents.parquet
     assert [(r.shard, r.n, r.mx) for r in got] == [(0, n_bench, n_bench - 1), (1, n_docs, n_docs - 1)]
+
+
+def test_minhash_kernels_agree(spark):
+    from tests.conftest import SF001
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    docs = docs.union(spark.createDataFrame([(-1, ""), (-2, "a b c")], "doc_id long, text string"))
+    a = {r.doc_id: list(r.sig) for r in DD.with_signature(docs, "text", kernel="numpy").collect()}
+    b = {r.doc_id: list(r.sig) for r in DD.with_signature(docs, "text", kernel="native").collect()}
+    assert a == b
+    assert a[-1] == [DD.EMPTY_SIGNATURE_VALUE] * C.MINHASH_PERM
