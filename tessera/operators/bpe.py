@@ -133,12 +133,16 @@ def train_bpe(counts: DataFrame, vocab_size: int = C.VOCAB_SIZE, candidates: int
     if words.rdd.getNumPartitions() < cores:
         words = words.repartition(cores)
     words = cut_lineage(words)
+    words_cached = False  # True when `words` is a persisted (not checkpointed) frame
+    parent = None         # cached frame `words` was computed from; released once `words` is materialised
     merges: list[tuple[int, int, int, int]] = []
     next_id = FIRST_MERGE_ID
     rounds = 0
-    held = None
     while next_id < vocab_size:
         cands = (_pairs(words).orderBy(F.desc("c"), F.asc("l"), F.asc("r")).limit(candidates).collect())
+        if parent is not None:  # `words` is cached now
+            parent.unpersist()
+            parent = None
         accepted = _accept(cands, next_id, vocab_size)
         if not accepted:
             break
@@ -146,13 +150,19 @@ def train_bpe(counts: DataFrame, vocab_size: int = C.VOCAB_SIZE, candidates: int
         next_id += len(accepted)
         rounds += 1
         nxt = _apply(words, accepted)
-        nxt = cut_lineage(nxt) if rounds % checkpoint_every == 0 else nxt.persist(StorageLevel.MEMORY_AND_DISK)
-        if held is not None:
-            held.unpersist()
-        held = nxt if rounds % checkpoint_every else None
-        words = nxt
-    if held is not None:
-        held.unpersist()
+        if rounds % checkpoint_every == 0:
+            nxt = cut_lineage(nxt)  # eager: computed from the cached `words`
+            if words_cached:
+                words.unpersist()
+            words, words_cached = nxt, False
+        else:
+            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+            parent = words if words_cached else None
+            words, words_cached = nxt, True
+    if words_cached:
+        words.unpersist()
+    if parent is not None:
+        parent.unpersist()
     return merges
 
 
