@@ -40,10 +40,6 @@ def java_boilerplate_regex() -> str:
 BOILERPLATE = java_boilerplate_regex()
 
 
-def lit_re(pattern: str) -> Column:
-    return F.lit(pattern)
-
-
 def filter_after(df: DataFrame, cond: Column) -> DataFrame:
     """Keep rows where ``cond`` holds, evaluated *after* the projections that
     compute its inputs. A plain filter would be pushed (with the expressions

@@ -11,8 +11,6 @@ the 256 byte symbols ordered by their printable stand-in, then merges.
 
 from __future__ import annotations
 
-import math
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -257,7 +255,3 @@ def decode_column(ids: Column, merges: list[tuple[int, int, int, int]]) -> Colum
         return rows.map(lambda r: None if r is None else b"".join(tb[int(i)] for i in r).decode("utf-8", "replace"))
 
     return _decode(ids)
-
-
-def compression(chars: int, tokens: int) -> float:
-    return chars / tokens if tokens else math.nan

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera import config as C
-from tessera.functions.text import approx_tokens  # noqa: F401  (re-export for reports)
 
 
 def prefix_sum(df: DataFrame, group: list[str], order: list[str], value: Column, bucket: Column,

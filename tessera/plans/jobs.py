@@ -21,10 +21,8 @@ from tessera import config as C
 from tessera.functions.text import flatten_newlines
 from tessera.operators import bpe as B
 from tessera.operators import evalplan as EP
-from tessera.operators import ocr as O
 from tessera.operators import pack as P
 from tessera.operators.budget import apply_budget
-from tessera.operators.clean import clean_documents
 from tessera.plans import reports as REP
 from tessera.plans.corpus import build_corpus, corpus_rows, phase2_report
 from tessera.plans.inputs import Inputs

@@ -44,8 +44,8 @@ def stream_exact_dedup(cleaned: DataFrame) -> DataFrame:
     """Kept rows whose normal form was not seen before in their (source, shard),
     as streaming state (unbounded, like a seen-set). Which copy survives inside
     one micro-batch is not order-defined; the batch operator is the exact form."""
-    from tessera.functions.text import exact_hash
-    kept = cleaned.where("kept").withColumn("_h", exact_hash(F.col("text")))
+    from tessera.functions.text import exact_hash, filter_after
+    kept = filter_after(cleaned, F.col("kept")).withColumn("_h", exact_hash(F.col("text")))
     return kept.dropDuplicates(["source", "shard", "_h"]).drop("_h")
 
 

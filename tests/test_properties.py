@@ -36,3 +36,10 @@ def test_kept_plus_dropped_is_streamed(spark):
     rep = {r.source: r for r in REP.phase1_report(i.capped()).collect()}
     for s, r in rep.items():
         assert r.kept + r.too_short + r.repetitive + r.non_english + r.ocr == r.streamed, s
+
+
+def test_dictionary_from_word_list(spark):
+    from tessera.operators.ocr import dictionary_from_words
+    lines = spark.createDataFrame([("  Apple",), ("banana1",), ("Café",), ("",), ("apple",), ("o'clock",)], "value string")
+    assert sorted(r.word for r in dictionary_from_words(lines).collect()) == ["apple", "café"]
+
