@@ -67,3 +67,20 @@ def test_line_index_two_level(spark):
     got = P.line_index(df.repartition(4), bucket_rows=16).collect()
     for r in got:
         assert r.line_idx == r.pos // 7
+
+
+def test_epoch_plan_edges(spark):
+    from tessera.operators.evalplan import epoch_plan
+    n = 37  # not divisible by world x per_gpu = 8
+    rows = [("s", 0, w, "train", [1]) for w in range(n)] + [("s", 0, 100, "val", [1])]
+    win = spark.createDataFrame(rows, "source string, tok_shard int, window_id long, split string, ids array<int>")
+    full = epoch_plan(win, world_size=2, per_gpu_windows=4, micro_batch=2).collect()
+    assert len(full) == (n // 8) * 8
+    assert sorted(r.global_pos for r in full) == list(range((n // 8) * 8))
+    for r in full:
+        assert r.rank == r.global_pos % 2 and r.step == (r.global_pos // 2) // 4 and r.micro == ((r.global_pos // 2) % 4) // 2
+    capped = epoch_plan(win, world_size=2, per_gpu_windows=4, micro_batch=2, max_steps=2, start_step=1).collect()
+    assert sorted({r.step for r in capped}) == [1] and len(capped) == 8
+    # the shuffle is a permutation of the train windows, independent of input partitioning
+    again = epoch_plan(win.repartition(5), world_size=2, per_gpu_windows=4, micro_batch=2).collect()
+    assert sorted((r.window_id, r.global_pos) for r in again) == sorted((r.window_id, r.global_pos) for r in full)
