@@ -84,3 +84,16 @@ def test_epoch_plan_edges(spark):
     # the shuffle is a permutation of the train windows, independent of input partitioning
     again = epoch_plan(win.repartition(5), world_size=2, per_gpu_windows=4, micro_batch=2).collect()
     assert sorted((r.window_id, r.global_pos) for r in again) == sorted((r.window_id, r.global_pos) for r in full)
+
+
+def test_perplexity_rollup_weighted(spark):
+    import math
+
+    from tessera.operators.evalplan import perplexity_rollup
+    rows = [("a", 0, 0, 2.0), ("a", 0, 1, 4.0), ("a", 1, 0, 3.0), ("b", 0, 0, 1.0)]
+    losses = spark.createDataFrame(rows, "source string, tok_shard int, window_id long, loss double")
+    got = {r.source: r for r in perplexity_rollup(losses).collect()}
+    assert set(got) == {"a", "b", "TOTAL"}
+    assert got["a"].windows == 3 and abs(got["a"].val_loss - 3.0) < 1e-9
+    assert got["TOTAL"].windows == 4 and abs(got["TOTAL"].val_loss - 2.5) < 1e-9
+    assert abs(got["b"].perplexity - round(math.e, 6)) < 1e-6
