@@ -90,8 +90,6 @@ class DedupConfig:
     decontam_ngram: int = DECONTAM_NGRAM
     max_broadcast_grams: int = 5_000_000
     # greedy near-dup loop: rounds between reliable checkpoints (persisted in between)
-    checkpoint_every: int = 4
-    max_rounds: int = 10_000
 
 
 @dataclass(frozen=True)
@@ -137,7 +135,7 @@ FIXTURE_CLASSES = (
     # (first index, last index, budget, strict_ocr, near_dup, decontaminate, split, config, token_shards)
     (0, 6, 10_000, True, True, True, "us", None, 4),
     (7, 13, 13_000, False, False, True, "train", None, 6),
-    (14, 19, 5_000, False, False, False, "train", "sample-10BT", 4),
+    (14, 19, 5_000, False, False, False, "train", "sample", 4),
 )
 
 # Test-scale packing parameters for the fixture queries.

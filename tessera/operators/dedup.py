@@ -124,33 +124,24 @@ def greedy_first_wins(members: DataFrame, cfg: C.DedupConfig = C.DedupConfig())
     sequential rule (an earlier kept neighbour always decides first) and
     finishes in few rounds. Returns ``(source, rank, kept)``.
     """
-    from pyspark import StorageLevel
-
     spark = members.sparkSession
-    undecided = cut_lineage(members)
+    undecided = cut_lineage(members.select("source", "rank", "band", "bucket"))
     decided_parts = []
-    held: list[DataFrame] = []
-    for rnd in range(1, cfg.max_rounds + 1):
-        if undecided.isEmpty():
-            break
-        bucket_min = undecided.groupBy("source", "band", "bucket").agg(F.min("rank").alias("_mr"))
-        newly_kept = (undecided.join(bucket_min, ["source", "band", "bucket"])
-                      .groupBy("source", "rank").agg(F.bool_and(F.col("rank") == F.col("_mr")).alias("_all"))
-                      .where("_all").select("source", "rank"))
-        kept_buckets = (undecided.join(newly_kept, ["source", "rank"], "left_semi")
-                        .select("source", "band", "bucket").distinct())
+    while not undecided.isEmpty():
+        # a member is newly kept when it is the minimum of as many buckets as it has: no join on the bucket
+        bucket_min = cut_lineage(undecided.groupBy("source", "band", "bucket").agg(F.min("rank").alias("_mr")))
+        wins = bucket_min.groupBy("source", F.col("_mr").alias("rank")).agg(F.count("*").alias("_wins"))
+        buckets = undecided.select("source", "rank", "band", "bucket").groupBy("source", "rank").agg(
+            F.count_distinct("band", "bucket").alias("_buckets"))
+        newly_kept = cut_lineage(wins.join(buckets, ["source", "rank"]).where("_wins = _buckets").select("source", "rank"))
+        # both sides are plain checkpointed tables, so a hot bucket's rows can be split at run time
+        kept_buckets = cut_lineage(bucket_min.join(newly_kept.withColumnRenamed("rank", "_mr"), ["source", "_mr"])
+                                   .select("source", "band", "bucket"))
         touched = (undecided.join(kept_buckets, ["source", "band", "bucket"], "left_semi")
                    .select("source", "rank").distinct())
-        decided = (touched.join(newly_kept.withColumn("kept", F.lit(True)), ["source", "rank"], "left")
-                   .select("source", "rank", F.coalesce("kept", F.lit(False)).alias("kept")))
-        # persisted every round (recomputable), reliable checkpoint every few rounds (bounded lineage)
-        if rnd % cfg.checkpoint_every == 0:
-            decided = cut_lineage(decided)
-            undecided = cut_lineage(undecided.join(decided, ["source", "rank"], "left_anti"))
-        else:
-            decided = decided.persist(StorageLevel.MEMORY_AND_DISK)
-            undecided = undecided.join(decided, ["source", "rank"], "left_anti").persist(StorageLevel.MEMORY_AND_DISK)
-            held += [decided, undecided]
+        decided = cut_lineage(touched.join(newly_kept.withColumn("kept", F.lit(True)), ["source", "rank"], "left")
+                              .select("source", "rank", F.coalesce("kept", F.lit(False)).alias("kept")))
+        undecided = cut_lineage(undecided.join(decided, ["source", "rank"], "left_anti"))
         decided_parts.append(decided)
     if not decided_parts:
         return spark.createDataFrame([], "source string, rank bigint, kept boolean")

@@ -26,7 +26,8 @@ def dense_position(df: DataFrame, key: F.Column, tie: list[str], bucket_chars: i
 
 
 def epoch_plan(windows: DataFrame, world_size: int = 8, per_gpu_windows: int = 64, micro_batch: int = 32,
-               seed: int = C.TRAIN_SEED, max_steps: int = 0, start_step: int = 0) -> DataFrame:
+               seed: int = C.TRAIN_SEED, max_steps: int = 0, start_step: int = 0,
+               global_windows: int | None = None) -> DataFrame:
     """Assign every training window a (rank, step, micro) slot.
 
     Deterministic global shuffle by an md5 order key, strided round-robin over
@@ -37,7 +38,8 @@ def epoch_plan(windows: DataFrame, world_size: int = 8, per_gpu_windows: int = 6
     micro = min(micro_batch, per_gpu_windows)
     accum = max(1, per_gpu_windows // micro)
     per_gpu = micro * accum
-    global_batch = world_size * per_gpu
+    # steps follow the global batch that was asked for, also where the ranks cannot share it out evenly
+    global_batch = global_windows or world_size * per_gpu_windows
     train = windows.where(F.col("split") == "train").select("source", "tok_shard", "window_id")
     key = F.md5(F.concat_ws("/", F.col("source"), F.col("tok_shard").cast("string"),
                             F.col("window_id").cast("string"), F.lit(str(seed))))

@@ -18,9 +18,10 @@ from tessera import config as C
 NGRAM = 3
 
 
-def letter_text(s: Column, sample_chars: int = C.LANG_SAMPLE_CHARS) -> Column:
-    """Lower-case letters only, runs of anything else as one space, padded."""
-    body = F.trim(F.regexp_replace(F.lower(F.substring(s, 1, sample_chars)), r"[^\p{L}]+", " "))
+def letter_text(s: Column, sample_chars: int | None = C.LANG_SAMPLE_CHARS) -> Column:
+    """Lower-case letters only, runs of anything else as one space, padded; of the first ``sample_chars`` (None: all)."""
+    some = s if sample_chars is None else F.substring(s, 1, sample_chars)
+    body = F.trim(F.regexp_replace(F.lower(some), r"[^\p{L}]+", " "))
     return F.concat(F.lit(" "), body, F.lit(" "))
 
 
@@ -36,7 +37,7 @@ def train_profiles(labelled: DataFrame, text_col: str = "text", lang_col: str =
     from pyspark import StorageLevel
 
     from tessera.sources.tables import spread
-    t = spread(labelled).select(F.col(lang_col).alias("lang"), letter_text(F.col(text_col)).alias("_t"))
+    t = spread(labelled).select(F.col(lang_col).alias("lang"), letter_text(F.coalesce(F.col(text_col), F.lit("")), None).alias("_t"))
     grams = t.select("lang", F.explode(char_ngrams(F.col("_t"))).alias("gram"))
     # read three times below (vocabulary size, language totals, profile)
     counts = grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("c")).persist(StorageLevel.MEMORY_AND_DISK)

@@ -2,28 +2,20 @@
 
 from __future__ import annotations
 
-from tessera.plans import catalog_clean
+from tessera.plans import catalog_clean, catalog_dedup, catalog_tokens
 
-
-def _modules():
-    mods = [catalog_clean]
-    for name in ("catalog_dedup", "catalog_tokens"):
-        try:
-            mods.append(__import__(f"tessera.plans.{name}", fromlist=["QUERIES"]))
-        except ModuleNotFoundError:
-            pass
-    return mods
+_MODULES = (catalog_clean, catalog_dedup, catalog_tokens)
 
 
 def all_queries():
     out = {}
-    for m in _modules():
+    for m in _MODULES:
         out.update(m.QUERIES)
     return out
 
 
 def all_sql():
     out = {}
-    for m in _modules():
+    for m in _MODULES:
         out.update(m.SQL)
     return out

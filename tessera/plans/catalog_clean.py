@@ -125,11 +125,13 @@ def q_repetition_ratio(spark: SparkSession, d: str) -> DataFrame:
     i = Inputs(spark, d)
     s2 = i.raw.select("source", "pos", X.clean_text(F.col("text")).alias("s2"))
     rep = X.with_repetition(s2, "s2")
-    out = rep.select("source", "pos", F.size("_rep_words").cast("bigint").alias("n_words"),
-                     F.size("_rep_grams").cast("bigint").alias("n_grams"),
-                     F.col("_rep_top").cast("bigint").alias("top_count"), F.col("_rep_ratio").alias("ratio"))
-    return X.filter_after(out, F.col("n_words") >= 2 * C.REPETITION_NGRAM) \
-        .withColumn("repetitive", F.col("ratio") > F.lit(C.MAX_REPETITION_RATIO))
+    n_words = F.when(F.length("s2") > 0, F.size("_rep_words")).otherwise(0).cast("bigint")
+    n_grams = F.greatest(n_words - (C.REPETITION_NGRAM - 1), F.lit(0).cast("bigint"))
+    # under 2n words a document has no ratio and is not repetitive
+    long_enough = n_words >= 2 * C.REPETITION_NGRAM
+    return rep.select("source", "pos", n_words.alias("n_words"), n_grams.alias("n_grams"),
+                      F.when(long_enough, F.col("_rep_top").cast("bigint")).alias("top_count"), F.col("_rep_ratio").alias("ratio"),
+                      F.coalesce(F.col("_rep_ratio") > F.lit(C.MAX_REPETITION_RATIO), F.lit(False)).alias("repetitive"))
 
 
 def q_clean_documents(spark: SparkSession, d: str) -> DataFrame:
@@ -329,9 +331,10 @@ SQL = {
         FROM s2 JOIN lang ON s2.pos = lang.pos""",
     "repetition_ratio": f"""
         {'WITH ' + Q.RAW}, {Q.STEP2}, {Q.REP.strip()}
-        SELECT s2.source, rep.pos, CAST(n_words AS BIGINT) AS n_words, CAST(n_grams AS BIGINT) AS n_grams, top_count,
-               rep_ratio AS ratio, rep_ratio > CAST({C.MAX_REPETITION_RATIO} AS DOUBLE) AS repetitive
-        FROM rep JOIN s2 ON rep.pos = s2.pos""",
+        SELECT s2.source, s2.pos, CAST(coalesce(len(w.words), 0) AS BIGINT) AS n_words,
+               CAST(greatest(coalesce(len(w.words), 0) - {C.REPETITION_NGRAM - 1}, 0) AS BIGINT) AS n_grams, top_count,
+               rep_ratio AS ratio, coalesce(rep_ratio > CAST({C.MAX_REPETITION_RATIO} AS DOUBLE), false) AS repetitive
+        FROM s2 LEFT JOIN w ON w.pos = s2.pos LEFT JOIN rep ON rep.pos = s2.pos""",
     "clean_documents": f"""
         {Q.clean_ctes()}
         SELECT * FROM cleaned""",
@@ -401,7 +404,7 @@ FROM th"""
 
 SQL["language_detect"] = f"""
         {'WITH ' + Q.RAW}, {Q.STEP2}, {Q.LANG},
-        lt AS (SELECT lang, ' ' || trim(regexp_replace(lower(substring(coalesce(text, ''), 1, {C.LANG_SAMPLE_CHARS})),
+        lt AS (SELECT lang, ' ' || trim(regexp_replace(lower(coalesce(text, '')),
                                                        '[^\\p{{L}}]+', ' ', 'g')) || ' ' AS t FROM documents),
         lg AS (SELECT lang, unnest(list_transform(range(1, length(t) - 1), lambda i: substring(t, i, 3))) AS gram
                FROM lt WHERE length(t) >= 3),

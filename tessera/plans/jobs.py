@@ -55,8 +55,10 @@ def run_measure(spark: SparkSession, inp: str, out: str, n: int = C.MEASURE_N) -
 def run_clean(spark: SparkSession, inp: str, out: str, web_shards: int | None = None) -> None:
     """Phase 1: raw records -> clean_docs (one row per record streamed under the cap) + report."""
     i = Inputs(spark, inp)
-    clean = cut_lineage(i.clean())
-    capped = apply_budget(clean, i.caps(web_shards))
+    plan = i.caps(web_shards)
+    # records of shards outside the plan are not read on: they would pass uncapped
+    clean = cut_lineage(i.clean().join(plan.select("source", "shard"), ["source", "shard"], "left_semi"))
+    capped = apply_budget(clean, plan)
     _write(capped.withColumn("text", F.when(F.col("kept"), flatten_newlines(F.col("text"))).otherwise(F.lit(""))),
            f"{out}/clean_docs")
     written = spark.read.parquet(f"{out}/clean_docs")
@@ -122,7 +124,8 @@ def run_plan(spark: SparkSession, out: str, world_size: int = 8, max_steps: int
     windows = spark.read.parquet(f"{out}/windows")
     cfg = C.TrainPlanConfig()
     per_gpu = cfg.global_batch_tokens // cfg.seq_len // world_size
-    plan = EP.epoch_plan(windows, world_size, per_gpu, cfg.micro_batch, cfg.seed, max_steps, start_step)
+    plan = EP.epoch_plan(windows, world_size, per_gpu, cfg.micro_batch, cfg.seed, max_steps, start_step,
+                         cfg.global_batch_tokens // cfg.seq_len)
     plan.write.mode("overwrite").partitionBy("rank").parquet(f"{out}/epoch_plan")
 
 

@@ -85,7 +85,7 @@ def policy_case(field: str, col: str = "source") -> str:
     return "(CASE " + " ".join(parts) + " END)"
 
 
-RAW = (f"raw AS (SELECT source, CAST(doc_id % {C.FIXTURE_SHARDS} AS INTEGER) AS shard, doc_id AS pos, "
+RAW = (f"raw AS (SELECT source, CAST((doc_id // {C.FIXTURE_N_SOURCES}) % {C.FIXTURE_SHARDS} AS INTEGER) AS shard, doc_id AS pos, "
        f"coalesce(CAST(text AS VARCHAR), '') AS text FROM documents)")
 
 STEP2 = (f"s2 AS (SELECT source, shard, pos, CAST(length(text) AS BIGINT) AS raw_chars, "

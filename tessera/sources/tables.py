@@ -44,15 +44,20 @@ def spread(df: DataFrame, factor: int = 2) -> DataFrame:
     return df.repartition(cores * factor)
 
 
+def fixture_shard(doc_id, n_shards: int = C.FIXTURE_SHARDS):
+    return F.pmod(F.floor(doc_id / F.lit(C.FIXTURE_N_SOURCES)), F.lit(n_shards)).cast("int")
+
+
 def raw_docs(documents: DataFrame, n_shards: int = C.FIXTURE_SHARDS) -> DataFrame:
     """Fixture adapter: the record identity (source, shard, pos) of a raw record.
 
     On real shards ``pos`` is ``_metadata.row_index`` and ``shard`` the file's rank;
-    here ``pos = doc_id`` and ``shard = pmod(doc_id, n_shards)``.
+    here ``pos = doc_id`` and ``shard = pmod(doc_id div 20, n_shards)``: independent of the
+    fixture's source, which is ``doc_id mod 20``.
     """
     return spread(documents).select(
         "source",
-        F.pmod(F.col("doc_id"), F.lit(n_shards)).cast("int").alias("shard"),
+        fixture_shard(F.col("doc_id"), n_shards).alias("shard"),
         F.col("doc_id").alias("pos"),
         coerce_text(F.col("text")).alias("text"))
 

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tessera import config as C
 from tessera.operators.clean import clean_documents
-from tessera.sources.tables import SCHEMAS
+from tessera.sources.tables import SCHEMAS, fixture_shard
 
 
 def raw_stream(spark: SparkSession, directory: str, file_glob: str = "documents*.parquet",
@@ -26,7 +26,7 @@ def raw_stream(spark: SparkSession, directory: str, file_glob: str = "documents*
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     docs = r.parquet(directory)
-    return docs.select("source", F.pmod(F.col("doc_id"), F.lit(n_shards)).cast("int").alias("shard"),
+    return docs.select("source", fixture_shard(F.col("doc_id"), n_shards).alias("shard"),
                        F.col("doc_id").alias("pos"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 

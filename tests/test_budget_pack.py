@@ -97,3 +97,13 @@ def test_perplexity_rollup_weighted(spark):
     assert got["a"].windows == 3 and abs(got["a"].val_loss - 3.0) < 1e-9
     assert got["TOTAL"].windows == 4 and abs(got["TOTAL"].val_loss - 2.5) < 1e-9
     assert abs(got["b"].perplexity - round(math.e, 6)) < 1e-6
+
+
+def test_epoch_steps_follow_the_global_batch(spark):
+    from tessera.operators.evalplan import epoch_plan
+    rows = [("s", 0, w, "train", [1]) for w in range(50)]
+    win = spark.createDataFrame(rows, "source string, tok_shard int, window_id long, split string, ids array<int>")
+    # 3 ranks share 16 windows as 5 each, 4 in whole micro-batches; the steps stay 50 // 16
+    plan = epoch_plan(win, world_size=3, per_gpu_windows=5, micro_batch=2, global_windows=16).collect()
+    assert {r.step for r in plan} == {0, 1, 2}
+    assert len(plan) == 3 * 3 * 4

@@ -1,75 +1,97 @@
+"""Cleaning rules against rows worked out by hand, and properties of the rules."""
+
 import random
 
 from pyspark.sql import functions as F
 
 from tessera.functions import text as X
-from tests import pymodel as M
+from tessera.operators.clean import clean_documents
 
-SEPS = ["\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", " ", " ", "\n"]
 LINE40 = "abcdefghij" * 4
+OTHER40 = "klmnopqrst" * 4
+
 
+def _map(spark, texts, fn):
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = {r.id: r.t for r in df.select("id", fn(F.col("text")).alias("t")).collect()}
+    return [got[i] for i in range(len(texts))]
 
-def _rows(spark, texts):
-    return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+
+def _reasons(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "pos long, text string").select(
+        F.lit("s").alias("source"), F.lit(0).alias("shard"), "pos", "text")
+    got = {r.pos: (r.reason, r.clean_chars) for r in clean_documents(df, None, None).collect()}
+    return [got[i] for i in range(len(texts))]
 
 
-def test_line_filter_edges(spark):
-    texts = [
-        "", "\n\n", LINE40[:39], LINE40,
-        "a" * 28 + "." * 12,              # exactly 30% non-alnum at length 40 -> dropped in double
-        "a" * 29 + "." * 11,
-        *[LINE40 + sep + LINE40.upper() + sep for sep in SEPS],
-        "x" * 20 + " " + "y" * 20, "x" * 20 + "  " + "y" * 20,
-        "x" * 20 + "\x1f" + "y" * 20, "x" * 20 + "​" + "y" * 20,
-        "  " + LINE40 + "\t\t" + LINE40 + "  ", "é" * 40,
+def test_line_filter_by_hand(spark):
+    cases = [
+        ("", ""),
+        ("\n\n", ""),
+        (LINE40[:39], ""),                                  # one character short
+        (LINE40, LINE40),
+        ("a" * 28 + "." * 12, ""),                          # 1.0 - 28/40 is just over 0.30 in double
+        ("a" * 29 + "." * 11, "a" * 29 + "." * 11),
+        ("x" * 20 + " " + "y" * 20, "x" * 20 + " " + "y" * 20),
+        ("x" * 20 + " \t  " + "y" * 20, "x" * 20 + " " + "y" * 20),     # inner white space becomes one blank
+        ("  " + LINE40 + "  ", LINE40),
+        ("é" * 40, ""),                                     # not ASCII letters
+        (LINE40 + "\nshort\n" + OTHER40, LINE40 + "\n" + OTHER40),
     ]
-    got = {r.id: r.t for r in _rows(spark, texts).select("id", X.filter_lines(F.col("text")).alias("t")).collect()}
-    for i, t in enumerate(texts):
-        assert got[i] == M.line_filter(t), (i, repr(t))
-
-
-def test_boilerplate_standalone(spark):
-    texts = [
-        "FORM 10-K\nreal line", "Form 10k annual", "form 10-Q", "formal 10-K",
-        "Page 3 of 10", "page 3 of ten", "Table of Contents", "table of contents here",
-        "/s/ John Smith", "All Rights Reserved.", "all rights", "UNITED STATES SECURITIES AND EXCHANGE COMMISSION",
-        "Securities and Exchange Commission", "Washington, D.C. 20549", "washington dc 2054",
-        "[x]", "[ X ]", "x", "xx", "K form 10-k", "form 10-K", "text\n", "a\n\nb\n\n", "",
+    assert _map(spark, [c for c, _ in cases], X.filter_lines) == [w for _, w in cases]
+
+
+def test_every_line_separator_splits(spark):
+    seps = ["\n", "\r", "\r\n", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", " ", " "]
+    got = _map(spark, [LINE40 + s + OTHER40 for s in seps], X.filter_lines)
+    assert got == [LINE40 + "\n" + OTHER40] * len(seps)
+    # the unit separator and a zero-width space are no line ends
+    for inner in ("\x1f", "​"):
+        assert "\n" not in _map(spark, [LINE40 + inner + OTHER40], X.filter_lines)[0]
+
+
+def test_boilerplate_by_hand(spark):
+    cases = [
+        ("FORM 10-K\nreal line", "real line"),
+        ("formal 10-K", "formal 10-K"),
+        ("Page 3 of 10", ""),
+        ("page 3 of ten", "page 3 of ten"),
+        ("Table of Contents", ""),
+        ("all rights", "all rights"),
+        ("xx", "xx"),
+        ("", ""),
+        ("a\nb", "a\nb"),
     ]
-    got = {r.id: r.t for r in _rows(spark, texts).select("id", X.strip_boilerplate(F.col("text")).alias("t")).collect()}
-    for i, t in enumerate(texts):
-        assert got[i] == M.boiler(t), (i, repr(t))
+    assert _map(spark, [c for c, _ in cases], X.strip_boilerplate) == [w for _, w in cases]
 
 
-def test_gates_match_model_random(spark):
-    rng = random.Random(7)
-    vocab = ["alpha", "beta", "gamma", "delta", "épsilon", "zeta", "eta", "über", "x1", "foo", "bar", "baz"]
-    texts = []
-    for _ in range(150):
-        lines = []
-        for _ in range(rng.randint(1, 25)):
-            n = rng.randint(1, 18)
-            words = [rng.choice(vocab[: rng.randint(2, len(vocab))]) for _ in range(n)]
-            lines.append(" ".join(words) + rng.choice(["", ".", " !!!", "  "]))
-        texts.append(rng.choice(["\n", "\r\n", "\n\n"]).join(lines))
-    from tessera.operators.clean import clean_documents
-    df = _rows(spark, texts).select(F.lit("s").alias("source"), F.lit(0).alias("shard"),
-                                    F.col("id").cast("long").alias("pos"), "text")
-    got = {r.pos: (r.reason, r.clean_chars) for r in clean_documents(df, None, None).collect()}
-    for i, t in enumerate(texts):
-        assert got[i] == M.clean(t), (i, t[:200])
+def test_gates_by_hand(spark):
+    distinct = " ".join(f"word{i:04d}" for i in range(80))                # 719 characters, no repeated 4-gram
+    same = " ".join(["tiger lily river stone"] * 30)                       # four different 4-grams
+    accents = " ".join(f"caféwor{i:04d}" for i in range(80))          # a little under 0.95 ASCII
+    got = _reasons(spark, [distinct, LINE40, same, accents, ""])
+    assert got[0] == ("kept", len(distinct))
+    assert got[1] == ("too_short", 40)
+    assert got[2] == ("repetitive", len(same))
+    assert got[3][0] == "non_english"
+    assert got[4] == ("too_short", 0)
+
+
+def test_length_gate_edges(spark):
+    words = " ".join(f"v{i:03d}" for i in range(200))
+    text = lambda n: words[:n - 1] + "z"
+    got = _reasons(spark, [text(599), text(600), text(601)])
+    assert got == [("too_short", 599), ("kept", 600), ("kept", 601)]
 
 
 def test_repetition_exact_half_and_short(spark):
     rows = ["a b c d a b c d",                      # 8 words, 5 grams, top share 1.0
-            "w1 w2 w3 w4 w5 w6 w7",                  # 7 words: never repetitive
-            " ".join(f"w{i}" for i in range(40))]    # all distinct: 37 grams, top 10 share < 0.5
-    df = _rows(spark, rows)
-    out = X.with_repetition(df, "text").select("id", "_rep_ratio").collect()
-    got = {r.id: r._rep_ratio for r in out}
-    assert got[1] is None
-    assert got[0] > 0.5 and M.repetitive(rows[0])
-    assert abs(got[2] - 10 / 37) < 1e-12 and not M.repetitive(rows[2])
+            "w1 w2 w3 w4 w5 w6 w7",                  # 7 words: no ratio
+            " ".join(f"w{i}" for i in range(40)),    # 37 different grams: 10 / 37
+            " ".join(f"w{i}" for i in range(23))]    # 20 different grams: exactly one half
+    df = spark.createDataFrame(list(enumerate(rows)), "id int, text string")
+    got = {r.id: r._rep_ratio for r in X.with_repetition(df, "text").select("id", "_rep_ratio").collect()}
+    assert got == {0: 1.0, 1: None, 2: 10 / 37, 3: 0.5}
 
 
 def test_language_band(spark):
@@ -77,3 +99,15 @@ def test_language_band(spark):
     df = spark.createDataFrame([(0.90,), (0.95,), (0.99,), (0.89,), (0.951,)], "r double")
     got = [r.e for r in df.select(english_by_ratio(F.col("r")).alias("e")).collect()]
     assert got == [False, False, True, False, True]
+
+
+def test_cleaning_is_idempotent_and_only_removes_lines(spark):
+    rng = random.Random(7)
+    vocab = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta", "theta", "x1", "foo", "bar"]
+    texts = ["\n".join(" ".join(rng.choice(vocab) for _ in range(rng.randint(1, 18))) for _ in range(rng.randint(1, 12)))
+             for _ in range(60)]
+    once = _map(spark, texts, X.filter_lines)
+    assert _map(spark, once, X.filter_lines) == once
+    for before, after in zip(texts, once):
+        lines = before.split("\n")
+        assert all(x in lines and len(x) >= 40 for x in after.split("\n") if x)
