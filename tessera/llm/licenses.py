@@ -63,13 +63,15 @@ def grams_of(words):
     return F.array_distinct(F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat(a, F.lit(" "), b)))
 
 
-def bounds(cfg: LicenseConfig) -> list[tuple[int, str, list[str], float, float]]:
+def bounds(cfg: LicenseConfig) -> list[tuple[int, str, list[str], int, int]]:
     """(index, license, bigrams, least and most bigrams of a unit that can match)."""
-    t = cfg.threshold
     out = []
     for i, (name, text) in enumerate(cfg.templates):
         grams = template_grams(text)
-        out.append((i, name, grams, len(grams) * t / (2 - t), len(grams) * (2 - t) / t))
+        n = len(grams)
+        # as integers, by the test itself: no rounding of n t / (2 - t) can lose a size
+        sizes = [m for m in range(1, int(n * 2 / cfg.threshold) + 2) if 2.0 * min(m, n) / (m + n) >= cfg.threshold]
+        out.append((i, name, grams, sizes[0], sizes[-1]))
     return out
 
 

@@ -42,6 +42,7 @@ class UrlConfig:
     rate: float = 0.2
     ridge: float = 1.0
     smooth: float = 20.0        # pseudo-count of a suffix statistic
+    folds: int = 5              # training rows see suffix statistics of the other folds
 
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -175,14 +176,15 @@ class UrlModel:
     base: float
     smooth: float
 
-    def suffix_columns(self, pairs, own: np.ndarray | None = None) -> np.ndarray:
-        """Smoothed log-odds of both suffixes; a training row is left out of its own statistic."""
+    def suffix_columns(self, pairs, less: list[dict] | None = None) -> np.ndarray:
+        """Smoothed log-odds of both suffixes; ``less`` holds, per row, counts to leave out (its training fold's)."""
         out = np.zeros((len(pairs), 2))
         for i, pair in enumerate(pairs):
             for j, s in enumerate(pair):
                 n, bad = self.stats.get(s, (0, 0))
-                if own is not None:
-                    n, bad = n - 1, bad - int(own[i])
+                if less is not None:
+                    m, worse = less[i].get(s, (0, 0))
+                    n, bad = n - m, bad - worse
                 p = (bad + self.smooth * self.base) / (n + self.smooth)
                 out[i, j] = np.log(p / (1 - p))
         return out
@@ -202,22 +204,28 @@ def fit(labelled: DataFrame, cfg: UrlConfig = UrlConfig()) -> UrlModel:
         for batch in batches:
             x, pairs = _features(batch.column(0).to_pylist())
             yield pa.record_batch([pa.array(list(x), pa.list_(pa.float64())), pa.array([p[0] for p in pairs]),
-                                   pa.array([p[1] for p in pairs]), batch.column(1)], names=["x", "last", "two", "blocked"])
+                                   pa.array([p[1] for p in pairs]), batch.column(1), batch.column(2)],
+                                  names=["x", "last", "two", "blocked", "fold"])
 
-    rows = sample.mapInArrow(features, "x array<double>, last string, two string, blocked int").collect()
+    fold = F.pmod(F.xxhash64("url", F.lit("fold")), F.lit(cfg.folds)).cast("int").alias("fold")
+    rows = sample.select("url", "blocked", fold).mapInArrow(
+        features, "x array<double>, last string, two string, blocked int, fold int").collect()
     y = np.array([r["blocked"] for r in rows], np.float64)
     stats: dict[str, tuple[int, int]] = {}
+    by_fold: list[dict] = [{} for _ in range(cfg.folds)]
     for r in rows:
         for s in {r["last"], r["two"]}:
-            n, bad = stats.get(s, (0, 0))
-            stats[s] = (n + 1, bad + r["blocked"])
+            for table in (stats, by_fold[r["fold"]]):
+                n, bad = table.get(s, (0, 0))
+                table[s] = (n + 1, bad + r["blocked"])
     base = (y.sum() + 1) / (len(y) + 2) if len(y) else 0.25
     model = UrlModel(Trees(cfg), stats, float(base), cfg.smooth)
     if len(y):
         x = np.array([r["x"] for r in rows])
-        own = model.suffix_columns([(r["last"], r["two"]) for r in rows], y)
-        order = np.lexsort([*x.T, *own.T, y])              # the order rows arrive in does not matter
-        model.trees.fit(np.concatenate([x, own], axis=1)[order], y[order])
+        # a row sees the statistics of the other folds: its own label would otherwise show in them
+        suffix = model.suffix_columns([(r["last"], r["two"]) for r in rows], [by_fold[r["fold"]] for r in rows])
+        order = np.lexsort([*x.T, *suffix.T, y])           # the order rows arrive in does not matter
+        model.trees.fit(np.concatenate([x, suffix], axis=1)[order], y[order])
     else:
         model.trees.start = -1.0
     return model
