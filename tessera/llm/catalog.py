@@ -74,5 +74,6 @@ SQL = {
     "op2_near_dedup": neardup.sql(neardup.NearConfig(words=4)),
     "op3_license_scan": licenses.sql(),
     "op4_line_dedup": linededup.sql(),
+    "op5_mixing": mixing.sql(),
     "op9_top_k": topk.sql(),
 }

@@ -207,3 +207,48 @@ def mix(documents: DataFrame, cfg: MixConfig = MixConfig()) -> DataFrame:
     return out.select(*[F.col("_text").alias("text") if c == "text"
                         else F.length("_text").cast("long").alias(c) if c == "n_chars"
                         else F.col(m).alias(c) for c, m in zip(cols, mine)])
+
+
+def sql(cfg: MixConfig = MixConfig()) -> str:
+    """DuckDB form of ``mix_report``: every seat is listed and given to the highest quotient."""
+    weights = ", ".join(str(float(w)) for w in cfg.weights)
+    return f"""
+WITH sized AS (SELECT row_number() OVER () AS r, doc_id, source,
+    coalesce(len(regexp_extract_all(text, '{WORD}')), 0)::BIGINT AS size FROM documents),
+s0 AS (SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(cfg.weights)} AS k
+  FROM sized GROUP BY source),
+s1 AS (SELECT source, source_size, ([{weights}]::DOUBLE[])[k + 1] AS weight, source_size::DOUBLE * {cfg.max_repeat} AS cap FROM s0),
+s2 AS (SELECT *, cap / weight AS ratio, sum(cap) OVER o AS capped, sum(weight) OVER o AS weighed,
+    (sum(source_size) OVER ())::DOUBLE AS total, sum(weight) OVER () AS weights
+  FROM s1 WINDOW o AS (ORDER BY cap / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+s3 AS (SELECT *, capped + (weights - weighed) * ratio <= total AS at_cap FROM s2),
+s4 AS (SELECT *, coalesce(sum(cap) FILTER (WHERE at_cap) OVER (), 0) AS held, sum(weight) FILTER (WHERE NOT at_cap) OVER () AS free FROM s3),
+t AS (SELECT source, source_size, CASE WHEN at_cap THEN cap ELSE least(cap, weight * ((total - held) / free)) END AS target,
+    greatest(1, ceil(source_size / {cfg.shard_words}))::BIGINT AS shards FROM s4),
+turned AS (SELECT r, doc_id, sized.source, size, source_size, target, shards,
+    ((((coalesce(doc_id, 0) % {_P}) + {_P}) % {_P}) * 48271 + {cfg.seed}) % {_P} AS turn
+  FROM sized JOIN t ON sized.source IS NOT DISTINCT FROM t.source),
+placed AS (SELECT *, turn % shards AS shard, (sum(size) OVER (PARTITION BY source, turn % shards ORDER BY turn, doc_id, size
+    ROWS UNBOUNDED PRECEDING))::BIGINT - size AS at_word FROM turned),
+sh AS (SELECT source, shard, source_size, target, sum(size)::BIGINT AS z, greatest(1, round(sum(size) / {cfg.block_words}))::BIGINT AS blocks
+  FROM placed GROUP BY ALL),
+claimed AS (SELECT *, CASE WHEN source_size > 0 THEN blocks * target / source_size ELSE 0.0 END AS claim FROM sh),
+by_source AS (SELECT source, sum(claim) AS claim FROM claimed GROUP BY source),
+won AS (SELECT source, count(*) AS seats FROM (
+    SELECT source, row_number() OVER (ORDER BY claim / (2 * i + 1) DESC, source NULLS LAST) AS turn
+    FROM (SELECT source, claim, unnest(range(0, ceil(claim)::BIGINT + 2)) AS i FROM by_source WHERE claim > 0))
+  WHERE turn <= (SELECT round(sum(claim)) FROM by_source) GROUP BY source),
+quotas AS (SELECT source, shard, count(*) FILTER (WHERE turn <= seats) AS quota FROM (
+    SELECT c.source, c.shard, seats, row_number() OVER (PARTITION BY c.source ORDER BY c.claim / (2 * i + 1) DESC, c.shard) AS turn
+    FROM (SELECT source, shard, claim, unnest(range(0, ceil(claim)::BIGINT + 2)) AS i FROM claimed WHERE claim > 0) c
+    JOIN won ON c.source IS NOT DISTINCT FROM won.source) GROUP BY source, shard),
+q AS (SELECT c.source, c.shard, z, blocks, least(coalesce(quota, 0), blocks * {cfg.max_repeat})::BIGINT AS quota,
+    (c.shard * 7919 + {cfg.seed}) % blocks AS shift,
+    CASE WHEN blocks % {_STRIDES[0]} <> 0 THEN {_STRIDES[0]} ELSE {_STRIDES[1]} END AS stride
+  FROM claimed c LEFT JOIN quotas ON c.source IS NOT DISTINCT FROM quotas.source AND c.shard = quotas.shard),
+p AS (SELECT placed.*, z, blocks, quota, shift, stride FROM placed
+  JOIN q ON placed.source IS NOT DISTINCT FROM q.source AND placed.shard = q.shard),
+b AS (SELECT r, unnest(range(((at_word + 1) * blocks - 1) // z, ((at_word + size) * blocks - 1) // z + 1)) AS b FROM p WHERE size > 0),
+extra AS (SELECT r, sum(least(at_word + size, (b + 1) * z // blocks) - greatest(at_word, b * z // blocks)) AS n
+  FROM b JOIN p USING (r) WHERE (b * stride + shift) % blocks < quota % blocks GROUP BY r)
+SELECT doc_id, size, source_size, target, ((quota // blocks) * size + coalesce(n, 0))::BIGINT AS taken FROM p LEFT JOIN extra USING (r)"""
