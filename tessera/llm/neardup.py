@@ -156,7 +156,7 @@ def full_sets(documents: DataFrame, cfg: NearConfig) -> DataFrame:
 
 # --- branching --------------------------------------------------------------------------------------------------
 
-NODES = "node long, id long, n long, lo long, hi long, label long"
+NODES = "node long, id long, n long, lo long, hi long, label long, pick int"
 
 
 def root_coordinates(cfg: NearConfig) -> list[tuple[int, int]]:
@@ -170,8 +170,8 @@ def _child(path: np.ndarray, coord: np.ndarray, value: np.ndarray) -> np.ndarray
     return mix64((path ^ mix64(coord.astype(np.uint64) + _STEP[1])) * _STEP[0] + value.astype(np.uint64))
 
 
-def branch(rows: DataFrame, cfg: NearConfig, picks: list[tuple[int, int]] | None) -> DataFrame:
-    """Child nodes of rows with a signature: at the roots by ``picks``, or (None) below each row's node."""
+def branch(rows: DataFrame, cfg: NearConfig, picks: list[tuple[int, tuple[int, int]]] | None) -> DataFrame:
+    """Child nodes of rows with a signature: at the roots by the numbered ``picks``, or (None) below each row's node."""
 
     def run(batches):
         for batch in batches:
@@ -182,7 +182,7 @@ def branch(rows: DataFrame, cfg: NearConfig, picks: list[tuple[int, int]] | None
             sig = np.frombuffer(b"".join(get("signature").to_pylist()), np.uint32).reshape(m, cfg.coords)
             every = np.arange(m)
             if picks is not None:
-                made = [(every, mix64(np.full(m, t + 1, np.uint64)), np.full(m, c)) for t, c in picks]
+                made = [(every, mix64(np.full(m, t + 1, np.uint64)), np.full(m, c), p) for p, (t, c) in picks]
             else:
                 path = np.asarray(get("node")).astype(np.uint64)
                 first = mix64(path ^ _STEP[1])
@@ -191,12 +191,12 @@ def branch(rows: DataFrame, cfg: NearConfig, picks: list[tuple[int, int]] | None
                 c2 = (second % np.uint64(cfg.coords)).astype(np.int64)
                 # the second coordinate in a quarter of the nodes
                 two = np.flatnonzero((second >> np.uint64(62) == 0) & (c1 != c2))
-                made = [(every, path, c1), (two, path[two], c2[two])]
-            at = np.concatenate([x for x, _, _ in made])
-            node = np.concatenate([_child(p, c, sig[x, c]) for x, p, c in made]).astype(np.int64)
-            take = pa.array(at)
-            yield pa.record_batch([pa.array(node), *[get(c).take(take) for c in ("id", "n", "lo", "hi", "label")]],
-                                  names=["node", "id", "n", "lo", "hi", "label"])
+                made = [(every, path, c1, -1), (two, path[two], c2[two], -1)]
+            take = pa.array(np.concatenate([x for x, *_ in made]))
+            node = np.concatenate([_child(path, c, sig[x, c]) for x, path, c, _ in made]).astype(np.int64)
+            pick = np.concatenate([np.full(len(x), k, np.int32) for x, _, _, k in made])
+            yield pa.record_batch([pa.array(node), *[get(c).take(take) for c in ("id", "n", "lo", "hi", "label")], pa.array(pick)],
+                                  names=["node", "id", "n", "lo", "hi", "label", "pick"])
 
     return rows.mapInArrow(run, NODES)
 
@@ -315,16 +315,19 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 
 # --- large nodes ------------------------------------------------------------------------------------------------
 
-def block_links(rows: DataFrame, sets: DataFrame, cfg: NearConfig) -> DataFrame:
+def block_links(rows: DataFrame, sets: DataFrame, homes: DataFrame, cfg: NearConfig) -> DataFrame:
     """Links that join all components inside each node: every pair of its documents is compared
-    unless a link found before (or their labels) already puts both in one component."""
+    unless a link found before (or their labels) already puts both in one component, or both lie in
+    an earlier root node that is compared in blocks too (``homes``: (id, nodes by pick, 0 for none))."""
     blocks = F.ceil(F.col("size") / cfg.block).cast("int")
     own = F.pmod(F.xxhash64("id", "node"), F.col("blocks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
                         lambda o: F.struct(F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j")))
     dealt = (rows.withColumn("blocks", blocks).withColumn("own", own).withColumn("pair", F.explode(pairs))
              .join(sets.select(F.col("id").alias("_set"), "hashes"), F.col("id") == F.col("_set"))
-             .select("node", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "own", "id", "n", "lo", "hi", "label", "hashes"))
+             .join(homes.select(F.col("id").alias("_home"), "nodes"), F.col("id") == F.col("_home"), "left")
+             .select("node", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "own", "id", "n", "lo", "hi", "label", "pick",
+                     "hashes", F.coalesce("nodes", F.array_repeat(F.lit(0).cast("long"), len(root_coordinates(cfg)))).alias("nodes")))
 
     def compare(t: pa.Table) -> pa.Table:
         t = t.sort_by([("id", "ascending")]).combine_chunks()
@@ -335,6 +338,9 @@ def block_links(rows: DataFrame, sets: DataFrame, cfg: NearConfig) -> DataFrame:
         label = t.column("label").fill_null(0).to_numpy()
         alone = t.column("label").is_null().to_numpy(zero_copy_only=False)
         comp = np.unique(np.where(alone, c["id"], label), return_inverse=True)[1]
+        pick = t.column("pick")[0].as_py()
+        home = t.column("nodes").combine_chunks().flatten().to_numpy().reshape(m, -1)
+        home = home if pick < 0 else home[:, :pick]          # roots before this one; all of them below the roots
         a, b = [], []
         every = np.arange(m)
         for x in range(m):
@@ -343,6 +349,7 @@ def block_links(rows: DataFrame, sets: DataFrame, cfg: NearConfig) -> DataFrame:
             if not len(to):
                 continue
             to = to[_close(c, np.full(len(to), x), to, cfg)]
+            to = to[~((home[to] == home[x]) & (home[x] != 0)).any(axis=1)]
             far = np.bitwise_count((c["lo"][to] ^ c["lo"][x]).view(np.uint64)).astype(np.int64) \
                 + np.bitwise_count((c["hi"][to] ^ c["hi"][x]).view(np.uint64))
             for y in to[np.argsort(far, kind="stable")]:
@@ -375,7 +382,7 @@ def _settle(big: DataFrame, sets: DataFrame, scratch: Scratch, cfg: NearConfig,
                            .select(F.col("node").alias("_node"), F.col("label").alias("_label")).distinct(), f"merged-{tag}")
     rows = hit.join(merged, (F.col("node") == F.col("_node")) & (F.col("label") == F.col("_label")), "left")
     label = F.when(F.col("linked") | F.col("_label").isNotNull(), F.col("_name")).otherwise(F.col("label"))
-    rows = scratch.write(rows.select("node", "id", "n", "lo", "hi", label.alias("label")), f"settled-{tag}")
+    rows = scratch.write(rows.select("node", "id", "n", "lo", "hi", label.alias("label"), F.lit(-1).alias("pick")), f"settled-{tag}")
     return links, rows
 
 
@@ -400,8 +407,18 @@ def _mixed(rows: DataFrame, least: int) -> DataFrame:
             .select("node", "size", ((F.col("named") == F.col("size")) & (F.col("x") == F.col("y"))).alias("one")))
 
 
-def _round(documents, keyed, picks, sets, scratch, cfg, tag):
-    """One round of trees: (candidate pairs, links found in large nodes, sets of the documents they need)."""
+def _home(rows: DataFrame, cfg: NearConfig) -> DataFrame:
+    """(id, nodes): each document's root nodes among ``rows``, by pick; 0 where it has none."""
+    one = F.when(F.min("node") == F.max("node"), F.min("node")).otherwise(0)     # a repeated doc_id may have two
+    held = (rows.groupBy("id", "pick").agg(one.alias("node"))
+            .groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("pick", "node"))).alias("_m")))
+    every = F.sequence(F.lit(0), F.lit(len(root_coordinates(cfg)) - 1))
+    return held.select("id", F.transform(every, lambda k: F.coalesce(F.element_at("_m", k), F.lit(0).cast("long"))).alias("nodes"))
+
+
+def _round(documents, keyed, picks, sets, roots, scratch, cfg, tag):
+    """One round of trees: (candidate pairs, links found in large nodes, sets of the documents they need,
+    root rows compared in blocks so far)."""
     rows, level, candidates, found = branch(keyed, cfg, picks), 0, [], []
     while True:
         name = f"{tag}-{level}"
@@ -418,13 +435,16 @@ def _round(documents, keyed, picks, sets, scratch, cfg, tag):
             docs = documents.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("_id"), "left_semi")
             sets = [*sets, scratch.write(full_sets(docs, cfg), f"sets-{name}")]
         if not _some(big):
-            return candidates, found, sets
+            return candidates, found, sets, roots
         last = level >= cfg.depth
         middle = big if last else big.where(F.col("size") <= cfg.block_limit)
-        found.append(scratch.write(block_links(middle, _union(sets), cfg).distinct(), f"blocks-{name}"))
+        if not level:
+            roots = [*roots, middle.select("id", "pick", "node")]
+            homes = scratch.write(_home(_union(roots), cfg), f"homes-{name}")
+        found.append(scratch.write(block_links(middle, _union(sets), homes, cfg).distinct(), f"blocks-{name}"))
         huge = big.where(F.col("size") > cfg.block_limit).drop("size")
         if last or not _some(huge):
-            return candidates, found, sets
+            return candidates, found, sets, roots
         star, settled = _settle(huge, _union(sets), scratch, cfg, name)
         found.append(star)
         still = scratch.write(_mixed(settled, 0).where("NOT one").select("node"), f"open-{name}")
@@ -436,14 +456,14 @@ def _round(documents, keyed, picks, sets, scratch, cfg, tag):
 def links(documents: DataFrame, reps: DataFrame, scratch: Scratch, cfg: NearConfig) -> DataFrame | None:
     """(id, comp) of all representatives that are linked to another one; None if there are none."""
     keyed = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "lo", "hi", "signature")
-    picks = root_coordinates(cfg)
-    known, sets, pairs, found, tested = None, [], [], [], []
+    picks = list(enumerate(root_coordinates(cfg)))
+    known, sets, roots, pairs, found, tested = None, [], [], [], [], []
     for tag, some in (("a", picks[:cfg.first_round]), ("b", picks[cfg.first_round:])):
         if known is None:
             labelled = keyed.withColumn("label", F.lit(None).cast("long"))
         else:
             labelled = keyed.join(known.withColumnRenamed("comp", "label"), "id", "left")
-        more, direct, sets = _round(documents, labelled, some, sets, scratch, cfg, tag)
+        more, direct, sets, roots = _round(documents, labelled, some, sets, roots, scratch, cfg, tag)
         # one partner for each document now: that settles most groups
         fresh = scratch.write(_union(more).distinct(), f"pairs-{tag}")
         first = scratch.write(fresh.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), f"first-{tag}")
