@@ -5,23 +5,24 @@ A representative carries ``coords`` minwise values; a tree branches its document
 the values of one or two coordinates that a hash of the node's path selects (1 / threshold on
 average, so a linked pair meets again in one child on average). Independent ``trees`` repeat this.
 
-* Nodes of at most ``leaf`` documents are compared exhaustively: sizes, then 128 one-bit
-  minwise sketches (a filter six standard deviations wide), then the full sets.
-* Nodes of at most ``block_limit`` documents are compared exhaustively too, in pairs of blocks that
-  hold each document's full set once: two documents are compared unless their component is already
-  the same, so a group of thousands of near copies costs little more than a comparison per copy.
-* Still larger nodes first settle against a pivot, exactly; members linked to it share its label.
-  A node of one label is done (its component is known), every other node branches on.
-* Trees run in two rounds, and the second knows the components of the first.
-* There is no cap on depth, candidates or partners: a node that ``depth`` levels did not split is
-  compared in blocks whatever its size.
-
-With 16 trees a pair at the threshold is missed by one level of branching with probability
-0.16 ** 16; deeper levels only arise in nodes over ``block_limit`` documents.
-
-Everything is Spark jobs over narrow tables in the shared folder. Full sets leave the documents
-only for representatives that share a node with another one and pass the filters or lie in a
-large node. Links become components by distributed min-label propagation with pointer jumping.
+The join runs twice over, first on sketches, then exactly:
+
+1. Candidates. Inside a node documents are compared by set sizes and 128 one-bit minwise sketches (a filter
+   six standard deviations wide): pair by pair in nodes of at most ``leaf`` documents, all at once in nodes
+   of at most ``block_limit``. Larger nodes first meet a pivot; a node whose members all reach it is done, any
+   other branches on. Only a spanning forest of the candidate pairs is kept: its components hold both ends of
+   every pair that passes the filter in some node.
+2. Links. Documents of a candidate component meet once with their full sets, in blocks of at most ``block``
+   documents, and are compared unless a link found before puts them in one component already; so a group
+   of thousands of near copies costs about a comparison per copy. Components over ``block_limit`` go through
+   the same trees again with full sets instead of sketches: pivots, branching, then pairs or blocks.
+
+There is no cap on depth, candidates or partners: a node that ``depth`` levels did not split is compared in
+blocks whatever its size. With 16 trees a pair at the threshold is missed by one level of branching with
+probability 0.16 ** 16; deeper levels only arise in nodes over ``block_limit`` documents.
+
+Everything is Spark jobs over narrow tables in the shared folder; full sets are made only for documents with a
+candidate and shuffled once. Links become components by distributed min-label propagation with pointer jumping.
 
 Cases: null or empty text, or text without words, is an empty set, linked with nothing; with
 fewer words than a shingle the whole sequence is one shingle; rows that repeat a doc_id are
@@ -39,6 +40,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm.common import Scratch, mix64, slices, words_of
 
@@ -49,9 +51,9 @@ class NearConfig:
     percent: int = 80       # linked: 100 * intersection >= percent * union
     trees: int = 16
     leaf: int = 64          # nodes compared pair by pair
-    block_limit: int = 4096  # nodes compared in blocks
-    block: int = 1024       # documents of a block
-    first_round: int = 5    # root branches of the first round
+    block_limit: int = 8192  # nodes and candidate components compared in blocks
+    block: int = 1024       # documents of a block of full sets
+    broadcast_ids: int = 4_000_000   # candidates' ids (a few dozen bytes each) are broadcast up to this count, else joined
     depth: int = 40
     seed: int = 11
     coords: int = 128       # minwise values; one bit of each fills the two sketch words
@@ -142,16 +144,21 @@ def signed(documents: DataFrame, cfg: NearConfig) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SIGNED)
 
 
-def full_sets(documents: DataFrame, cfg: NearConfig) -> DataFrame:
-    """(id, hashes): the full set of every row as packed sorted 64-bit hashes."""
+def full_sets(documents: DataFrame, wanted: DataFrame, cfg: NearConfig) -> DataFrame:
+    """``wanted`` (id and any columns, one row per id) with ``hashes``: the full set as packed sorted 64-bit hashes."""
+    small = wanted.count() <= cfg.broadcast_ids
+    texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(wanted) if small else wanted, "id")
+    names = [c for c in texts.columns if c != "text"]
+    schema = T.StructType([*[texts.schema[c] for c in names], T.StructField("hashes", T.BinaryType())])
+
     def run(batches):
         for batch in batches:
             for part in slices(batch):
-                yield pa.record_batch([part.column("doc_id"),
-                                       pa.array([s.tobytes() for s in shingle_sets(part.column("text"), cfg.words)], pa.binary())],
-                                      names=["id", "hashes"])
+                made = [x.tobytes() for x in shingle_sets(part.column(part.schema.get_field_index("text")), cfg.words)]
+                yield pa.RecordBatch.from_arrays([*[part.column(part.schema.get_field_index(c)) for c in names],
+                                                  pa.array(made, pa.binary())], names=[*names, "hashes"])
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "id long, hashes binary")
+    return texts.mapInArrow(run, schema)
 
 
 # --- branching --------------------------------------------------------------------------------------------------
@@ -313,57 +320,92 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
             return labels
 
 
-# --- large nodes ------------------------------------------------------------------------------------------------
+# --- nodes as wholes --------------------------------------------------------------------------------------------
 
-def block_links(rows: DataFrame, sets: DataFrame, homes: DataFrame, cfg: NearConfig) -> DataFrame:
-    """Links that join all components inside each node: every pair of its documents is compared
-    unless a link found before (or their labels) already puts both in one component, or both lie in
-    an earlier root node that is compared in blocks too (``homes``: (id, nodes by pick, 0 for none))."""
-    blocks = F.ceil(F.col("size") / cfg.block).cast("int")
-    own = F.pmod(F.xxhash64("id", "node"), F.col("blocks")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
-                        lambda o: F.struct(F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j")))
-    dealt = (rows.withColumn("blocks", blocks).withColumn("own", own).withColumn("pair", F.explode(pairs))
-             .join(sets.select(F.col("id").alias("_set"), "hashes"), F.col("id") == F.col("_set"))
-             .join(homes.select(F.col("id").alias("_home"), "nodes"), F.col("id") == F.col("_home"), "left")
-             .select("node", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "own", "id", "n", "lo", "hi", "label", "pick",
-                     "hashes", F.coalesce("nodes", F.array_repeat(F.lit(0).cast("long"), len(root_coordinates(cfg)))).alias("nodes")))
+def forest(t: pa.Table, cfg: NearConfig, home: np.ndarray | None = None) -> pa.Table:
+    """Edges (a, b) that join all components of one group of documents.
 
-    def compare(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("id", "ascending")]).combine_chunks()
-        c = {k: t.column(k).to_numpy() for k in ("id", "n", "lo", "hi", "own")}
-        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-        hashes = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("hashes")]
-        m = len(hashes)
-        label = t.column("label").fill_null(0).to_numpy()
-        alone = t.column("label").is_null().to_numpy(zero_copy_only=False)
-        comp = np.unique(np.where(alone, c["id"], label), return_inverse=True)[1]
-        pick = t.column("pick")[0].as_py()
-        home = t.column("nodes").combine_chunks().flatten().to_numpy().reshape(m, -1)
-        home = home if pick < 0 else home[:, :pick]          # roots before this one; all of them below the roots
-        a, b = [], []
-        every = np.arange(m)
-        for x in range(m):
-            to = every[x + 1:] if i == j else every[x + 1:][c["own"][x + 1:] != c["own"][x]]
-            to = to[comp[to] != comp[x]]
-            if not len(to):
-                continue
-            to = to[_close(c, np.full(len(to), x), to, cfg)]
+    Every two documents are compared, by sizes and sketches and, if the table has ``hashes``, by full sets,
+    unless their component is already the same, both lie in one block (``own``) of a pair of blocks ``i < j``, or
+    they share an entry of ``home`` (they were compared elsewhere).
+    """
+    c = {k: t.column(k).to_numpy() for k in ("id", "n", "lo", "hi")}
+    m = len(c["id"])
+    label = t.column("label").fill_null(0).to_numpy()
+    alone = t.column("label").is_null().to_numpy(zero_copy_only=False)
+    comp = np.unique(np.where(alone, c["id"], label), return_inverse=True)[1]
+    exact = "hashes" in t.column_names
+    hashes = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("hashes")] if exact else None
+    across = "i" in t.column_names and t.column("i")[0].as_py() != t.column("j")[0].as_py()
+    own = t.column("own").to_numpy() if across else None
+    a, b, every = [], [], np.arange(m)
+    for x in range(m):
+        to = every[x + 1:]
+        to = to[comp[to] != comp[x]]
+        if across:
+            to = to[own[to] != own[x]]
+        if not len(to):
+            continue
+        to = to[_close(c, np.full(len(to), x), to, cfg)]
+        if home is not None and len(to):
             to = to[~((home[to] == home[x]) & (home[x] != 0)).any(axis=1)]
+        if not len(to):
+            continue
+        if not exact:
+            _, first = np.unique(comp[to], return_index=True)
+            joined = to[first]
+            comp[np.isin(comp, comp[joined])] = comp[x]
+        else:
             far = np.bitwise_count((c["lo"][to] ^ c["lo"][x]).view(np.uint64)).astype(np.int64) \
                 + np.bitwise_count((c["hi"][to] ^ c["hi"][x]).view(np.uint64))
+            joined = []
             for y in to[np.argsort(far, kind="stable")]:
                 if comp[y] != comp[x] and linked(hashes[x], hashes[y], cfg):
                     comp[comp == comp[y]] = comp[x]
-                    a.append(min(c["id"][x], c["id"][y]))
-                    b.append(max(c["id"][x], c["id"][y]))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                    joined.append(y)
+        for y in joined:
+            a.append(min(c["id"][x], c["id"][y]))
+            b.append(max(c["id"][x], c["id"][y]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def sketch_forest(rows: DataFrame, cfg: NearConfig) -> DataFrame:
+    """Candidate forest of every node of ``rows`` (at most ``block_limit`` narrow rows each)."""
+    return rows.select("node", "id", "n", "lo", "hi", "label").groupBy("node").applyInArrow(
+        lambda t: forest(t.combine_chunks(), cfg), "a long, b long")
+
+
+def block_links(rows: DataFrame, cfg: NearConfig, homes: DataFrame | None = None) -> DataFrame:
+    """Links that join all components inside each node of ``rows`` (node, size, id, n, lo, hi, label, hashes), by full sets.
+
+    ``homes`` (id, nodes by pick, 0 for none) names the root nodes compared in blocks: a pair that shares an
+    earlier one is compared there.
+    """
+    blocks = F.ceil(F.col("size") / cfg.block).cast("int")
+    own = F.pmod(F.xxhash64("id", "node"), F.col("blocks")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
+                        lambda o: F.struct(F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j")))
+    cols = ["node", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "own", "id", "n", "lo", "hi", "label", "hashes"]
+    if homes is not None:
+        rows = rows.join(homes.select(F.col("id").alias("_home"), "nodes"), F.col("id") == F.col("_home"), "left")
+        none = F.array_repeat(F.lit(0).cast("long"), len(root_coordinates(cfg)))
+        cols += ["pick", F.coalesce("nodes", none).alias("nodes")]
+    dealt = rows.withColumn("blocks", blocks).withColumn("own", own).withColumn("pair", F.explode(pairs)).select(*cols)
+
+    def compare(t: pa.Table) -> pa.Table:
+        t = t.sort_by([("id", "ascending")]).combine_chunks()
+        home = None
+        if "pick" in t.column_names:
+            pick = t.column("pick")[0].as_py()
+            home = t.column("nodes").combine_chunks().flatten().to_numpy().reshape(len(t), -1)
+            home = home if pick < 0 else home[:, :pick]          # roots before this one; all of them below the roots
+        return forest(t, cfg, home)
 
     return dealt.groupBy("node", "i", "j").applyInArrow(compare, "a long, b long")
 
 
-def _settle(big: DataFrame, sets: DataFrame, scratch: Scratch, cfg: NearConfig, tag: str):
-    """(links to the pivots, the rows with new labels): each node against its pivot."""
+def _settle(big: DataFrame, sets: DataFrame | None, scratch: Scratch, cfg: NearConfig, tag: str):
+    """(links to the pivots, the rows with new labels): each node against its pivot, by sketches or full sets."""
     turn = F.xxhash64("node", "id")
     pivots = scratch.write(
         big.groupBy("node").agg(F.min(F.struct(F.col("label").isNotNull().alias("done"), turn.alias("turn"),
@@ -372,7 +414,9 @@ def _settle(big: DataFrame, sets: DataFrame, scratch: Scratch, cfg: NearConfig,
     joined = big.join(pivots, "node")
     stars = (joined.where((F.col("id") != F.col("p_id")) & close("", "p_", cfg))
              .select(F.least("id", "p_id").alias("a"), F.greatest("id", "p_id").alias("b")).distinct())
-    links = scratch.write(verified(scratch.write(stars, f"stars-{tag}"), sets, cfg).distinct(), f"links-{tag}")
+    links = scratch.write(stars, f"stars-{tag}")
+    if sets is not None:
+        links = scratch.write(verified(links, sets, cfg).distinct(), f"links-{tag}")
     found = links.select(F.col("a").alias("_a"), F.col("b").alias("_b"))
     hit = joined.join(found, (F.least("id", "p_id") == F.col("_a")) & (F.greatest("id", "p_id") == F.col("_b")), "left")
     hit = scratch.write(hit.select("node", "id", "n", "lo", "hi", "label", F.coalesce("p_label", "p_id").alias("_name"),
@@ -416,37 +460,38 @@ def _home(rows: DataFrame, cfg: NearConfig) -> DataFrame:
     return held.select("id", F.transform(every, lambda k: F.coalesce(F.element_at("_m", k), F.lit(0).cast("long"))).alias("nodes"))
 
 
-def _round(documents, keyed, picks, sets, roots, scratch, cfg, tag):
-    """One round of trees: (candidate pairs, links found in large nodes, sets of the documents they need,
-    root rows compared in blocks so far)."""
-    rows, level, candidates, found = branch(keyed, cfg, picks), 0, [], []
+def _trees(keyed: DataFrame, sets: DataFrame | None, scratch: Scratch, cfg: NearConfig, tag: str) -> list[DataFrame]:
+    """Edges of all trees over ``keyed`` (id, n, lo, hi, label, signature): candidates by sketches, or links by ``sets``."""
+    rows, level, found, homes = branch(keyed, cfg, list(enumerate(root_coordinates(cfg)))), 0, [], None
     while True:
         name = f"{tag}-{level}"
         large = scratch.write(_mixed(rows, cfg.leaf), f"large-{name}")
         pairs = scratch.write(leaf_pairs(rows.join(large.select("node"), "node", "left_anti"), cfg).distinct(), f"pairs-{name}")
-        candidates.append(pairs)
+        found.append(pairs if sets is None else scratch.write(verified(pairs, sets, cfg), f"near-{name}"))
         big = scratch.write(rows.join(large.where("NOT one").select("node", "size"), "node"), f"rows-{name}")
-        if not level:
-            ids = (pairs.select(F.col("a").alias("_id")).union(pairs.select(F.col("b").alias("_id")))
-                   .union(big.select(F.col("id").alias("_id"))).distinct())
-            if sets:
-                ids = ids.join(_union(sets).select(F.col("id").alias("_id")), "_id", "left_anti")
-            ids = scratch.write(ids, f"needed-{name}")
-            docs = documents.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("_id"), "left_semi")
-            sets = [*sets, scratch.write(full_sets(docs, cfg), f"sets-{name}")]
         if not _some(big):
-            return candidates, found, sets, roots
+            return found
         last = level >= cfg.depth
-        middle = big if last else big.where(F.col("size") <= cfg.block_limit)
-        if not level:
-            roots = [*roots, middle.select("id", "pick", "node")]
-            homes = scratch.write(_home(_union(roots), cfg), f"homes-{name}")
-        found.append(scratch.write(block_links(middle, _union(sets), homes, cfg).distinct(), f"blocks-{name}"))
+        middle = big if last and sets is not None else big.where(F.col("size") <= cfg.block_limit)
+        if sets is None:
+            edges = sketch_forest(middle, cfg)
+        else:
+            if not level:
+                homes = scratch.write(_home(middle, cfg), f"homes-{name}")
+            full = middle.join(sets.select(F.col("id").alias("_set"), "hashes"), F.col("id") == F.col("_set"))
+            edges = block_links(full, cfg, homes)
+        found.append(scratch.write(edges.distinct(), f"blocks-{name}"))
         huge = big.where(F.col("size") > cfg.block_limit).drop("size")
-        if last or not _some(huge):
-            return candidates, found, sets, roots
-        star, settled = _settle(huge, _union(sets), scratch, cfg, name)
+        if not _some(huge) or (last and sets is not None):
+            return found
+        star, settled = _settle(huge, sets, scratch, cfg, name)
         found.append(star)
+        if last:
+            # sketches that no level tells apart: the members are candidates of each other
+            found.append(scratch.write(settled.join(settled.groupBy(F.col("node").alias("_node")).agg(F.min("id").alias("a")),
+                                                    F.col("node") == F.col("_node")).where("id <> a")
+                                       .select("a", F.col("id").alias("b")).distinct(), f"rest-{name}"))
+            return found
         still = scratch.write(_mixed(settled, 0).where("NOT one").select("node"), f"open-{name}")
         again = settled.join(still, "node", "left_semi").join(keyed.select("id", "signature"), "id")
         rows = scratch.write(branch(again, cfg, None), f"branched-{name}")
@@ -455,35 +500,26 @@ def _round(documents, keyed, picks, sets, roots, scratch, cfg, tag):
 
 def links(documents: DataFrame, reps: DataFrame, scratch: Scratch, cfg: NearConfig) -> DataFrame | None:
     """(id, comp) of all representatives that are linked to another one; None if there are none."""
-    keyed = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "lo", "hi", "signature")
-    picks = list(enumerate(root_coordinates(cfg)))
-    known, sets, roots, pairs, found, tested = None, [], [], [], [], []
-    for tag, some in (("a", picks[:cfg.first_round]), ("b", picks[cfg.first_round:])):
-        if known is None:
-            labelled = keyed.withColumn("label", F.lit(None).cast("long"))
-        else:
-            labelled = keyed.join(known.withColumnRenamed("comp", "label"), "id", "left")
-        more, direct, sets, roots = _round(documents, labelled, some, sets, roots, scratch, cfg, tag)
-        # one partner for each document now: that settles most groups
-        fresh = scratch.write(_union(more).distinct(), f"pairs-{tag}")
-        first = scratch.write(fresh.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), f"first-{tag}")
-        pairs.append(fresh)
-        tested.append(first)
-        new = [*direct, scratch.write(verified(first, _union(sets), cfg), f"first-links-{tag}")]
-        if any(_some(x) for x in new):
-            found += new
-            known = components(_union(found), scratch, tag)
-    # what is left: pairs between components, all of them
-    rest = _union(pairs).distinct().join(_union(tested), ["a", "b"], "left_anti")
-    if known is not None:
-        rest = (rest.join(known.select(F.col("id").alias("a"), F.col("comp").alias("ca")), "a", "left")
-                .join(known.select(F.col("id").alias("b"), F.col("comp").alias("cb")), "b", "left")
-                .where(~F.coalesce(F.col("ca") == F.col("cb"), F.lit(False))).select("a", "b"))
-    rest = scratch.write(rest, "rest")
-    late = scratch.write(verified(rest, _union(sets), cfg), "rest-links")
-    if _some(late):
-        known = components(_union([*found, late]), scratch, "all")
-    return known
+    keyed = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "lo", "hi",
+                        F.lit(None).cast("long").alias("label"), "signature")
+    edges = scratch.write(_union(_trees(keyed, None, scratch, cfg, "c")).distinct(), "candidates")
+    if not _some(edges):
+        return None
+    near = components(edges, scratch, "near")
+    sizes = scratch.write(near.groupBy(F.col("comp").alias("_comp")).agg(F.count("*").alias("size")), "sizes")
+    members = scratch.write(
+        keyed.drop("signature", "label").join(near, "id").join(sizes, F.col("comp") == F.col("_comp"))
+        .select("id", "n", "lo", "hi", F.col("comp").alias("node"), "size"), "members")
+    full = full_sets(documents, members.where(F.col("size") <= cfg.block_limit).dropDuplicates(["id"]), cfg)
+    found = [scratch.write(block_links(full.withColumn("label", F.lit(None).cast("long")), cfg).distinct(), "links")]
+    giant = scratch.write(members.where(F.col("size") > cfg.block_limit).select("id").distinct(), "giant")
+    if _some(giant):
+        sets = scratch.write(full_sets(documents, giant, cfg), "sets")
+        found += _trees(keyed.join(giant, "id", "left_semi"), sets, scratch, cfg, "x")
+        scratch.drop("sets")
+    if not any(_some(x) for x in found):
+        return None
+    return components(_union(found), scratch, "all")
 
 
 def near_duplicates(documents: DataFrame, cfg: NearConfig = NearConfig()) -> DataFrame:
