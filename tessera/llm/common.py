@@ -17,7 +17,7 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 SPACE = "[\\x20\\x09-\\x0D]+"
 
 #: Text bytes handled at once inside a Python task (a longer single text is one slice).
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:

@@ -40,6 +40,10 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 
 
+#: Text bytes tokenised at once: distinct runs are encoded once for all of them.
+ENCODE_BYTES = 16 << 20
+
+
 @dataclass(frozen=True)
 class PackConfig:
     tokenizer: str | None = None        # path of the tokenizer file; None: the public word_bpe_49k
@@ -151,7 +155,7 @@ def pieces(documents: DataFrame, cfg: PackConfig = PackConfig()) -> DataFrame:
     def cut(batches):
         tokenizer = load(path)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=ENCODE_BYTES):
                 ids, offsets = token_ids(part.column("text"), tokenizer)
                 doc, piece, start, length, crc = [], [], [], [], []
                 for i in range(part.num_rows):
