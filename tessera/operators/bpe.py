@@ -11,6 +11,9 @@ the 256 byte symbols ordered by their printable stand-in, then merges.
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -192,27 +195,30 @@ def _encoder(merges: list[tuple[int, int, int, int]]):
     cache: dict[str, list[int]] = {}
 
     def encode_word(w: str) -> list[int]:
-        """Merge the lowest-rank adjacent pair, all its occurrences left to right; repeat."""
+        """Merge the lowest-rank adjacent pair, leftmost first, until none is left.
+
+        Positions are a linked list and candidate pairs a heap: n log n in the word's bytes. A merge only
+        makes pairs of higher rank than its own, so the heap order is the rank order.
+        """
         syms = [BYTE_IDS[b] for b in w.encode("utf-8")]
-        while len(syms) > 1:
-            best = None
-            for j in range(len(syms) - 1):
-                rk = ranks.get((syms[j], syms[j + 1]))
-                if rk is not None and (best is None or rk[0] < best[0]):
-                    best = (rk[0], rk[1], syms[j], syms[j + 1])
-            if best is None:
-                break
-            _, nid, a, b = best
-            out, j = [], 0
-            while j < len(syms):
-                if j + 1 < len(syms) and syms[j] == a and syms[j + 1] == b:
-                    out.append(nid)
-                    j += 2
-                else:
-                    out.append(syms[j])
-                    j += 1
-            syms = out
-        return syms
+        n = len(syms)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(*ranks[p], i, *p) for i in range(n - 1) if (p := (syms[i], syms[i + 1])) in ranks]
+        heap = [(rank, i, nid, a, b) for rank, nid, i, a, b in heap]
+        heapq.heapify(heap)
+        while heap:
+            _, i, nid, a, b = heapq.heappop(heap)
+            j = after[i]
+            if syms[i] != a or j >= n or syms[j] != b:
+                continue                                   # a merge took one of the two
+            syms[i], syms[j], after[i] = nid, -1, after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for left, right in ((before[i], i), (i, after[i])):
+                if left >= 0 and right < n and (p := (syms[left], syms[right])) in ranks:
+                    rank, made = ranks[p]
+                    heapq.heappush(heap, (rank, left, made, *p))
+        return [s for s in syms if s >= 0]
 
     def encode(text: str) -> list[int]:
         ids: list[int] = []
@@ -235,9 +241,10 @@ def encode_column(text: Column, merges: list[tuple[int, int, int, int]]) -> Colu
     bc = sc.broadcast(merges)
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def _encode(texts: pd.Series) -> pd.Series:
-        enc = _encoder(bc.value)
-        return texts.map(lambda t: None if t is None else enc(t))
+    def _encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        enc = _encoder(bc.value)                           # once per task, with its memo
+        for texts in batches:
+            yield texts.map(lambda t: None if t is None else enc(t))
 
     return _encode(text)
 
@@ -248,10 +255,11 @@ def decode_column(ids: Column, merges: list[tuple[int, int, int, int]]) -> Colum
     bc = sc.broadcast(merges)
 
     @F.pandas_udf(T.StringType())
-    def _decode(rows: pd.Series) -> pd.Series:
+    def _decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tb = vocab_bytes(bc.value)
         for i, s in enumerate(SPECIALS):
             tb[i] = s.encode("utf-8")
-        return rows.map(lambda r: None if r is None else b"".join(tb[int(i)] for i in r).decode("utf-8", "replace"))
+        for rows in batches:
+            yield rows.map(lambda r: None if r is None else b"".join(tb[int(i)] for i in r).decode("utf-8", "replace"))
 
     return _decode(ids)

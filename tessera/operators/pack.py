@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera import config as C
+from tessera.session import written
 
 
 def prefix_sum(df: DataFrame, group: list[str], order: list[str], value: Column, bucket: Column,
@@ -35,7 +36,9 @@ def prefix_sum(df: DataFrame, group: list[str], order: list[str], value: Column,
 
 def line_index(docs: DataFrame, bucket_rows: int = 1 << 20) -> DataFrame:
     """0-based line number of each document inside its corpus shard (source, shard) in pos order."""
-    return prefix_sum(docs, ["source", "shard"], ["pos"], F.lit(1), F.floor(F.col("pos") / bucket_rows), "line_idx")
+    key = ["source", "shard", "pos"]
+    idx = prefix_sum(docs.select(*key), ["source", "shard"], ["pos"], F.lit(1), F.floor(F.col("pos") / bucket_rows), "line_idx")
+    return docs.join(idx, key)
 
 
 def tok_shards(docs: DataFrame, n_shards: Column) -> DataFrame:
@@ -54,9 +57,12 @@ def pack_windows(docs: DataFrame, ids_col: str = "ids", seq_len: int = C.SEQ_LEN
     L = seq_len
     d = docs.select("source", "tok_shard", "shard", "line_idx",
                     F.concat(F.col(ids_col), F.array(F.lit(eos_id))).alias("_ids"))
-    d = d.withColumn("_n", F.size("_ids").cast("bigint"))
-    d = prefix_sum(d, ["source", "tok_shard"], ["shard", "line_idx"], F.col("_n"),
-                   F.col("shard").cast("bigint") * F.lit(1 << 40) + F.floor(F.col("line_idx") / bucket_rows), "_s")
+    # written once: the encoder runs once, and offsets are summed over narrow rows
+    d = written(d.withColumn("_n", F.size("_ids").cast("bigint")))
+    key = ["source", "tok_shard", "shard", "line_idx"]
+    starts = prefix_sum(d.select(*key, "_n"), ["source", "tok_shard"], ["shard", "line_idx"], F.col("_n"),
+                        F.col("shard").cast("bigint") * F.lit(1 << 40) + F.floor(F.col("line_idx") / bucket_rows), "_s")
+    d = d.join(starts.drop("_n"), key)
     spans = d.select("source", "tok_shard", "_ids", "_s", "_n",
                      F.explode(F.sequence(F.floor(F.col("_s") / L), F.floor((F.col("_s") + F.col("_n") - 1) / L)))
                      .alias("window_id"))

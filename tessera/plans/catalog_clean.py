@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera import config as C
@@ -11,8 +11,8 @@ from tessera.operators import ocr as O
 from tessera.operators.clean import clean_documents, clean_stages
 from tessera.plans import oracle as Q
 from tessera.plans import reports as REP
-from tessera.plans.inputs import Inputs
-from tessera.session import cut_lineage
+from tessera.plans.inputs import Inputs, first_records
+from tessera.session import written
 from tessera.sources import registry as R
 
 # ----------------------------------------------------------------------------
@@ -104,7 +104,7 @@ def q_strip_boilerplate(spark: SparkSession, d: str) -> DataFrame:
 
 def q_clean_flatten(spark: SparkSession, d: str) -> DataFrame:
     i = Inputs(spark, d)
-    return i.capped().where("kept").select("source", "shard", "pos", X.flatten_newlines(F.col("text")).alias("line"))
+    return i.clean_table().where("kept").select("source", "shard", "pos", X.flatten_newlines(F.col("text")).alias("line"))
 
 
 def q_ascii_ratio(spark: SparkSession, d: str) -> DataFrame:
@@ -147,21 +147,20 @@ def q_token_budget_cap(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_shard_stats(spark: SparkSession, d: str) -> DataFrame:
-    return REP.shard_stats(Inputs(spark, d).capped())
+    return REP.shard_stats(Inputs(spark, d).clean())
 
 
 def q_phase1_report(spark: SparkSession, d: str) -> DataFrame:
-    return REP.phase1_report(Inputs(spark, d).capped())
+    return REP.phase1_report(Inputs(spark, d).clean())
 
 
 def _pre_ocr_kept(i: Inputs, first_n: int | None = None) -> DataFrame:
     """Documents of strict-OCR sources that pass every gate before OCR (sweep input)."""
     raw = i.raw_with_policy().where("strict_ocr").drop("strict_ocr")
     if first_n is not None:
-        w = Window.partitionBy("source").orderBy("shard", "pos")
-        raw = raw.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= first_n).drop("_rn")
+        raw = first_records(raw, first_n)
     # materialised: the pre-OCR result is a phase output read by the gate
-    return cut_lineage(clean_documents(raw, None, None)).where("kept")
+    return written(clean_documents(raw, None, None)).where("kept")
 
 
 def q_dictionary_build(spark: SparkSession, d: str) -> DataFrame:
@@ -346,17 +345,17 @@ SQL = {
         {Q.clean_ctes()}, {Q.caps_cte().strip()}, {Q.CAPPED.strip()}
         SELECT source, shard, pos, kept, reason, clean_chars FROM capped""",
     "shard_stats": f"""
-        {Q.clean_ctes()}, {Q.caps_cte().strip()}, {Q.CAPPED.strip()}
+        {Q.clean_ctes()}
         SELECT source, shard, count(*) AS streamed, CAST(sum(CASE WHEN kept THEN 1 ELSE 0 END) AS BIGINT) AS kept,
                CAST(sum(CASE WHEN kept THEN clean_chars ELSE 0 END) AS BIGINT) AS clean_chars,
                CAST(floor(sum(CASE WHEN kept THEN clean_chars ELSE 0 END) / {C.CHARS_PER_TOKEN}) AS BIGINT) AS est_tokens
-        FROM capped GROUP BY source, shard""",
+        FROM cleaned GROUP BY source, shard""",
     "phase1_report": f"""
-        {Q.clean_ctes()}, {Q.caps_cte().strip()}, {Q.CAPPED.strip()},
+        {Q.clean_ctes()},
         ps AS (SELECT source, shard, count(*) AS streamed, sum(CASE WHEN kept THEN 1 ELSE 0 END) AS kept,
                       floor(sum(CASE WHEN kept THEN clean_chars ELSE 0 END) / {C.CHARS_PER_TOKEN}) AS est_tokens,
                       {", ".join(f"sum(CASE WHEN reason = '{r}' THEN 1 ELSE 0 END) AS {r}" for r in REP.PHASE1_REASONS)}
-               FROM capped GROUP BY source, shard)
+               FROM cleaned GROUP BY source, shard)
         SELECT coalesce(source, 'TOTAL') AS source,
                {", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in ("streamed", "kept", "est_tokens", *REP.PHASE1_REASONS))}
         FROM ps GROUP BY ROLLUP (source)""",
@@ -364,8 +363,8 @@ SQL = {
 
 SQL["clean_stream"] = SQL["clean_documents"]
 SQL["clean_flatten"] = f"""
-        {Q.clean_ctes()}, {Q.caps_cte().strip()}, {Q.CAPPED.strip()}
-        SELECT source, shard, pos, trim(replace(text, chr(10), ' ')) AS line FROM capped WHERE kept"""
+        {Q.clean_ctes()}
+        SELECT source, shard, pos, trim(replace(text, chr(10), ' ')) AS line FROM cleaned WHERE kept"""
 
 
 _PRE_OCR = Q.clean_ctes(strict=False) + f""",

@@ -12,7 +12,7 @@ from tessera.operators import ocr as O
 from tessera.operators.budget import apply_budget
 from tessera.operators.clean import clean_documents
 from tessera.sources import registry as R
-from tessera.session import cut_lineage
+from tessera.session import written
 from tessera.sources.tables import raw_docs, read_table
 
 
@@ -52,9 +52,8 @@ class Inputs:
         return R.shard_plan(man, self.registry, web_shards=web_shards)
 
     def clean_table(self) -> DataFrame:
-        """The clean result, materialised once (reliable checkpoint in the shared
-        checkpoint folder) for operators that read it more than once."""
-        return cut_lineage(self.clean())
+        """The clean result, written once for operators that read it more than once."""
+        return written(self.clean())
 
     def capped(self) -> DataFrame:
         return apply_budget(self.clean_table(), self.caps())
@@ -77,10 +76,23 @@ class Inputs:
         from tessera.plans.corpus import build_corpus, corpus_rows
         built = build_corpus(self.corpus_input(policy=("near_dup", "decontaminate")), self.table("benchmark"),
                              self.cfg.dedup)
-        return cut_lineage(corpus_rows(built))
+        return written(corpus_rows(built))
 
     def first_n(self, n: int) -> DataFrame:
         """First n raw records per source in record order (sampling operator)."""
-        from pyspark.sql import Window
-        w = Window.partitionBy("source").orderBy("shard", "pos")
-        return self.raw.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+        return first_records(self.raw, n)
+
+
+def first_records(raw: DataFrame, n: int, salts: int = 32) -> DataFrame:
+    """The ``n`` records of each source with the smallest (shard, pos).
+
+    The keys are chosen without the text, first inside salted parts of a source (a hot source is dealt over
+    ``salts`` tasks), then among the at most ``salts * n`` left; the text only meets the chosen keys.
+    """
+    from pyspark.sql import Window
+    order = ["shard", "pos"]
+    keys = raw.select("source", *order).withColumn("_s", F.pmod(F.xxhash64(*order), F.lit(salts)))
+    for part in (["source", "_s"], ["source"]):
+        rank = F.row_number().over(Window.partitionBy(*part).orderBy(*order))
+        keys = keys.withColumn("_rn", rank).where(F.col("_rn") <= n)
+    return raw.join(keys.select("source", *order), ["source", *order], "left_semi")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +56,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared checkpoint folder, read back: cuts lineage, keeps column
+    pruning and filter push-down, and gives the optimizer a size. For wide rows (text, token ids)."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/tessera-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
