@@ -64,7 +64,7 @@ def near_copies(seed, groups=3, size=40, words=70):
 @pytest.mark.parametrize("cfg", [
     neardup.NearConfig(words=4),                                     # pairs
     neardup.NearConfig(words=4, leaf=8, block=10),                   # several blocks a component
-    neardup.NearConfig(words=4, leaf=4, block_limit=12, block=8, depth=6, broadcast_ids=0),   # pivots, branching, then blocks
+    neardup.NearConfig(words=4, leaf=4, block_limit=12, block=8, depth=2, broadcast_ids=0),   # pivots, branching, then blocks
 ])
 def test_components_equal_brute_force(spark, cfg):
     rows = near_copies(cfg.leaf)
