@@ -133,9 +133,10 @@ def fuse(rows: DataFrame, model, cfg: LangConfig = LangConfig()) -> DataFrame:
         table = seen.where(F.col(column).isNotNull()).groupBy(F.col(column).alias(f"_{name}")).agg(*sums(f"{name}_"))
         return scratch.write(table, name)
 
-    whole = scratch.write(seen.agg(*sums("all_")), "all")          # one row
-    claimed = scratch.write(seen.where(F.col("declared").isNotNull()).agg(*sums("claim_")), "claimed")   # one row
-    j = seen.crossJoin(F.broadcast(whole)).crossJoin(F.broadcast(claimed))      # two tables of one row each
+    # two rows of one number per language
+    whole = seen.agg(*sums("all_")).first()
+    claimed = seen.where(F.col("declared").isNotNull()).agg(*sums("claim_")).first()
+    j = seen
     for column, name in (("host", "host"), ("suffix", "suffix"), ("declared", "said")):
         j = j.join(by(column, name), F.col(column) == F.col(f"_{name}"), "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
@@ -144,11 +145,11 @@ def fuse(rows: DataFrame, model, cfg: LangConfig = LangConfig()) -> DataFrame:
     size = lambda name: F.greatest(F.coalesce(F.col(f"_{name}_n"), F.lit(1)) - 1, F.lit(0)).cast("double")
     values = []
     for i, lang in enumerate(langs):
-        overall = (F.col(f"_all_{i}") + 1.0) / (F.col("_all_n") + float(len(langs)))
+        overall = F.lit(((whole[f"_all_{i}"] or 0.0) + 1.0) / (whole["_all_n"] + len(langs)))
         suffix = (less("suffix", i) + cfg.suffix_weight * overall) / (size("suffix") + cfg.suffix_weight)
         host = (less("host", i) + cfg.host_weight * suffix) / (size("host") + cfg.host_weight)
         expected = F.when(F.col("declared") == lang, cfg.declared_trust).otherwise((1 - cfg.declared_trust) / len(langs))
-        said = (zero(f"_said_{i}") + cfg.declared_weight * expected) / (zero(f"_claim_{i}") + cfg.declared_weight)
+        said = (zero(f"_said_{i}") + cfg.declared_weight * expected) / ((claimed[f"_claim_{i}"] or 0.0) + cfg.declared_weight)
         values.append(F.col("ll")[i] + F.log(host) + F.when(F.col("declared").isNotNull(), F.log(said)).otherwise(0.0))
     j = j.select(*keep, F.array(*_softmax(values)).alias("_post"))
     best = F.array_max("_post")
