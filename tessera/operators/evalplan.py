@@ -58,6 +58,12 @@ def epoch_plan(windows: DataFrame, world_size: int = 8, per_gpu_windows: int = 6
     return plan.where((F.col("step") < steps) & (F.col("step") >= start_step))
 
 
+def gather_windows(plan: DataFrame, windows: DataFrame) -> DataFrame:
+    """Token rows by position: each planned slot with the ids of its window (one equi-join on the window's key)."""
+    key = ["source", "tok_shard", "window_id"]
+    return plan.select("rank", "step", "micro", "rank_pos", *key).join(windows.select(*key, "ids"), key)
+
+
 def eval_window_plan(windows: DataFrame, world_size: int = 8, n_windows: int = 64) -> DataFrame:
     """Validation windows read by the in-training check: the flat validation index
     (files in (source, tok_shard) order, windows in order) strided over ranks, the

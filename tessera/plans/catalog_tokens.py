@@ -19,6 +19,7 @@ from tessera.operators import pack as P
 from tessera.plans import oracle as Q
 from tessera.plans.catalog_dedup import _ALL as CORPUS_SQL
 from tessera.plans.inputs import Inputs
+from tessera.session import written
 from tessera.sources import registry as R
 
 L = C.FIXTURE_SEQ_LEN
@@ -97,6 +98,11 @@ def _windows(spark: SparkSession, d: str) -> DataFrame:
     return P.pack_windows(lines, "ids", L, B.EOS_ID, VAL_EVERY)
 
 
+def _written_windows(spark: SparkSession, d: str) -> DataFrame:
+    """The windows as a written table, for queries that read them more than once."""
+    return written(_windows(spark, d))
+
+
 def q_pack_windows(spark: SparkSession, d: str) -> DataFrame:
     return _windows(spark, d)
 
@@ -117,18 +123,25 @@ def q_pack_windows_bpe(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_epoch_plan(spark: SparkSession, d: str) -> DataFrame:
-    return EP.epoch_plan(_windows(spark, d), WORLD, PER_GPU, MICRO)
+    return EP.epoch_plan(_written_windows(spark, d), WORLD, PER_GPU, MICRO)
+
+
+def q_epoch_gather(spark: SparkSession, d: str) -> DataFrame:
+    """The token rows that each rank reads, step by step: the plan joined to the windows it names."""
+    windows = _written_windows(spark, d)
+    return EP.gather_windows(EP.epoch_plan(windows, WORLD, PER_GPU, MICRO), windows)
 
 
 def q_perplexity_rollup(spark: SparkSession, d: str) -> DataFrame:
-    return EP.perplexity_rollup(EP.unigram_losses(_windows(spark, d), V))
+    return EP.perplexity_rollup(EP.unigram_losses(_written_windows(spark, d), V))
 
 
 def q_eval_windows(spark: SparkSession, d: str) -> DataFrame:
-    return EP.eval_window_plan(_windows(spark, d), WORLD, EVAL_WINDOWS)
+    return EP.eval_window_plan(_written_windows(spark, d), WORLD, EVAL_WINDOWS)
 
 
 QUERIES = {
+    "epoch_gather": q_epoch_gather,
     "eval_windows": q_eval_windows,
     "pretoken_counts": q_pretoken_counts,
     "bpe_train": q_bpe_train,
@@ -222,3 +235,7 @@ vw AS (SELECT source, tok_shard, window_id,
 SELECT source, tok_shard, window_id, global_idx, CAST(global_idx % {WORLD} AS INTEGER) AS rank,
        CAST(global_idx // {WORLD} AS BIGINT) AS slot
 FROM vw WHERE global_idx // {WORLD} < {EVAL_WINDOWS}"""
+_PLAN_END = "SELECT * FROM pl WHERE step < (SELECT count(*) FROM tw)"
+SQL["epoch_gather"] = SQL["epoch_plan"].replace(
+    _PLAN_END, "SELECT pl.rank, pl.step, pl.micro, pl.rank_pos, pl.source, pl.tok_shard, pl.window_id, win.ids "
+    "FROM pl JOIN win USING (source, tok_shard, window_id) WHERE step < (SELECT count(*) FROM tw)")
