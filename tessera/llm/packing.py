@@ -41,7 +41,7 @@ _BLANK[[9, 10, 11, 12, 13, 32]] = True
 
 
 #: Text bytes tokenised at once: distinct runs are encoded once for all of them.
-ENCODE_BYTES = 16 << 20
+ENCODE_BYTES = 6 << 20
 
 
 @dataclass(frozen=True)
