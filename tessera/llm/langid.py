@@ -9,8 +9,9 @@ For every row and language l the log-posterior adds up
   which is smoothed towards all rows.
 
 Shares and ``P(declared | l)`` are soft counts of the text posteriors, by grouped aggregation over all
-rows (partial sums per task, so a hot host is a few rows). Only the n-gram table is learned from a bounded
-sample (``sample`` labelled documents with the smallest id hash). One pass reads the texts and writes a
+rows (partial sums per task, so a hot host is a few rows). The languages are all that any labelled document
+has, by grouped aggregation. Only the n-gram table is learned from a bounded sample: all documents of a
+language that has at most ``sample``, else about ``sample`` of them by their hash. One pass reads the texts and writes a
 narrow table; the joins after it carry no text.
 
 Cases: null or empty text has no text evidence and falls back on the others; a null host, suffix or
@@ -35,7 +36,7 @@ from tessera.llm.urlfilter import host_of
 
 @dataclass(frozen=True)
 class LangConfig:
-    sample: int = 4000          # labelled documents the n-gram table is learned from, at most
+    sample: int = 4000          # labelled documents of each language the n-gram table is learned from, about
     bits: int = 16
     grams: tuple[int, int] = (1, 3)
     add: float = 0.1
@@ -57,25 +58,30 @@ def word_grams(texts: pa.Array, cfg: LangConfig):
 
 def learn(documents: DataFrame, cfg: LangConfig = LangConfig()):
     """(languages, log-likelihoods [buckets x languages]) from (doc_id, text, lang)."""
-    named = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    ids = named.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(cfg.sample).distinct()
-    texts = named.select("doc_id", "lang", "text").join(F.broadcast(ids), "doc_id")     # at most ``sample`` ids
+    named = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    sizes = {r["lang"]: r["n"] for r in named.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    # one row per language; a document is in the sample by its own hash: no sort, and no language meets in one task
+    least = documents.sparkSession.createDataFrame([(x, min(1.0, cfg.sample / n)) for x, n in sizes.items()], "lang string, _share double")
+    draw = (F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53)))
+    texts = (named.join(F.broadcast(least), "lang").where((F.col("_share") >= 1.0) | (draw < F.col("_share")))
+             .select("lang", "text"))
 
     def count(batches):
+        made = {}
         for batch in batches:
             for part in slices(batch):
-                langs = np.array(part.column(1).to_pylist())
-                bucket, owner, codes, offsets, n = word_grams(part.column(2), cfg)
-                names, made = sorted(set(langs)), []
-                for name in names:
+                langs = np.array(part.column(0).to_pylist())
+                bucket, owner, codes, offsets, n = word_grams(part.column(1), cfg)
+                for name in sorted(set(langs)):
                     mine = np.concatenate([codes[a:b] for a, b, x in zip(offsets[:-1], offsets[1:], langs) if x == name])
                     times = np.bincount(mine, minlength=n) if n else np.zeros(0)
-                    made.append(np.bincount(bucket, times[owner], 1 << cfg.bits).tobytes())
-                yield pa.record_batch([pa.array(names), pa.array(made, pa.binary())], names=["lang", "counts"])
+                    made[name] = made.get(name, 0) + np.bincount(bucket, times[owner], 1 << cfg.bits)
+        for name, counts in made.items():
+            yield pa.record_batch([pa.array([name]), pa.array([counts.tobytes()], pa.binary())], names=["lang", "counts"])
 
-    totals: dict[str, np.ndarray] = {}
+    totals: dict[str, np.ndarray] = {x: np.zeros(1 << cfg.bits) for x in sizes}
     for row in texts.mapInArrow(count, "lang string, counts binary").toLocalIterator():
-        totals[row["lang"]] = totals.get(row["lang"], 0) + np.frombuffer(row["counts"], np.float64)
+        totals[row["lang"]] = totals[row["lang"]] + np.frombuffer(row["counts"], np.float64)
     langs = sorted(totals)
     if not langs:
         return [], np.zeros((1 << cfg.bits, 0), np.float32)
@@ -107,13 +113,12 @@ def evidence(rows: DataFrame, model, cfg: LangConfig) -> DataFrame:
     return rows.mapInArrow(run, T.StructType([*rest, T.StructField("ll", T.ArrayType(T.DoubleType()))]))
 
 
-def _softmax(values: list):
-    top = F.greatest(*values) if len(values) > 1 else values[0]
-    e = [F.exp(v - top) for v in values]
-    total = e[0]
-    for x in e[1:]:
-        total = total + x
-    return [x / total for x in e]
+def _softmax(rows: DataFrame, values: str, out: str) -> DataFrame:
+    """``rows`` with the softmax of the array ``values`` in ``out``: a projection per step, linear in the languages."""
+    return (rows.withColumn("_top", F.array_max(values))
+            .withColumn("_e", F.transform(values, lambda v: F.exp(v - F.col("_top"))))
+            .withColumn("_total", F.aggregate("_e", F.lit(0.0), lambda a, x: a + x))
+            .withColumn(out, F.transform("_e", lambda x: x / F.col("_total"))).drop("_top", "_e", "_total"))
 
 
 def fuse(rows: DataFrame, model, cfg: LangConfig = LangConfig()) -> DataFrame:
@@ -125,8 +130,8 @@ def fuse(rows: DataFrame, model, cfg: LangConfig = LangConfig()) -> DataFrame:
     scratch = Scratch(rows.sparkSession)
     k = range(len(langs))
     seen = evidence(rows, model, cfg)
-    p = _softmax([F.col("ll")[i] for i in k])
-    seen = scratch.write(seen.select(*keep, "ll", *[x.alias(f"_p{i}") for i, x in enumerate(p)]), "evidence")
+    seen = _softmax(seen, "ll", "_p")
+    seen = scratch.write(seen.select(*keep, "ll", *[F.col("_p")[i].alias(f"_p{i}") for i in k]), "evidence")
     sums = lambda name: [F.sum(f"_p{i}").alias(f"_{name}{i}") for i in k] + [F.count("*").alias(f"_{name}n")]
 
     def by(column: str, name: str) -> DataFrame:
@@ -151,7 +156,7 @@ def fuse(rows: DataFrame, model, cfg: LangConfig = LangConfig()) -> DataFrame:
         expected = F.when(F.col("declared") == lang, cfg.declared_trust).otherwise((1 - cfg.declared_trust) / len(langs))
         said = (zero(f"_said_{i}") + cfg.declared_weight * expected) / ((claimed[f"_claim_{i}"] or 0.0) + cfg.declared_weight)
         values.append(F.col("ll")[i] + F.log(host) + F.when(F.col("declared").isNotNull(), F.log(said)).otherwise(0.0))
-    j = j.select(*keep, F.array(*_softmax(values)).alias("_post"))
+    j = _softmax(j.select(*keep, F.array(*values).alias("_value")), "_value", "_post").select(*keep, "_post")
     best = F.array_max("_post")
     return j.select(*keep, F.element_at(F.array(*[F.lit(x) for x in langs]), F.array_position("_post", best).cast("int")).alias("lang_id"),
                     best.alias("score"))

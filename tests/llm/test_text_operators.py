@@ -301,6 +301,19 @@ def test_evidence_without_text(spark):
     assert langid.fuse(langid.document_rows(odd_documents(spark)), langid.learn(odd_documents(spark))).count() == 9
 
 
+def test_a_rare_language_keeps_its_label(spark):
+    docs = read(spark, SF01, "documents").where("length(text) > 200").select("doc_id", "text", "lang", "source").collect()
+    rare = [(10 ** 6 + i, f"kivu zorpa {w} talmex ruqo bandril vostu {w} nemkaj ruqo zorpa pelnit", "xq", "s")
+            for i, w in enumerate(("jorvat", "hulmex", "tazniq"))]
+    df = spark.createDataFrame([(r.doc_id, r.text, r.lang, r.source) for r in docs] + rare, "doc_id long, text string, lang string, source string")
+    cfg = langid.LangConfig(sample=40)          # of several hundred documents
+    model = langid.learn(df, cfg)
+    assert model[0] == sorted({r.lang for r in docs} | {"xq"})
+    got = {r.doc_id: r.lang_id for r in langid.fuse(langid.document_rows(df), model, cfg).collect()}
+    assert [got[i] for i, *_ in rare] == ["xq"] * 3
+    assert np.mean([got[r.doc_id] == r.lang for r in docs]) > 0.95
+
+
 # --- URL filters ------------------------------------------------------------------------------------------------
 
 def test_url_parts_and_rules_by_hand(spark):
