@@ -21,9 +21,12 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Line dedup: lines that are boilerplate of their source go; ``n_chars`` follows the text."""
+    """Line dedup: lines that are boilerplate of their source go; ``n_chars`` follows the text.
+
+    Copies of a document count as one page: near-dedup comes after, and must find one full text of them."""
     from pyspark.sql import functions as F
-    return linededup.drop_boilerplate(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    cfg = linededup.LineConfig(distinct=True)
+    return linededup.drop_boilerplate(docs, cfg=cfg).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

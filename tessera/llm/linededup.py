@@ -13,8 +13,9 @@ Text moves at most once.
 
 Cases: null text stays null (no lines); a null host is no site, its pages stay as they are;
 blank lines are never boilerplate; a line counts once per page however often it repeats;
-pages that repeat as rows count as pages of their own; a page that loses every line stays with
-empty text; an empty table gives an empty result; other columns pass through.
+pages that repeat as rows count as pages of their own unless ``distinct`` is set: then pages of a
+host with the same text count once, in the lines as in the host total (null texts as one text), and
+still all of them lose the boilerplate; a page that loses every line stays with empty text; an empty table gives an empty result; other columns pass through.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ class LineConfig:
     ratio: float = 0.05
     min_pages: int = 3
     salts: int = 16
+    distinct: bool = False      # count each text of a host once
 
 
 def line_key(line):
@@ -46,10 +48,13 @@ def page_keys(text):
 
 def boilerplate(pages: DataFrame, host: str, text: str, cfg: LineConfig = LineConfig()) -> DataFrame:
     """(host, keys): the boilerplate digests of each host that has any."""
-    named = pages.where(F.col(host).isNotNull()).select(F.col(host).alias("host"), F.col(text).alias("text"))
+    named = (pages.where(F.col(host).isNotNull())
+             .select(F.col(host).alias("host"), F.unhex(F.md5(F.col(text))).alias("page"), page_keys(F.col(text)).alias("keys")))
+    if cfg.distinct:
+        # copies collapse per task before the exchange; digests travel, not text
+        named = named.dropDuplicates(["host", "page"])
     blank = F.unhex(F.md5(F.lit("")))
-    lines = (named.where(F.col("text").isNotNull())
-             .select("host", F.explode(page_keys(F.col("text"))).alias("key"))
+    lines = (named.select("host", F.explode("keys").alias("key"))
              .where(F.col("key") != blank)
              .groupBy("host", "key").agg(F.count("*").alias("n"))
              .where(F.col("n") >= cfg.min_pages))

@@ -99,6 +99,16 @@ def test_lines_by_hand(spark):
     assert linededup.drop_boilerplate(empty_documents(spark)).count() == 0
 
 
+def test_a_copied_document_outlives_line_dedup(spark):
+    import corpus_pipeline
+    copied = "\n".join(f"line {k} of the copied text says {k * 7} things" for k in range(6))
+    rows = [(i, copied if i % 3 == 0 else f"menu of the site\nwords{i} only{i} here{i} on{i} page{i} {i}", "en", "s", 0) for i in range(60)]
+    lines = corpus_pipeline.line_stage(spark, spark.createDataFrame(rows, DOCS), "")
+    got = {r.doc_id: r.text for r in corpus_pipeline.near_stage(spark, lines, "").collect()}
+    assert [t for t in got.values() if t == copied] == [copied] and len(got) == 41
+    assert not any("menu" in t for t in got.values())          # 40 of 41 texts
+
+
 # --- license scans ----------------------------------------------------------------------------------------------
 
 def test_licenses_by_hand(spark):
