@@ -127,6 +127,28 @@ def test_licenses_by_hand(spark):
     assert licenses.scan(empty_documents(spark)).count() == 0
 
 
+def test_whole_licence_files_and_wrapped_notices(spark):
+    import textwrap
+    wrap = lambda text, mark="", width=70: "\n".join(mark + x for x in textwrap.wrap(text, width))
+    longest = {name: max((t for n, t in licenses.TEMPLATES if n == name), key=len) for name, _ in licenses.TEMPLATES}
+    head = "The MIT License (MIT)\n\nCopyright (c) 2020 A. Name\n\n"
+    prose = "\n".join(f"def name{i}(x{i}): return x{i} + {i} of the list" for i in range(300))
+    at = 40
+    body = prose.split("\n")
+    rows = [(1, head + wrap(licenses._MIT) + "\n\n" + wrap(licenses._MIT_WARRANTY)),
+            (2, "Copyright (c) 2020, A. Name\n\n" + wrap(licenses._ISC) + "\n\n" + wrap(licenses._ISC_WARRANTY)),
+            (3, wrap(longest["Apache-2.0"], "# ") + "\n" + prose),
+            (4, "\n".join([*body[:at], wrap(longest["GPL-3.0"], " * "), *body[at:]])),
+            (5, "\n".join([*body[:at], "", wrap(longest["BSD-3-Clause"], "// "), "", *body[at:]])),
+            (6, "\n".join([*body[:at], wrap("Licensed under the Apache License, Version 2.0.", "-- ", 25), *body[at:]])),
+            (7, prose)]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i].license for i in range(1, 8)] == ["MIT", "ISC", "Apache-2.0", "GPL-3.0", "BSD-3-Clause", "Apache-2.0", None]
+    assert [(got[i].dice, got[i].line) for i in (1, 2)] == [(1.0, 5), (1.0, 3)]          # the grant without the warranty
+    assert (got[3].line, got[3].dice) == (1, 1.0) and (got[4].line, got[4].dice) == (at + 1, 1.0)
+    assert (got[5].line, got[5].dice) == (at + 2, 1.0) and (got[6].line, got[6].dice) == (at + 1, 1.0)
+
+
 def test_license_size_bounds_lose_nothing():
     cfg = licenses.LicenseConfig()
     for _, _, grams, lo, hi in licenses.bounds(cfg):
