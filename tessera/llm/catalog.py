@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import hashing, langid, licenses, linededup, mixing, neardup, packing, quality, topk, urlfilter
+from tessera.llm import (chat, hashing, langid, licenses, linededup, mixing, neardup, packing, phrases, quality, spelling, topk,
+                         urlfilter)
 from tessera.llm.common import read
 
 
@@ -57,6 +58,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= cfg.threshold).cast("int").alias("predicted"))
 
 
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.report(read(spark, sf_dir, "conversations")).drop("n_tokens")
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(read(spark, sf_dir, "documents", "text", "lang"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_near_dedup": op2_near_dedup,
@@ -68,6 +81,9 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_top_k": op9_top_k,
     "op10_quality": op10_quality,
+    "op11_chat_format": op11_chat_format,
+    "op12_spelling": op12_spelling,
+    "op13_phrases": op13_phrases,
 }
 
 SQL = {
@@ -76,4 +92,7 @@ SQL = {
     "op4_line_dedup": linededup.sql(),
     "op5_mixing": mixing.sql(),
     "op9_top_k": topk.sql(),
+    "op11_chat_format": chat.SQL,
+    "op12_spelling": spelling.sql(),
+    "op13_phrases": phrases.sql(),
 }

@@ -5,6 +5,7 @@ Words are the runs ``[^\\x20\\x09-\\x0D]+`` everywhere in this package.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -13,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_LIBC = ctypes.CDLL(None)
+
 WORD = "[^\\x20\\x09-\\x0D]+"
 SPACE = "[\\x20\\x09-\\x0D]+"
 
@@ -92,29 +95,72 @@ def slices(batch: pa.RecordBatch, text_col: str = "text", limit: int = SLICE_BYT
         at = to
 
 
-def cut_strings(data: np.ndarray, starts: np.ndarray, keep: np.ndarray) -> pa.Array:
-    """Strings that begin where ``starts`` is set and hold the bytes where ``keep`` is set."""
+def released(run):
+    """The Arrow function ``run``, giving free memory back to the system between batches and at its end: a Python worker
+    outlives its task, and what it keeps adds to the next stage's."""
+    def wrapped(batches):
+        def each():
+            for batch in batches:
+                yield batch
+                release()
+
+        yield from run(each())
+        release()
+
+    return wrapped
+
+
+def release() -> None:
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
+def run_ends(starts: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte, end) of the runs that begin where ``starts`` is set and last while ``keep`` is, up to the next start.
+
+    Positions are counted per run, never per byte."""
     pos = np.flatnonzero(starts)
-    offsets = np.empty(len(pos) + 1, np.int64)
-    body = data[keep]
-    offsets[:-1] = np.cumsum(keep)[pos] - 1
-    offsets[-1] = len(body)
-    return pa.LargeStringArray.from_buffers(len(pos), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(body)))
+    last = keep.copy()
+    last[:-1] &= ~keep[1:]
+    stops = np.flatnonzero(last) + 1
+    ends = stops[np.searchsorted(stops, pos, side="right")] if len(pos) else pos
+    if len(pos) > 1:
+        np.minimum(ends[:-1], pos[1:], out=ends[:-1])
+    return pos, ends
+
+
+def cut_strings(data: np.ndarray, starts: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """First bytes of the runs that begin where ``starts`` is set and hold the bytes where ``keep`` is set; their strings."""
+    pos, ends = run_ends(starts, keep)
+    offsets = np.zeros(len(pos) + 1, np.int64)
+    np.cumsum(ends - pos, out=offsets[1:])
+    return pos, pa.LargeStringArray.from_buffers(len(pos), pa.py_buffer(offsets), pa.py_buffer(data[keep]))
+
+
+def ascii_lower_bytes(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z lower-cased."""
+    return data + (((data >= 65) & (data <= 90)).astype(np.uint8) << np.uint8(5))
+
+
+def run_starts(keep: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Where maximal runs of ``keep`` begin; a row's end ends a run."""
+    starts = keep.copy()
+    starts[1:] &= ~keep[:-1]
+    first = off[:-1][off[:-1] < off[1:]]
+    starts[first] = keep[first]
+    return starts
 
 
 def words_of(texts: pa.Array, ascii_lower: bool = False) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """(codes, row offsets, distinct words): word ``k`` of row ``i`` is ``words[codes[offsets[i] + k]]``."""
     data, off = text_bytes(texts)
     if ascii_lower:
-        data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data).astype(np.uint8)
+        data = ascii_lower_bytes(data)
     keep = ~_SPACE[data]
-    starts = keep.copy()
-    starts[1:] &= ~keep[:-1]
-    first = off[:-1][off[:-1] < off[1:]]
-    starts[first] = keep[first]
-    encoded = cut_strings(data, starts, keep).dictionary_encode()
-    counts = np.concatenate([[0], np.cumsum(starts)])
-    return np.asarray(encoded.indices), counts[off], encoded.dictionary.to_pylist()
+    pos, strings = cut_strings(data, run_starts(keep, off), keep)
+    encoded = strings.dictionary_encode()
+    return np.asarray(encoded.indices), np.searchsorted(pos, off), encoded.dictionary.to_pylist()
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

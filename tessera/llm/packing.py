@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, slices, text_bytes, cut_strings
+from tessera.llm.common import Scratch, ascii_lower_bytes, cut_strings, released, slices, text_bytes
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -131,7 +131,7 @@ def token_ids(texts: pa.Array, tokenizer) -> tuple[np.ndarray, np.ndarray]:
     if any(s in whole for s in special):
         starts[1:] &= ~keep[:-1]
     else:
-        data = data + (((data >= 65) & (data <= 90)).astype(np.uint8) << np.uint8(5))   # the vocabulary is lower case
+        data = ascii_lower_bytes(data)                          # the vocabulary is lower case
         letter, punct = _LETTER[data], _PUNCT[data]
         cut = ~keep[:-1]
         cut |= letter[:-1] & punct[1:]
@@ -139,13 +139,14 @@ def token_ids(texts: pa.Array, tokenizer) -> tuple[np.ndarray, np.ndarray]:
         starts[1:] &= cut
     first = off[:-1][off[:-1] < off[1:]]
     starts[first] = keep[first]
-    encoded = cut_strings(data, starts, keep).dictionary_encode()
+    pos, strings = cut_strings(data, starts, keep)
+    encoded = strings.dictionary_encode()
     codes = np.asarray(encoded.indices)
     flat, offsets = encode_runs(encoded.dictionary.to_pylist(), tok, ends)
     lengths = np.diff(offsets)[codes] if len(codes) else np.zeros(0, np.int64)
     ids = flat[ranges(offsets[codes], lengths)] if len(codes) else np.zeros(0, np.uint32)
     per_run = np.concatenate([[0], np.cumsum(lengths)])
-    return ids, per_run[np.concatenate([[0], np.cumsum(starts)])[off]]
+    return ids, per_run[np.searchsorted(pos, off)]
 
 
 def pieces(documents: DataFrame, cfg: PackConfig = PackConfig()) -> DataFrame:
@@ -172,7 +173,7 @@ def pieces(documents: DataFrame, cfg: PackConfig = PackConfig()) -> DataFrame:
                                       names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+        released(cut), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(lengths: np.ndarray, cfg: PackConfig = PackConfig()) -> tuple[np.ndarray, np.ndarray]:
