@@ -34,6 +34,7 @@ VAL_EVERY_N_WINDOWS = 100
 TRAIN_SEED = 1337
 MICRO_BATCH = 32
 GLOBAL_BATCH_TOKENS = 524_288
+EVAL_WINDOWS = 64
 
 SPECIAL_TOKENS = ("<|bos|>", "<|eos|>", "<|pad|>", "<|unk|>")
 CHAT_TOKENS = ("<|user|>", "<|assistant|>", "<|system|>")
@@ -76,9 +77,6 @@ class CleanConfig:
     lang_sample_chars: int = LANG_SAMPLE_CHARS
     nonword_ratio_max: float = NONWORD_RATIO_MAX
     ocr_min_tokens: int = OCR_MIN_TOKENS
-    # largest dictionary shipped to executors as a broadcast set; above it the
-    # OCR gate runs as a shuffle join instead
-    max_broadcast_dictionary: int = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -89,7 +87,6 @@ class DedupConfig:
     rows: int = 10
     decontam_ngram: int = DECONTAM_NGRAM
     max_broadcast_grams: int = 5_000_000
-    # greedy near-dup loop: rounds between reliable checkpoints (persisted in between)
 
 
 @dataclass(frozen=True)
@@ -97,8 +94,8 @@ class TokenConfig:
     vocab_size: int = VOCAB_SIZE
     seq_len: int = SEQ_LEN
     val_every: int = VAL_EVERY_N_WINDOWS
-    # candidate pairs pulled per BPE round (the walk stops at the first conflict)
-    merge_candidates: int = 400
+    # most frequent pairs kept on the driver while training
+    pair_head: int = 200_000
 
 
 @dataclass(frozen=True)
@@ -138,10 +135,11 @@ FIXTURE_CLASSES = (
     (14, 19, 5_000, False, False, False, "train", "sample", 4),
 )
 
-# Test-scale packing parameters for the fixture queries.
-FIXTURE_SEQ_LEN = 128
-FIXTURE_VAL_EVERY = 10
-FIXTURE_VOCAB_SIZE = 383
+# Smaller windows and batches for the two plan queries that a small table leaves empty at the values above.
+SMALL_SEQ_LEN = 128
+SMALL_VAL_EVERY = 10
+SMALL_GLOBAL_WINDOWS = 64
+SMALL_MICRO_BATCH = 4
 
 
 def fixture_registry() -> list[Source]:

@@ -1,12 +1,10 @@
 """Byte-level BPE: pretoken histogram, vocabulary training, encode, decode.
 
-Training runs on Spark over the *distinct* pretokens (``words(syms, n)``):
-each round counts weighted adjacent pairs (explode + partial/final aggregate),
-pulls the top-K candidates (a bounded ``TakeOrderedAndProject``), accepts them
-in rank order up to the first candidate that shares a symbol with an accepted
-one (exact: such later pairs could be outranked by pairs the merges create),
-and rewrites the words in one left-to-right pass. Ids: special tokens, then
-the 256 byte symbols ordered by their printable stand-in, then merges.
+Training runs on Spark over the *distinct* pretokens, held as blocks of symbols on
+the executors. Pair counts are kept, not recounted: a round merges as many pairs
+as are sure to come in this order, rewrites the words that hold one of them, and
+sums the signed changes. Ids: special tokens, then the 256 byte symbols ordered by
+their printable stand-in, then merges.
 """
 
 from __future__ import annotations
@@ -14,13 +12,14 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera import config as C
-from tessera.session import cut_lineage
+from tessera.session import written
 
 # Byte-level pretokeniser pattern (GPT-2 style), Unicode classes.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -50,6 +49,8 @@ def byte_ids() -> list[int]:
 
 
 BYTE_IDS = byte_ids()
+#: (left, right, new id, count) in merge order.
+Merges = list[tuple[int, int, int, int]]
 FIRST_MERGE_ID = len(SPECIALS) + 256
 
 
@@ -63,123 +64,244 @@ def pretoken_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
             .groupBy("pretoken").agg(F.count(F.lit(1)).alias("n")))
 
 
-ID_WIDTH = 5  # fixed-width upper-case hex ids, so string order = numeric order
+# --- training ---------------------------------------------------------------------------------------------------
 
+#: A block of words: symbols of all of them (int32, each word closed by -1), their counts (int64), and the
+#: signed pair counts that the last round changed.
+BLOCK = "syms binary, n binary, l array<int>, r array<int>, d array<bigint>"
+_LUT = np.array(BYTE_IDS, np.int32)
 
-def byte_symbols(s: Column) -> Column:
-    """UTF-8 bytes of a string as byte-symbol ids."""
-    lut = F.array(*[F.lit(i) for i in BYTE_IDS])
-    return F.transform(F.regexp_extract_all(F.hex(F.encode(s, "UTF-8")), F.lit(".."), 0),
-                       lambda h: F.element_at(lut, F.conv(h, 16, 10).cast("int") + 1))
 
+def _block(syms: np.ndarray, n: np.ndarray, keys: np.ndarray, deltas: np.ndarray) -> pa.RecordBatch:
+    one = lambda x, t: pa.array([x], pa.list_(t))
+    return pa.record_batch([pa.array([syms.tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary()),
+                            one(keys >> 32, pa.int32()), one(keys & 0xFFFFFFFF, pa.int32()), one(deltas, pa.int64())],
+                           names=["syms", "n", "l", "r", "d"])
 
-def symbol_string(syms: Column) -> Column:
-    """Word as a string of fixed-width hex ids separated by single spaces."""
-    return F.array_join(F.transform(syms, lambda x: F.lpad(F.hex(x), ID_WIDTH, "0")), " ")
 
+def _pair_sums(syms: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(pair keys, weighted counts) of adjacent symbols; ``weight`` is each symbol's word count."""
+    left, right = syms[:-1].astype(np.int64), syms[1:].astype(np.int64)
+    ok = np.flatnonzero((left >= 0) & (right >= 0))
+    keys, at = np.unique((left[ok] << 32) | right[ok], return_inverse=True)
+    sums = np.zeros(len(keys), np.int64)
+    np.add.at(sums, at, weight[ok])
+    return keys, sums
 
-def _hex(i: int) -> str:
-    return format(i, "X").rjust(ID_WIDTH, "0")
 
+def pack_words(counts: DataFrame, block_words: int = 1 << 16) -> DataFrame:
+    """The histogram as blocks of at most ``block_words`` words, dealt evenly by a hash of the word."""
+    words = written(counts.select("pretoken", F.col("n").cast("bigint").alias("n")).where(F.length("pretoken") > 0))
+    parts = max(counts.sparkSession.sparkContext.defaultParallelism, -(-words.count() // block_words))
 
-def _pairs(words: DataFrame) -> DataFrame:
-    s = F.split(F.col("syms"), " ")
-    n = F.size(s)
-    z = F.arrays_zip(F.slice(s, 1, F.greatest(n - 1, F.lit(0))).alias("l"),
-                     F.slice(s, 2, F.greatest(n - 1, F.lit(0))).alias("r"))
-    return (words.where(F.length("syms") > ID_WIDTH).select("n", F.explode(z).alias("p"))
-            .groupBy(F.col("p.l").alias("l"), F.col("p.r").alias("r")).agg(F.sum("n").alias("c")))
+    def run(batches):
+        texts, ns, held = [], [], 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, block_words):
+                some = batch.slice(at, block_words)
+                texts += [t.encode() for t in some.column(0).to_pylist()]
+                ns.append(np.asarray(some.column(1)))
+                held += some.num_rows
+                if held >= block_words:
+                    yield made(texts, ns)
+                    texts, ns, held = [], [], 0
+        if held:
+            yield made(texts, ns)
 
+    def made(texts: list[bytes], ns: list[np.ndarray]) -> pa.RecordBatch:
+        n = np.concatenate(ns)
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        syms = np.full(int(size.sum()) + len(texts), -1, np.int32)
+        inside = np.ones(len(syms), bool)
+        inside[np.cumsum(size + 1) - 1] = False
+        syms[inside] = _LUT[np.frombuffer(b"".join(texts), np.uint8)]
+        return _block(syms, n, *_pair_sums(syms, np.repeat(n, size + 1)))
 
-def _accept(cands: list, next_id: int, vocab_size: int) -> list[tuple[int, int, int, int]]:
-    """Walk candidates in rank order; stop at the first one sharing a symbol with
-    an accepted pair, after a self-pair, or at the vocabulary size."""
-    used: set[int] = set()
-    out = []
-    for row in cands:
-        l, r, c = int(row["l"], 16), int(row["r"], 16), int(row["c"])
-        if c < 1 or next_id >= vocab_size:
-            break
-        if l in used or r in used:
-            break
-        out.append((l, r, next_id, c))
-        next_id += 1
-        used.update((l, r))
-        if l == r:
-            break
-    return out
+    return words.repartition(parts, "pretoken").mapInArrow(run, BLOCK)
 
 
-def _apply(words: DataFrame, accepted: list[tuple[int, int, int, int]]) -> DataFrame:
-    """Replace every accepted pair left to right (non-overlapping), one linear
-    regex pass per pair; accepted pairs share no symbol, so order is irrelevant."""
-    s = F.col("syms")
-    for l, r, nid, _ in accepted:
-        s = F.regexp_replace(s, f"(?<![0-9A-F]){_hex(l)} {_hex(r)}(?![0-9A-F])", _hex(nid))
-    return words.select(s.alias("syms"), "n")
+def merge_block(syms: np.ndarray, n: np.ndarray, pairs: np.ndarray, ids: np.ndarray):
+    """(symbols, pair keys, signed changes) after all ``pairs`` (sorted keys) became ``ids``, left to right.
 
+    Only words that hold one of the pairs are rewritten and counted. Pairs of one round never overlap,
+    but for a pair of equal symbols, which takes every other place of a run.
+    """
+    keys = (syms[:-1].astype(np.int64) << 32) | (syms[1:].astype(np.int64) & 0xFFFFFFFF)
+    at = np.minimum(np.searchsorted(pairs, keys), len(pairs) - 1)
+    hit = np.flatnonzero(pairs[at] == keys)
+    if not len(hit):
+        return syms, hit, hit
+    if len(hit) > 1:
+        same = syms[hit] == syms[hit + 1]
+        if same.any():
+            run = np.cumsum(np.concatenate([[True], (np.diff(hit) != 1) | ~same[1:]]))
+            place = hit - hit[np.searchsorted(run, run)]
+            hit = hit[~same | (place % 2 == 0)]
+    ends = np.flatnonzero(syms == -1)
+    word = np.unique(np.searchsorted(ends, hit))
+    begin = np.where(word > 0, ends[word - 1] + 1, 0)
+    size = ends[word] - begin + 1
+    stop = np.cumsum(size)
+    places = np.arange(stop[-1]) + np.repeat(begin - (stop - size), size)       # of the symbols of these words
+    weight = np.repeat(n[word], size)
+    old, lost = _pair_sums(syms[places], weight)
+    out = syms.copy()
+    out[hit] = ids[at[hit]]
+    keep = np.ones(len(out), bool)
+    keep[hit + 1] = False
+    left = keep[places]
+    new, won = _pair_sums(out[places][left], weight[left])
+    every, where = np.unique(np.concatenate([old, new]), return_inverse=True)
+    change = np.zeros(len(every), np.int64)
+    np.add.at(change, where, np.concatenate([-lost, won]))
+    some = change != 0
+    return out[keep], every[some], change[some]
+
+
+def merge_round(blocks: DataFrame, accepted: Merges) -> DataFrame:
+    """The blocks after the accepted merges, with the pair counts they change."""
+    order = sorted((l << 32 | r, nid) for l, r, nid, _ in accepted)
+    pairs, ids = np.array([k for k, _ in order], np.int64), np.array([i for _, i in order], np.int32)
+
+    def run(batches):
+        for batch in batches:
+            for s, n in zip(batch.column(0), batch.column(1)):
+                n = np.frombuffer(n.as_buffer(), np.int64)
+                syms, keys, change = merge_block(np.frombuffer(s.as_buffer(), np.int32), n, pairs, ids)
+                yield _block(syms, n, keys, change)
+
+    return blocks.select("syms", "n").mapInArrow(run, BLOCK)
+
+
+def recount(blocks: DataFrame) -> DataFrame:
+    """The blocks with all their pair counts."""
+    def run(batches):
+        for batch in batches:
+            for s, n in zip(batch.column(0), batch.column(1)):
+                syms, n = np.frombuffer(s.as_buffer(), np.int32), np.frombuffer(n.as_buffer(), np.int64)
+                ends = np.flatnonzero(syms == -1)
+                yield _block(syms, n, *_pair_sums(syms, np.repeat(n, np.diff(ends, prepend=-1))))
+
+    return blocks.select("syms", "n").mapInArrow(run, BLOCK)
+
+
+def pair_counts(blocks: DataFrame) -> DataFrame:
+    """(l, r, c): the blocks' signed pair counts, summed."""
+    return (blocks.select(F.explode(F.arrays_zip("l", "r", "d")).alias("p"))
+            .groupBy("p.l", "p.r").agg(F.sum("p.d").alias("c")).where("c <> 0"))
+
+
+class PairHead:
+    """The pairs that come up to ``bound`` in merge order (count, then symbols), exactly: the next merges until none is left.
+
+    A pair's count only grows in the round that makes its newer symbol, where all of it arrives as a change; so pairs
+    behind the bound stay there, and the head needs no others until it is empty.
+    """
 
-def train_bpe(counts: DataFrame, vocab_size: int = C.VOCAB_SIZE, candidates: int = 400,
-              checkpoint_every: int = 8) -> list[tuple[int, int, int, int]]:
-    """Learn merges from a pretoken histogram. Returns ``[(left, right, new_id, count)]``
-    in merge order (the merge table is bounded by the vocabulary size).
-
-    The word table is persisted every round (recomputable from the last reliable
-    checkpoint, which cuts the lineage every ``checkpoint_every`` rounds).
+    def __init__(self, size: int):
+        self.size, self.bound, self.counts, self.heap = size, None, {}, []
+
+    def fill(self, pairs: DataFrame) -> None:
+        top = pairs.orderBy(F.desc("c"), "l", "r").limit(self.size + 1).toArrow()
+        rows = [(-c, l, r) for l, r, c in zip(*(top.column(c).to_pylist() for c in ("l", "r", "c")))]
+        self.bound = rows[self.size - 1] if len(rows) > self.size else None       # None: these are all
+        self.heap = sorted(rows)[:self.size]
+        self.counts = {(l, r): -c for c, l, r in self.heap}
+
+    def change(self, changes: pa.Table) -> None:
+        for l, r, d in zip(*(changes.column(c).to_pylist() for c in ("l", "r", "c"))):
+            count = self.counts.get((l, r), 0) + d
+            if count > 0 and (self.bound is None or (-count, l, r) <= self.bound):
+                self.counts[l, r] = count
+                heapq.heappush(self.heap, (-count, l, r))
+            else:
+                self.counts.pop((l, r), None)
+
+    def batch(self, next_id: int, vocab_size: int) -> Merges:
+        """The next merges (l, r, id, count), as many as are sure to come in this order.
+
+        A merge of (l, r) lowers only counts of pairs that end in l or begin with r, and any pair it makes counts at most
+        what such a pair did. So the merges go on until a pair ends in an accepted left or begins with an accepted right
+        symbol, or a symbol was paired with itself.
+        """
+        lefts, rights, out = set(), set(), []
+        while self.heap and next_id < vocab_size:
+            c, l, r = self.heap[0]
+            if self.counts.get((l, r)) != -c:
+                heapq.heappop(self.heap)                   # an older count
+                continue
+            if r in lefts or l in rights:
+                break
+            heapq.heappop(self.heap)
+            del self.counts[l, r]
+            out.append((l, r, next_id, -c))
+            next_id += 1
+            lefts.add(l)
+            rights.add(r)
+            if l == r:
+                break
+        return out
+
+
+def train_bpe(counts: DataFrame, vocab_size: int = C.VOCAB_SIZE, head: int = C.TokenConfig.pair_head,
+              write_every: int = 24) -> Merges:
+    """Learn merges from a pretoken histogram. Returns ``[(left, right, new_id, count)]`` in merge order
+    (the merge table is bounded by the vocabulary size).
+
+    Words stay in blocks on the executors. A round is one job: each block rewrites the words that hold a merged pair
+    and gives the changes of its pair counts; they are summed and only they reach the driver, which keeps the ``head``
+    most frequent pairs (all pairs are recounted only when these are used up). Blocks are persisted each
+    round and written to the shared folder every ``write_every`` rounds, which cuts the lineage.
     """
     from pyspark import StorageLevel
 
-    words = counts.select(symbol_string(byte_symbols(F.col("pretoken"))).alias("syms"), F.col("n").cast("bigint"))
-    cores = counts.sparkSession.sparkContext.defaultParallelism
-    if words.rdd.getNumPartitions() < cores:
-        words = words.repartition(cores)
-    words = cut_lineage(words)
-    words_cached = False  # True when `words` is a persisted (not checkpointed) frame
-    parent = None         # cached frame `words` was computed from; released once `words` is materialised
-    merges: list[tuple[int, int, int, int]] = []
-    next_id = FIRST_MERGE_ID
-    rounds = 0
-    while next_id < vocab_size:
-        cands = (_pairs(words).orderBy(F.desc("c"), F.asc("l"), F.asc("r")).limit(candidates).collect())
-        if parent is not None:  # `words` is cached now
-            parent.unpersist()
-            parent = None
-        accepted = _accept(cands, next_id, vocab_size)
+    blocks = written(pack_words(counts))
+    pairs = PairHead(head)
+    pairs.fill(pair_counts(blocks))
+    merges: Merges = []
+    held, rounds = [], 0                  # persisted frames, back to the last written one
+    while FIRST_MERGE_ID + len(merges) < vocab_size:
+        accepted = pairs.batch(FIRST_MERGE_ID + len(merges), vocab_size)
         if not accepted:
-            break
+            if pairs.bound is None:
+                break
+            pairs.fill(pair_counts(recount(blocks)))
+            continue
         merges.extend(accepted)
-        next_id += len(accepted)
         rounds += 1
-        nxt = _apply(words, accepted)
-        if rounds % checkpoint_every == 0:
-            nxt = cut_lineage(nxt)  # eager: computed from the cached `words`
-            if words_cached:
-                words.unpersist()
-            words, words_cached = nxt, False
+        blocks = merge_round(blocks, accepted)
+        if rounds % write_every:
+            blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
         else:
-            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-            parent = words if words_cached else None
-            words, words_cached = nxt, True
-    if words_cached:
-        words.unpersist()
-    if parent is not None:
-        parent.unpersist()
+            blocks = written(blocks)
+        pairs.change(pair_counts(blocks).toArrow())
+        for old in held:
+            old.unpersist()
+        held = [blocks] if rounds % write_every else []
+    for old in held:
+        old.unpersist()
     return merges
 
 
-def merges_df(spark: SparkSession, merges: list[tuple[int, int, int, int]]) -> DataFrame:
+def merges_df(spark: SparkSession, merges: Merges) -> DataFrame:
     rows = [(rank, l, r, nid, c) for rank, (l, r, nid, c) in enumerate(merges)]
     return spark.createDataFrame(rows, "rank int, left_id int, right_id int, new_id int, pair_count bigint")
 
 
-def vocab_bytes(merges: list[tuple[int, int, int, int]]) -> dict[int, bytes]:
+def load_merges(table: DataFrame) -> Merges:
+    """The merge table as a list (bounded by the vocabulary size)."""
+    rows = table.orderBy("rank").collect()
+    return [(r.left_id, r.right_id, r.new_id, r.pair_count) for r in rows]
+
+
+def vocab_bytes(merges: Merges) -> dict[int, bytes]:
     tok: dict[int, bytes] = {BYTE_IDS[b]: bytes([b]) for b in range(256)}
     for l, r, nid, _ in merges:
         tok[nid] = tok[l] + tok[r]
     return tok
 
 
-def vocab_df(spark: SparkSession, merges: list[tuple[int, int, int, int]]) -> DataFrame:
+def vocab_df(spark: SparkSession, merges: Merges) -> DataFrame:
     """``(token_id, token_hex, kind)`` for specials, byte symbols and merges."""
     rows = [(i, s.encode("utf-8").hex(), "special") for i, s in enumerate(SPECIALS)]
     tb = vocab_bytes(merges)
@@ -187,20 +309,14 @@ def vocab_df(spark: SparkSession, merges: list[tuple[int, int, int, int]]) -> Da
     return spark.createDataFrame(rows, "token_id int, token_hex string, kind string")
 
 
-def _encoder(merges: list[tuple[int, int, int, int]]):
-    import regex
-
+def word_encoder(merges: Merges):
+    """Ids of one pretoken: the lowest-rank adjacent pair is merged, leftmost first, until none is left."""
     ranks = {(l, r): (i, nid) for i, (l, r, nid, _) in enumerate(merges)}
-    pat = regex.compile(PRETOKEN)
-    cache: dict[str, list[int]] = {}
-
-    def encode_word(w: str) -> list[int]:
-        """Merge the lowest-rank adjacent pair, leftmost first, until none is left.
 
-        Positions are a linked list and candidate pairs a heap: n log n in the word's bytes. A merge only
-        makes pairs of higher rank than its own, so the heap order is the rank order.
-        """
-        syms = [BYTE_IDS[b] for b in w.encode("utf-8")]
+    def encode(word: str) -> list[int]:
+        # Positions are a linked list and candidate pairs a heap: n log n in the word's bytes. A merge only
+        # makes pairs of higher rank than its own, so the heap order is the rank order.
+        syms = [BYTE_IDS[b] for b in word.encode("utf-8")]
         n = len(syms)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(*ranks[p], i, *p) for i in range(n - 1) if (p := (syms[i], syms[i + 1])) in ranks]
@@ -220,46 +336,51 @@ def _encoder(merges: list[tuple[int, int, int, int]]):
                     heapq.heappush(heap, (rank, left, made, *p))
         return [s for s in syms if s >= 0]
 
-    def encode(text: str) -> list[int]:
-        ids: list[int] = []
-        for w in pat.findall(text):
-            got = cache.get(w)
-            if got is None:
-                got = encode_word(w)
-                if len(cache) < 1_000_000:
-                    cache[w] = got
-            ids.extend(got)
-        return ids
-
     return encode
 
 
-def encode_column(text: Column, merges: list[tuple[int, int, int, int]]) -> Column:
-    """Arrow-batched encoder (merge table broadcast with the function; bounded by
-    the vocabulary size). Narrow: no explode, no shuffle."""
-    sc = SparkSession.getActiveSession().sparkContext
-    bc = sc.broadcast(merges)
+#: Pretokens a task remembers.
+MEMO = 1_000_000
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def _encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        enc = _encoder(bc.value)                           # once per task, with its memo
-        for texts in batches:
-            yield texts.map(lambda t: None if t is None else enc(t))
 
-    return _encode(text)
+def encode_column(text: Column, merges: Merges) -> Column:
+    """Ids of a text; NULL in, NULL out. Narrow: no explode, no shuffle.
 
-
-def decode_column(ids: Column, merges: list[tuple[int, int, int, int]]) -> Column:
-    """ids -> text (bytes of each id concatenated, UTF-8 decoded; specials as text)."""
+    The JVM cuts the text into pretokens. The Arrow function encodes each different one of a batch once (the merge table, bounded by the
+    vocabulary, is broadcast) and lays the ids out for all rows together."""
     sc = SparkSession.getActiveSession().sparkContext
     bc = sc.broadcast(merges)
 
-    @F.pandas_udf(T.StringType())
-    def _decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tb = vocab_bytes(bc.value)
-        for i, s in enumerate(SPECIALS):
-            tb[i] = s.encode("utf-8")
+    @F.arrow_udf("array<int>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        one, memo = word_encoder(bc.value), {}             # once per task
         for rows in batches:
-            yield rows.map(lambda r: None if r is None else b"".join(tb[int(i)] for i in r).decode("utf-8", "replace"))
-
-    return _decode(ids)
+            words = rows.flatten().dictionary_encode()
+            made = []
+            for w in words.dictionary.to_pylist():
+                ids = memo.get(w)
+                if ids is None:
+                    ids = one(w)
+                    if len(memo) < MEMO:
+                        memo[w] = ids
+                made.append(ids)
+            size = np.fromiter(map(len, made), np.int64, len(made))
+            flat = np.fromiter((i for ids in made for i in ids), np.int32, int(size.sum()))
+            begin, codes = np.cumsum(size) - size, np.asarray(words.indices)
+            each = size[codes]
+            ends = np.cumsum(each)
+            at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin[codes] - (ends - each), each)
+            per_row = np.cumsum(np.concatenate([[0], pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)]))
+            off = np.concatenate([[0], ends])[per_row]
+            yield pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat[at], pa.int32()), mask=rows.is_null())
+
+    return encode(pretokens(text))
+
+
+def decode_column(ids: Column, merges: Merges) -> Column:
+    """ids -> text: each id's bytes from the vocabulary, in the ids' order, as UTF-8 (specials as their text; bytes that are no UTF-8 as
+    U+FFFD). All in the JVM: the vocabulary is one constant array."""
+    tb = vocab_bytes(merges)
+    tb.update((i, s.encode("utf-8")) for i, s in enumerate(SPECIALS))
+    vocab = F.split(F.lit(",".join(tb[i].hex() for i in range(len(tb)))), ",")
+    return F.make_valid_utf8(F.unhex(F.array_join(F.transform(ids, lambda i: F.element_at(vocab, i + 1)), "")).cast("string"))

@@ -50,19 +50,9 @@ def clean_documents(raw: DataFrame, dictionary: DataFrame | None = None, strict_
     staged = gate_metrics(base, "text", cfg).drop("text").withColumn("_pre", pre_ocr_reason(cfg))
     reason = F.col("_pre")
     if strict_col and dictionary is not None:
-        bc, n_words = O.broadcast_dictionary(dictionary, cfg)
         gate_in = F.col("_strict") & (F.col("_pre") == "kept")
-        if bc is not None:
-            staged = staged.withColumn(
-                "_ocr", O.nonword_ratio_column(F.when(gate_in, F.col("_s2")), bc, cfg))
-        elif n_words > 0:
-            # dictionary too large to broadcast: join form, narrow result joined back
-            cand = X.filter_after(staged, gate_in).select("source", "shard", "pos", "_s2")
-            r = O.ocr_ratio_join(cand, ["source", "shard", "pos"], "_s2", dictionary, cfg, n_words)
-            staged = staged.join(r.select("source", "shard", "pos", F.col("nonword_ratio").alias("_ocr")),
-                                 ["source", "shard", "pos"], "left")
-        else:
-            staged = staged.withColumn("_ocr", F.lit(None).cast("double"))
+        ratio = O.nonword_column(F.when(gate_in, F.col("_s2")), O.publish(dictionary), cfg)["nonword_ratio"]
+        staged = staged.withColumn("_ocr", ratio)
         reason = F.when(gate_in & (F.col("_ocr") > F.lit(cfg.nonword_ratio_max)), F.lit("ocr")).otherwise(F.col("_pre"))
     staged = staged.withColumn("reason", reason)
     kept = F.col("reason") == F.lit("kept")

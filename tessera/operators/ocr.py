@@ -1,28 +1,22 @@
 """OCR-garble gate: dictionary table, non-word ratio, threshold sweep.
 
-Two physical forms of the same ratio:
-
-* ``ocr_ratio_join`` - native: explode the tokens, broadcast left join to the
-  dictionary, partial+final aggregate per document. Used where the output is an
-  aggregate or a narrow per-document table (reports, sweep).
-* ``nonword_ratio_column`` - Arrow-batched pandas UDF with the dictionary as a
-  broadcast set. Used inside the clean chain, where the ratio must stay on the
-  same row as the text: the join form would need a shuffle of the whole text
-  back to the documents, the UDF form is narrow. Only rows that reach the gate
-  are passed in (other rows get NULL).
+The ratio is a narrow column: an Arrow function finds a batch's tokens, looks up the distinct ones in the published
+dictionary (``functions.words``) and sums per row. It needs no join and no aggregate, so batch and stream share
+it, whatever the dictionary's size and however common a token is. Only rows that reach the gate are passed in
+(other rows get NULL).
 """
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera import config as C
-from tessera.functions.text import OCR_TOKEN, ocr_tokens
+from tessera.functions.text import ocr_tokens
+from tessera.functions.words import WordSet, letter_tokens, publish
 
 
 def dictionary_from_words(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -41,72 +35,46 @@ def dictionary_from_labels(documents: DataFrame, labels: DataFrame, min_docs: in
             .where(F.col("n_docs") >= min_docs).select("word"))
 
 
-def ocr_ratio_join(df: DataFrame, keys: list[str], text_col: str, dictionary: DataFrame,
-                   cfg: C.CleanConfig = C.CleanConfig(), dictionary_rows: int | None = None) -> DataFrame:
-    """Per-row non-word ratio by a join: ``keys + [n_tokens, n_nonword, nonword_ratio]``.
+#: Text bytes looked up at once.
+LOOKUP_BYTES = 4 << 20
 
-    One pass: rows with fewer than ``ocr_min_tokens`` tokens keep one row with a
-    NULL word (ratio 0.0); the others explode to one row per token, left-join
-    the dictionary (broadcast below the configured bound, shuffled above it),
-    and re-aggregate per row with map-side partial aggregation.
-    """
-    if dictionary_rows is None:
-        dictionary_rows = dictionary.count()
-    toks = df.select(*keys, ocr_tokens(F.col(text_col)).alias("_toks"))
-    toks = toks.select(*keys, F.size("_toks").alias("n_tokens"), "_toks")
-    if dictionary_rows == 0:
-        return toks.select(*keys, "n_tokens", F.lit(0).cast("bigint").alias("n_nonword"),
-                           F.lit(0.0).alias("nonword_ratio"))
-    long_enough = F.col("n_tokens") >= cfg.ocr_min_tokens
-    exploded = toks.select(*keys, "n_tokens", F.explode_outer(F.when(long_enough, F.col("_toks"))).alias("word"))
-    d = dictionary.select("word", F.lit(True).alias("_in")).distinct()
-    if dictionary_rows <= cfg.max_broadcast_dictionary:
-        d = F.broadcast(d)
-    joined = exploded.join(d, "word", "left")
-    miss = F.when(F.col("word").isNotNull() & F.col("_in").isNull(), 1).otherwise(0)
-    scored = joined.groupBy(*keys, "n_tokens").agg(F.sum(miss).cast("bigint").alias("n_nonword"))
-    return scored.select(*keys, "n_tokens", "n_nonword",
-                         F.when(F.col("n_tokens") < cfg.ocr_min_tokens, F.lit(0.0))
-                         .otherwise(F.col("n_nonword") / F.col("n_tokens")).alias("nonword_ratio"))
-
-
-def broadcast_dictionary(dictionary: DataFrame, cfg: C.CleanConfig = C.CleanConfig()):
-    """Ship the dictionary to executors as a frozenset, after checking its size.
-
-    Returns ``(broadcast_or_None, n_words)``; None when the dictionary is larger
-    than the bound (callers then use the join form).
-    """
-    words = dictionary.select("word").distinct()
-    n = words.count()
-    if n > cfg.max_broadcast_dictionary:
-        return None, n
-    wordset = frozenset(r["word"] for r in words.toLocalIterator())
-    return dictionary.sparkSession.sparkContext.broadcast(wordset), n
-
-
-def nonword_ratio_column(text: Column, words_bc, cfg: C.CleanConfig = C.CleanConfig()) -> Column:
-    """Arrow-batched non-word ratio; NULL in, NULL out."""
-    min_tokens = cfg.ocr_min_tokens
-    pattern = OCR_TOKEN
-
-    @F.pandas_udf(T.DoubleType())
-    def _nonword_ratio(texts: pd.Series) -> pd.Series:
-        words = words_bc.value
-        tok = re.compile(pattern)
-
-        def one(t):
-            if t is None:
-                return None
-            if not words:
-                return 0.0
-            toks = [x.lower() for x in tok.findall(t)]
-            if len(toks) < min_tokens:
-                return 0.0
-            return sum(1 for x in toks if x not in words) / len(toks)
-
-        return texts.map(one).astype("float64")
-
-    return _nonword_ratio(text)
+
+def nonword_counts(texts: pa.Array, words: WordSet) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, tokens not in the dictionary) of each row."""
+    n, bad, size = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.zeros(len(texts) + 1, np.int64)
+    np.cumsum(pc.fill_null(pc.binary_length(texts.cast(pa.large_string())), 0).to_numpy(zero_copy_only=False), out=size[1:])
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(size, size[at] + LOOKUP_BYTES, side="right")) - 1)
+        codes, off, tokens = letter_tokens(texts.slice(at, to - at))
+        miss = np.concatenate([[0], np.cumsum(~words.holds(tokens)[codes])]) if len(codes) else np.zeros(1, np.int64)
+        n.append(np.diff(off))
+        bad.append(miss[off[1:]] - miss[off[:-1]])
+        at = to
+    return np.concatenate(n), np.concatenate(bad)
+
+
+def nonword_column(text: Column, words: WordSet, cfg: C.CleanConfig = C.CleanConfig()) -> Column:
+    """Struct (n_tokens, n_nonword, nonword_ratio) of a text; NULL in, NULL out.
+
+    The ratio of a text with fewer than ``ocr_min_tokens`` tokens, or of any text against an empty dictionary, is 0."""
+    least = cfg.ocr_min_tokens
+
+    @F.arrow_udf("struct<n_tokens: int, n_nonword: bigint, nonword_ratio: double>")
+    def measure(texts: pa.Array) -> pa.Array:
+        n, bad = nonword_counts(texts, words)
+        bad = np.where((n >= least) & (words.size > 0), bad, 0)
+        return pa.StructArray.from_arrays([pa.array(n, pa.int32()), pa.array(bad, pa.int64()), pa.array(bad / np.maximum(n, 1))],
+                                          names=["n_tokens", "n_nonword", "nonword_ratio"], mask=texts.is_null())
+
+    return measure(text)
+
+
+def ocr_ratio(df: DataFrame, keys: list[str], text_col: str, dictionary: DataFrame,
+              cfg: C.CleanConfig = C.CleanConfig()) -> DataFrame:
+    """``keys + [n_tokens, n_nonword, nonword_ratio]`` of every row."""
+    words = publish(dictionary)
+    return df.select(*keys, nonword_column(F.col(text_col), words, cfg).alias("_o")).select(*keys, "_o.*")
 
 
 def threshold_sweep(ratios: DataFrame, thresholds=C.OCR_SWEEP_THRESHOLDS, ratio_col: str = "nonword_ratio") -> DataFrame:

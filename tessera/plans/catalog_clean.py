@@ -169,19 +169,18 @@ def q_dictionary_build(spark: SparkSession, d: str) -> DataFrame:
 
 def q_ocr_gate(spark: SparkSession, d: str) -> DataFrame:
     i = Inputs(spark, d)
-    r = O.ocr_ratio_join(_pre_ocr_kept(i), ["source", "shard", "pos"], "text", i.dictionary)
+    r = O.ocr_ratio(_pre_ocr_kept(i), ["source", "shard", "pos"], "text", i.dictionary)
     return r.withColumn("ocr", F.col("nonword_ratio") > F.lit(C.NONWORD_RATIO_MAX))
 
 
 def q_ocr_threshold_sweep(spark: SparkSession, d: str) -> DataFrame:
     i = Inputs(spark, d)
-    r = O.ocr_ratio_join(_pre_ocr_kept(i, C.OCR_SAMPLE_N), ["source", "shard", "pos"], "text", i.dictionary)
+    r = O.ocr_ratio(_pre_ocr_kept(i, C.OCR_SAMPLE_N), ["source", "shard", "pos"], "text", i.dictionary)
     return O.threshold_sweep(r.where(F.col("n_tokens") >= C.OCR_MIN_TOKENS))
 
 
-def q_clean_stream(spark: SparkSession, d: str) -> DataFrame:
-    """The clean phase as a Structured Streaming query (file source -> Parquet sink,
-    availableNow trigger, checkpointed); returns what the sink wrote."""
+def _stream_base(spark: SparkSession, d: str) -> str:
+    """A folder with the clean table that a stream wrote (file source -> Parquet sink, availableNow trigger, checkpointed)."""
     import uuid
 
     from tessera.session import checkpoint_dir
@@ -189,9 +188,37 @@ def q_clean_stream(spark: SparkSession, d: str) -> DataFrame:
     i = Inputs(spark, d)
     base = f"{checkpoint_dir(spark).rstrip('/')}/clean_stream-{uuid.uuid4().hex}"
     cleaned = S.clean_stream(S.raw_stream(spark, d, "documents.parquet"), i.registry, i.dictionary)
-    q = S.start_clean_sink(cleaned, f"{base}/out", f"{base}/chk")
-    q.awaitTermination()
-    return spark.read.schema(cleaned.schema).parquet(f"{base}/out")
+    S.start_clean_sink(cleaned, f"{base}/out", f"{base}/chk").awaitTermination()
+    return base
+
+
+_CLEAN_SCHEMA = "source string, shard int, pos bigint, kept boolean, reason string, raw_chars bigint, clean_chars bigint, text string"
+
+
+def q_clean_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The clean phase as a Structured Streaming query; returns what the sink wrote."""
+    return spark.read.schema(_CLEAN_SCHEMA).parquet(f"{_stream_base(spark, d)}/out")
+
+
+def q_stream_counters(spark: SparkSession, d: str) -> DataFrame:
+    """Running drop counters over the clean table's stream, as its upserts left them."""
+    from tessera.streaming import clean_stream as S
+    base = _stream_base(spark, d)
+    cleaned = S.table_stream(spark, f"{base}/out", _CLEAN_SCHEMA)
+    S.start_counters(cleaned, f"{base}/counters", f"{base}/chk-counters").awaitTermination()
+    return S.read_counters(spark, f"{base}/counters")
+
+
+def q_stream_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """First copies per (source, shard) by the stream's state, beside every kept row of the clean table."""
+    from tessera.streaming import clean_stream as S
+    base = _stream_base(spark, d)
+    cleaned = S.table_stream(spark, f"{base}/out", _CLEAN_SCHEMA)
+    S.start_first_copies(cleaned, f"{base}/changes", f"{base}/chk-changes").awaitTermination()
+    first = S.first_copies(spark.read.schema(S.CHANGES).parquet(f"{base}/changes")).withColumn("_f", F.lit(True))
+    kept = spark.read.schema(_CLEAN_SCHEMA).parquet(f"{base}/out").where("kept").select("source", "shard", "pos")
+    return (kept.join(first, ["source", "shard", "pos"], "left")
+            .select("source", "shard", "pos", F.coalesce("_f", F.lit(False)).alias("is_first")))
 
 
 def q_language_detect(spark: SparkSession, d: str) -> DataFrame:
@@ -210,6 +237,8 @@ QUERIES = {
     "language_detect": q_language_detect,
     "clean_stream": q_clean_stream,
     "dictionary_build": q_dictionary_build,
+    "stream_counters": q_stream_counters,
+    "stream_dedup": q_stream_dedup,
     "ocr_gate": q_ocr_gate,
     "ocr_threshold_sweep": q_ocr_threshold_sweep,
     "source_policy": q_source_policy,
@@ -362,6 +391,7 @@ SQL = {
 }
 
 SQL["clean_stream"] = SQL["clean_documents"]
+SQL["stream_counters"] = f"{Q.clean_ctes()}\nSELECT source, reason, count(*) AS docs FROM cleaned GROUP BY source, reason"
 SQL["clean_flatten"] = f"""
         {Q.clean_ctes()}
         SELECT source, shard, pos, trim(replace(text, chr(10), ' ')) AS line FROM cleaned WHERE kept"""

@@ -182,6 +182,7 @@ _ALL = _ALL.replace("WITH raw AS", "WITH RECURSIVE raw AS", 1)
 
 SQL = {
     "exact_dedup": CORPUS + ",\n" + EXACT.strip() + "\nSELECT source, shard, pos, exact_hash, is_first FROM ef",
+    "stream_dedup": CORPUS + ",\n" + EXACT.strip() + "\nSELECT source, shard, pos, is_first FROM ef",
     "exact_dedup_source": CORPUS + ",\n" + EXACT.strip().replace("PARTITION BY source, shard, exact_hash ORDER BY pos",
                                                                   "PARTITION BY source, exact_hash ORDER BY shard, pos")
     + "\nSELECT source, shard, pos, exact_hash, is_first FROM ef",

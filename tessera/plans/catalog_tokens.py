@@ -1,14 +1,16 @@
 """Registered queries of the tokeniser / packing / training-plan phase.
 
-Fixture scale: window length 128, validation every 10th window, vocabulary
-383 (reference defaults stay in ``config``). Packing, split, index, epoch plan
-and the perplexity roll-up are checked in SQL with a word-id tokeniser
-(``id = 7 + md5(word) mod (V - 7)``) that SQL can replay; the same operators
-run on BPE ids in the ``*_bpe`` queries.
+All run with the values of ``config``. Packing, split, index, epoch plan and the perplexity roll-up are checked in SQL with
+a word-id tokeniser (``id = 7 + md5(word) mod (V - 7)``) that SQL can replay; the same operators run on BPE ids in
+``pack_windows_bpe``. A step takes 512 windows, which small tables do not have: ``epoch_plan_small`` and
+``epoch_gather_small`` are the same queries with smaller windows and steps.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,14 +21,24 @@ from tessera.operators import pack as P
 from tessera.plans import oracle as Q
 from tessera.plans.catalog_dedup import _ALL as CORPUS_SQL
 from tessera.plans.inputs import Inputs
-from tessera.session import written
+from tessera.session import checkpoint_dir, written
 from tessera.sources import registry as R
+from tessera.sources.tables import read_table
+
+V = C.VOCAB_SIZE
+WORLD = 8
+
+
+@dataclass(frozen=True)
+class Sizes:
+    seq_len: int = C.SEQ_LEN
+    val_every: int = C.VAL_EVERY_N_WINDOWS
+    per_gpu: int = C.GLOBAL_BATCH_TOKENS // C.SEQ_LEN // WORLD
+    micro: int = C.MICRO_BATCH
+
 
-L = C.FIXTURE_SEQ_LEN
-VAL_EVERY = C.FIXTURE_VAL_EVERY
-V = C.FIXTURE_VOCAB_SIZE
-WORLD, PER_GPU, MICRO = 8, 8, 4
-EVAL_WINDOWS = 4
+FULL = Sizes()
+SMALL = Sizes(C.SMALL_SEQ_LEN, C.SMALL_VAL_EVERY, C.SMALL_GLOBAL_WINDOWS // WORLD, C.SMALL_MICRO_BATCH)
 
 
 def word_ids(text, vocab: int = V):
@@ -42,17 +54,24 @@ def _lines(i: Inputs) -> DataFrame:
     return P.tok_shards(c, F.col("token_shards")).drop("token_shards")
 
 
-_TRAINED: dict[tuple, list] = {}
+def _merge_table(spark: SparkSession, d: str, retrain: bool = False) -> DataFrame:
+    """The tokeniser model of this input, as the pipeline's tokenizer phase leaves it: a table in the shared folder, named by
+    what it was trained from (files, their sizes and times, vocabulary) and read by the encode and pack queries."""
+    names = ("documents", "labels", "benchmark")
+    each = [read_table(spark, d, t).select(F.concat_ws("|", "_metadata.file_path", F.col("_metadata.file_size").cast("string"),
+                                                       F.col("_metadata.file_modification_time").cast("string")).alias("f")) for t in names]
+    files = reduce(DataFrame.union, each).distinct()
+    name = files.agg(F.md5(F.array_join(F.array_sort(F.collect_list("f")), ","))).first()[0]
+    path = f"{checkpoint_dir(spark).rstrip('/')}/merges-{V}-{name}"
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if retrain or not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        merges = B.train_bpe(B.pretoken_counts(Inputs(spark, d).corpus()), V)
+        B.merges_df(spark, merges).coalesce(1).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
-def _merges(spark: SparkSession, d: str, retrain: bool = False):
-    """The tokeniser model for this input: trained once per (session, input,
-    vocabulary), then reused by the encode/pack queries, as the pipeline's
-    tokenize phase loads the tokenizer phase's output."""
-    key = (id(spark), d, V)
-    if retrain or key not in _TRAINED:
-        _TRAINED[key] = B.train_bpe(B.pretoken_counts(Inputs(spark, d).corpus()), V)
-    return _TRAINED[key]
+def _merges(spark: SparkSession, d: str) -> B.Merges:
+    return B.load_merges(_merge_table(spark, d))
 
 
 def q_pretoken_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -60,32 +79,32 @@ def q_pretoken_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_bpe_train(spark: SparkSession, d: str) -> DataFrame:
-    return B.merges_df(spark, _merges(spark, d, retrain=True))
+    return _merge_table(spark, d, retrain=True)
 
 
 def q_vocab_layout(spark: SparkSession, d: str) -> DataFrame:
     return B.vocab_df(spark, _merges(spark, d))
 
 
-def q_bpe_encode(spark: SparkSession, d: str) -> DataFrame:
+def _encoded(spark: SparkSession, d: str) -> tuple[DataFrame, B.Merges]:
     m = _merges(spark, d)
-    c = Inputs(spark, d).corpus()
-    return c.select("source", "shard", "pos", B.encode_column(F.col("text"), m).alias("ids")) \
-        .withColumn("n_tokens", F.size("ids"))
+    return Inputs(spark, d).corpus().withColumn("ids", B.encode_column(F.col("text"), m)), m
+
+
+def q_bpe_encode(spark: SparkSession, d: str) -> DataFrame:
+    enc, _ = _encoded(spark, d)
+    return enc.select("source", "shard", "pos", "ids", F.size("ids").alias("n_tokens"))
 
 
 def q_bpe_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    m = _merges(spark, d)
-    c = Inputs(spark, d).corpus()
-    enc = c.select("source", "shard", "pos", "text", B.encode_column(F.col("text"), m).alias("ids"))
+    enc, m = _encoded(spark, d)
     return enc.select("source", "shard", "pos", (F.trim(B.decode_column(F.col("ids"), m)) == F.col("text")).alias("roundtrip"))
 
 
 def q_token_stats(spark: SparkSession, d: str) -> DataFrame:
-    enc = q_bpe_encode(spark, d).join(Inputs(spark, d).corpus().select("source", "shard", "pos", F.length("text").alias("chars")),
-                                      ["source", "shard", "pos"])
-    return enc.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum("n_tokens").cast("bigint").alias("tokens"),
-                                     F.sum("chars").cast("bigint").alias("chars")) \
+    enc, _ = _encoded(spark, d)
+    return enc.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.size("ids")).cast("bigint").alias("tokens"),
+                                     F.sum(F.length("text")).cast("bigint").alias("chars")) \
         .withColumn("chars_per_token", F.col("chars") / F.col("tokens"))
 
 
@@ -93,14 +112,14 @@ def q_tok_sharding(spark: SparkSession, d: str) -> DataFrame:
     return _lines(Inputs(spark, d)).select("source", "shard", "pos", "line_idx", "tok_shard")
 
 
-def _windows(spark: SparkSession, d: str) -> DataFrame:
+def _windows(spark: SparkSession, d: str, sizes: Sizes = FULL) -> DataFrame:
     lines = _lines(Inputs(spark, d)).withColumn("ids", word_ids(F.col("text")))
-    return P.pack_windows(lines, "ids", L, B.EOS_ID, VAL_EVERY)
+    return P.pack_windows(lines, "ids", sizes.seq_len, B.EOS_ID, sizes.val_every)
 
 
-def _written_windows(spark: SparkSession, d: str) -> DataFrame:
+def _written_windows(spark: SparkSession, d: str, sizes: Sizes = FULL) -> DataFrame:
     """The windows as a written table, for queries that read them more than once."""
-    return written(_windows(spark, d))
+    return written(_windows(spark, d, sizes))
 
 
 def q_pack_windows(spark: SparkSession, d: str) -> DataFrame:
@@ -112,24 +131,36 @@ def q_train_val_split(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_token_index(spark: SparkSession, d: str) -> DataFrame:
-    return P.token_index(_windows(spark, d), L)
+    return P.token_index(_windows(spark, d), FULL.seq_len)
 
 
 def q_pack_windows_bpe(spark: SparkSession, d: str) -> DataFrame:
     m = _merges(spark, d)
     lines = _lines(Inputs(spark, d))
     lines = lines.withColumn("ids", B.encode_column(F.col("text"), m))
-    return P.pack_windows(lines, "ids", L, B.EOS_ID, VAL_EVERY)
+    return P.pack_windows(lines, "ids", FULL.seq_len, B.EOS_ID, FULL.val_every)
+
+
+def _epoch_plan(windows: DataFrame, sizes: Sizes) -> DataFrame:
+    return EP.epoch_plan(windows, WORLD, sizes.per_gpu, sizes.micro)
 
 
-def q_epoch_plan(spark: SparkSession, d: str) -> DataFrame:
-    return EP.epoch_plan(_written_windows(spark, d), WORLD, PER_GPU, MICRO)
+def q_epoch_plan(spark: SparkSession, d: str, sizes: Sizes = FULL) -> DataFrame:
+    return _epoch_plan(_written_windows(spark, d, sizes), sizes)
 
 
-def q_epoch_gather(spark: SparkSession, d: str) -> DataFrame:
+def q_epoch_gather(spark: SparkSession, d: str, sizes: Sizes = FULL) -> DataFrame:
     """The token rows that each rank reads, step by step: the plan joined to the windows it names."""
-    windows = _written_windows(spark, d)
-    return EP.gather_windows(EP.epoch_plan(windows, WORLD, PER_GPU, MICRO), windows)
+    windows = _written_windows(spark, d, sizes)
+    return EP.gather_windows(_epoch_plan(windows, sizes), windows)
+
+
+def q_epoch_plan_small(spark: SparkSession, d: str) -> DataFrame:
+    return q_epoch_plan(spark, d, SMALL)
+
+
+def q_epoch_gather_small(spark: SparkSession, d: str) -> DataFrame:
+    return q_epoch_gather(spark, d, SMALL)
 
 
 def q_perplexity_rollup(spark: SparkSession, d: str) -> DataFrame:
@@ -137,7 +168,7 @@ def q_perplexity_rollup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_eval_windows(spark: SparkSession, d: str) -> DataFrame:
-    return EP.eval_window_plan(_written_windows(spark, d), WORLD, EVAL_WINDOWS)
+    return EP.eval_window_plan(_written_windows(spark, d), WORLD, C.EVAL_WINDOWS)
 
 
 QUERIES = {
@@ -155,6 +186,8 @@ QUERIES = {
     "token_index": q_token_index,
     "pack_windows_bpe": q_pack_windows_bpe,
     "epoch_plan": q_epoch_plan,
+    "epoch_plan_small": q_epoch_plan_small,
+    "epoch_gather_small": q_epoch_gather_small,
     "perplexity_rollup": q_perplexity_rollup,
 }
 
@@ -166,7 +199,9 @@ QUERIES = {
 # alternative of the pretokeniser never applies and RE2 can run the rest.
 RE2_PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
 
-LINES = CORPUS_SQL + f""",
+def _lines_sql(sizes: Sizes) -> str:
+    L, VAL_EVERY = sizes.seq_len, sizes.val_every
+    return CORPUS_SQL + f""",
 corp AS (SELECT source, shard, pos, text FROM reasons WHERE reason = 'kept'),
 lines AS (SELECT source, shard, pos, text, row_number() OVER (PARTITION BY source, shard ORDER BY pos) - 1 AS line_idx,
                  CAST((row_number() OVER (PARTITION BY source, shard ORDER BY pos) - 1) % {Q.policy_case('token_shards')}
@@ -188,6 +223,24 @@ win AS (SELECT source, tok_shard, CAST(w AS BIGINT) AS window_id,
                flatten(list(part ORDER BY st)) AS ids
         FROM pt GROUP BY source, tok_shard, w HAVING len(flatten(list(part ORDER BY st))) = {L})"""
 
+
+def _plan_sql(sizes: Sizes) -> str:
+    return _lines_sql(sizes) + f""",
+tw AS (SELECT source, tok_shard, window_id,
+              md5(concat_ws('/', source, CAST(tok_shard AS VARCHAR), CAST(window_id AS VARCHAR), '{C.TRAIN_SEED}')) AS k
+       FROM win WHERE split = 'train'),
+gp AS (SELECT source, tok_shard, window_id, row_number() OVER (ORDER BY k, source, tok_shard, window_id) - 1 AS global_pos
+       FROM tw),
+pl AS (SELECT source, tok_shard, window_id, CAST(global_pos AS BIGINT) AS global_pos,
+              CAST(global_pos % {WORLD} AS INTEGER) AS rank, CAST(global_pos // {WORLD} AS BIGINT) AS rank_pos,
+              CAST((global_pos // {WORLD}) // {sizes.per_gpu} AS BIGINT) AS step,
+              CAST(((global_pos // {WORLD}) % {sizes.per_gpu}) // {sizes.micro} AS INTEGER) AS micro
+       FROM gp)
+SELECT * FROM pl WHERE step < (SELECT count(*) FROM tw) // {WORLD * sizes.per_gpu}"""
+
+
+LINES, L = _lines_sql(FULL), FULL.seq_len
+
 SQL = {
     "pretoken_counts": CORPUS_SQL + f"""
 SELECT pretoken, count(*) AS n FROM (
@@ -204,18 +257,8 @@ FROM per
 UNION ALL
 SELECT 'TOTAL', NULL, CAST(sum(train_windows) AS BIGINT), CAST(sum(val_windows) AS BIGINT),
        CAST(sum(train_windows) * {L} AS BIGINT), CAST(sum(val_windows) * {L} AS BIGINT) FROM per""",
-    "epoch_plan": LINES + f""",
-tw AS (SELECT source, tok_shard, window_id,
-              md5(concat_ws('/', source, CAST(tok_shard AS VARCHAR), CAST(window_id AS VARCHAR), '{C.TRAIN_SEED}')) AS k
-       FROM win WHERE split = 'train'),
-gp AS (SELECT source, tok_shard, window_id, row_number() OVER (ORDER BY k, source, tok_shard, window_id) - 1 AS global_pos
-       FROM tw),
-pl AS (SELECT source, tok_shard, window_id, CAST(global_pos AS BIGINT) AS global_pos,
-              CAST(global_pos % {WORLD} AS INTEGER) AS rank, CAST(global_pos // {WORLD} AS BIGINT) AS rank_pos,
-              CAST((global_pos // {WORLD}) // {PER_GPU} AS BIGINT) AS step,
-              CAST(((global_pos // {WORLD}) % {PER_GPU}) // {MICRO} AS INTEGER) AS micro
-       FROM gp)
-SELECT * FROM pl WHERE step < (SELECT count(*) FROM tw) // {WORLD * PER_GPU}""",
+    "epoch_plan": _plan_sql(FULL),
+    "epoch_plan_small": _plan_sql(SMALL),
     "perplexity_rollup": LINES + f""",
 tr AS (SELECT unnest(ids) AS id FROM win WHERE split = 'train'),
 cnt AS (SELECT id, count(*) AS c FROM tr GROUP BY id),
@@ -234,8 +277,9 @@ vw AS (SELECT source, tok_shard, window_id,
        FROM win WHERE split = 'val')
 SELECT source, tok_shard, window_id, global_idx, CAST(global_idx % {WORLD} AS INTEGER) AS rank,
        CAST(global_idx // {WORLD} AS BIGINT) AS slot
-FROM vw WHERE global_idx // {WORLD} < {EVAL_WINDOWS}"""
+FROM vw WHERE global_idx // {WORLD} < {C.EVAL_WINDOWS}"""
 _PLAN_END = "SELECT * FROM pl WHERE step < (SELECT count(*) FROM tw)"
-SQL["epoch_gather"] = SQL["epoch_plan"].replace(
-    _PLAN_END, "SELECT pl.rank, pl.step, pl.micro, pl.rank_pos, pl.source, pl.tok_shard, pl.window_id, win.ids "
-    "FROM pl JOIN win USING (source, tok_shard, window_id) WHERE step < (SELECT count(*) FROM tw)")
+for _name in ("epoch_plan", "epoch_plan_small"):
+    SQL[_name.replace("plan", "gather")] = SQL[_name].replace(
+        _PLAN_END, "SELECT pl.rank, pl.step, pl.micro, pl.rank_pos, pl.source, pl.tok_shard, pl.window_id, win.ids "
+        "FROM pl JOIN win USING (source, tok_shard, window_id) WHERE step < (SELECT count(*) FROM tw)")

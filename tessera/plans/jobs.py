@@ -89,16 +89,11 @@ def run_tokenizer(spark: SparkSession, out: str, vocab_size: int = C.VOCAB_SIZE)
     B.vocab_df(spark, merges).coalesce(1).write.mode("overwrite").parquet(f"{out}/tokenizer/vocab")
 
 
-def _load_merges(spark: SparkSession, out: str) -> list[tuple[int, int, int, int]]:
-    rows = spark.read.parquet(f"{out}/tokenizer/merges").orderBy("rank").collect()  # bounded by vocab size
-    return [(r.left_id, r.right_id, r.new_id, r.pair_count) for r in rows]
-
-
 def run_tokenize(spark: SparkSession, inp: str, out: str, seq_len: int = C.SEQ_LEN,
                  val_every: int = C.VAL_EVERY_N_WINDOWS) -> None:
     """Phase 4: corpus -> packed windows (partitioned by split, source) + token index."""
     i = Inputs(spark, inp)
-    merges = _load_merges(spark, out)
+    merges = B.load_merges(spark.read.parquet(f"{out}/tokenizer/merges"))
     corpus = P.line_index(spark.read.parquet(f"{out}/corpus"))
     corpus = R.attach_policy(corpus, i.registry, ("token_shards",))
     lines = P.tok_shards(corpus, F.col("token_shards")).withColumn("ids", B.encode_column(F.col("text"), merges))

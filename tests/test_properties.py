@@ -15,20 +15,6 @@ def test_clean_invariant_under_repartition(spark):
     assert outs[0] == outs[1] == outs[2]
 
 
-def test_ocr_udf_equals_join_form(spark):
-    from tessera.operators import ocr as O
-    from tessera.plans.inputs import Inputs
-    i = Inputs(spark, SF001)
-    docs = i.raw.select("pos", "text")
-    bc, n = O.broadcast_dictionary(i.dictionary)
-    assert n > 0 and bc is not None
-    udf = {r.pos: r.r for r in docs.select("pos", O.nonword_ratio_column(F.col("text"), bc).alias("r")).collect()}
-    join = {r.pos: r.nonword_ratio for r in O.ocr_ratio_join(docs, ["pos"], "text", i.dictionary).collect()}
-    assert udf.keys() == join.keys()
-    for k in udf:
-        assert abs(udf[k] - join[k]) < 1e-12, k
-
-
 def test_kept_plus_dropped_is_streamed(spark):
     from tessera.plans import reports as REP
     from tessera.plans.inputs import Inputs

@@ -1,5 +1,7 @@
 import os
+import random
 import tempfile
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -19,12 +21,68 @@ def test_clean_stream_equals_batch(spark):
     cols = ["source", "shard", "pos", "kept", "reason", "raw_chars", "clean_chars", "text"]
     assert got.select(cols).exceptAll(batch.select(cols)).count() == 0
     assert batch.select(cols).exceptAll(got.select(cols)).count() == 0
-    # running counters agree with the batch drop report
-    cq = S.start_counters(cleaned, f"{base}/chk2", "drop_counters_test")
-    cq.awaitTermination()
-    streamed = {(r.source, r.reason): r.docs for r in spark.table("drop_counters_test").collect()}
-    batch_counts = {(r.source, r.reason): r["count"] for r in batch.groupBy("source", "reason").count().collect()}
-    assert streamed == batch_counts
+
+
+CLEAN = "source string, shard int, pos bigint, kept boolean, reason string, raw_chars bigint, clean_chars bigint, text string"
+
+
+def clean_rows(seed):
+    """Clean rows with copies in both scopes; a key with a null source, an empty text, a hash in a third of the rows."""
+    rng = random.Random(seed)
+    rows = []
+    for pos in range(240):
+        kept = rng.random() < 0.85
+        text = rng.choice(["", "The same text", "the  SAME text\n", *(f"text {k}" for k in range(30))]) if kept else ""
+        rows.append((rng.choice(["a", "a", "b", None]), rng.randrange(2), pos, kept, "kept" if kept else rng.choice(["ocr", "too_short"]), 9, 9, text))
+    return rows
+
+
+def plain_firsts(rows):
+    first = {}
+    for source, shard, pos, kept, *_, text in sorted(rows, key=lambda r: r[2]):
+        if kept:
+            first.setdefault((source, shard, " ".join(text.lower().split())), pos)
+    return sorted(first.values())
+
+
+def test_stream_state_survives_a_restart_and_late_copies(spark):
+    """Files in shuffled order, a file a micro-batch, the queries stopped and started again between two of them."""
+    from tessera.streaming import clean_stream as S
+    base = tempfile.mkdtemp(prefix="stream-state-")
+    rows = clean_rows(1)
+    files = [rows[k::6] for k in range(6)]
+    random.Random(2).shuffle(files)
+    files = [sorted(f, key=lambda r: -r[2]) for f in files]
+    for turn, some in enumerate((files[:3], files[3:])):
+        for k, f in enumerate(some):
+            spark.createDataFrame(f, CLEAN).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(CLEAN).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+        S.start_first_copies(stream, f"{base}/changes", f"{base}/c1").awaitTermination()
+        S.start_counters(stream, f"{base}/counters", f"{base}/c2", snapshot_every=2).awaitTermination()
+        seen = [r for f in files[:3 * (turn + 1)] for r in f]
+        # equal to the batch result after every prefix of the input
+        changes = spark.read.schema(S.CHANGES).parquet(f"{base}/changes")
+        assert sorted(r.pos for r in S.first_copies(changes).collect()) == plain_firsts(seen)
+        counts = {(r.source, r.reason): r.docs for r in S.read_counters(spark, f"{base}/counters").collect()}
+        assert counts == dict(Counter((r[0], r[4]) for r in seen))
+    assert changes.where("change = -1").count() > 0                        # some copies came late
+    _, held = S._batches(spark, f"{base}/counters")
+    assert len(held) <= 3                                                  # snapshots replaced the older folders
+
+
+def test_a_replayed_batch_changes_nothing(spark):
+    from tessera.streaming import clean_stream as S
+    path = tempfile.mkdtemp(prefix="stream-replay-") + "/counters"
+    put = S.upsert_counters(path, snapshot_every=2)
+    batch = lambda *rows: spark.createDataFrame(rows, "source string, reason string, docs bigint")
+    put(batch(("a", "kept", 1), ("a", "ocr", 2)), 0)
+    for _ in range(2):
+        put(batch(("a", "kept", 5)), 1)                                    # the snapshot, and again
+    for _ in range(2):
+        put(batch(("b", "kept", 1)), 2)
+    got = {(r.source, r.reason): r.docs for r in S.read_counters(spark, path).collect()}
+    assert got == {("a", "kept"): 5, ("a", "ocr"): 2, ("b", "kept"): 1}
+    assert sorted(S._batches(spark, path)[1]) == [1, 2]
 
 
 def test_pipeline_jobs_end_to_end(spark):
