@@ -39,23 +39,23 @@ def q_first_n_sample(spark: SparkSession, d: str) -> DataFrame:
                                        F.md5("text").alias("text_md5"))
 
 
-def _smoke(spark, d):
+def _smoke(spark, d, n):
     i = Inputs(spark, d)
-    return clean_documents(i.first_n(C.SMOKE_N).withColumn("_raw", F.col("text")), None, None,
+    return clean_documents(i.first_n(n).withColumn("_raw", F.col("text")), None, None,
                            keep_cols=("_raw",))
 
 
-def q_smoke_summary(spark: SparkSession, d: str) -> DataFrame:
-    c = _smoke(spark, d)
+def q_smoke_summary(spark: SparkSession, d: str, n: int = C.SMOKE_N) -> DataFrame:
+    c = _smoke(spark, d, n)
     return c.groupBy("source").agg(
-        F.lit(C.SMOKE_N).cast("bigint").alias("streamed"),
+        F.lit(n).cast("bigint").alias("streamed"),
         F.sum(F.col("kept").cast("int")).cast("bigint").alias("kept"),
         *[F.sum((F.col("reason") == r).cast("int")).cast("bigint").alias(r)
           for r in ("too_short", "repetitive", "non_english")])
 
 
-def q_smoke_excerpts(spark: SparkSession, d: str) -> DataFrame:
-    c = _smoke(spark, d)
+def q_smoke_excerpts(spark: SparkSession, d: str, n: int = C.SMOKE_N) -> DataFrame:
+    c = _smoke(spark, d, n)
     ex = F.when(F.col("kept"), F.substring("text", 1, 240)).otherwise(F.substring("_raw", 1, 160))
     return c.select("source", "pos", "raw_chars", "clean_chars", F.upper("reason").alias("reason"),
                     F.replace(ex, F.lit("\n"), F.lit(" / ")).alias("excerpt"))
@@ -173,12 +173,25 @@ def q_ocr_gate(spark: SparkSession, d: str) -> DataFrame:
     return r.withColumn("ocr", F.col("nonword_ratio") > F.lit(C.NONWORD_RATIO_MAX))
 
 
-def q_ocr_threshold_sweep(spark: SparkSession, d: str) -> DataFrame:
+def q_ocr_threshold_sweep(spark: SparkSession, d: str, n: int = C.OCR_SAMPLE_N) -> DataFrame:
     i = Inputs(spark, d)
-    r = O.ocr_ratio(_pre_ocr_kept(i, C.OCR_SAMPLE_N), ["source", "shard", "pos"], "text", i.dictionary)
+    r = O.ocr_ratio(_pre_ocr_kept(i, n), ["source", "shard", "pos"], "text", i.dictionary)
     return O.threshold_sweep(r.where(F.col("n_tokens") >= C.OCR_MIN_TOKENS))
 
 
+def q_shard_scan(spark: SparkSession, d: str) -> DataFrame:
+    """The records of the shards that a listing and the plan choose (one shard of web-like sources), from shard files."""
+    import uuid
+
+    from tessera.session import checkpoint_dir
+    from tessera.sources import listing as LS
+    i = Inputs(spark, d)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/shards-{uuid.uuid4().hex}"
+    LS.write_shards(i.raw, i.registry, root)
+    manifest = LS.with_shards(LS.manifest_of(LS.list_files(spark, root)))
+    return LS.scan(spark, R.shard_plan(manifest, i.registry, web_shards=1), i.registry)
+
+
 def _stream_base(spark: SparkSession, d: str) -> str:
     """A folder with the clean table that a stream wrote (file source -> Parquet sink, availableNow trigger, checkpointed)."""
     import uuid
@@ -237,6 +250,7 @@ QUERIES = {
     "language_detect": q_language_detect,
     "clean_stream": q_clean_stream,
     "dictionary_build": q_dictionary_build,
+    "shard_scan": q_shard_scan,
     "stream_counters": q_stream_counters,
     "stream_dedup": q_stream_dedup,
     "ocr_gate": q_ocr_gate,
@@ -390,6 +404,12 @@ SQL = {
         FROM ps GROUP BY ROLLUP (source)""",
 }
 
+SQL["shard_scan"] = f"""
+        WITH {Q.RAW},
+        ranked AS (SELECT source, CAST(dense_rank() OVER (PARTITION BY source ORDER BY shard) - 1 AS INTEGER) AS shard,
+                          row_number() OVER (PARTITION BY source, shard ORDER BY pos) - 1 AS pos, text FROM raw)
+        SELECT source, shard, pos, text FROM ranked
+        WHERE shard < 1 OR CAST(substr(source, 4) AS INTEGER) < {next(lo for lo, *_, cfg, _ in C.FIXTURE_CLASSES if cfg)}"""
 SQL["clean_stream"] = SQL["clean_documents"]
 SQL["stream_counters"] = f"{Q.clean_ctes()}\nSELECT source, reason, count(*) AS docs FROM cleaned GROUP BY source, reason"
 SQL["clean_flatten"] = f"""

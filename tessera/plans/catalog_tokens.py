@@ -8,6 +8,7 @@ a word-id tokeniser (``id = 7 + md5(word) mod (V - 7)``) that SQL can replay; th
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -23,6 +24,7 @@ from tessera.plans.catalog_dedup import _ALL as CORPUS_SQL
 from tessera.plans.inputs import Inputs
 from tessera.session import checkpoint_dir, written
 from tessera.sources import registry as R
+from tessera.sources import windows as WF
 from tessera.sources.tables import read_table
 
 V = C.VOCAB_SIZE
@@ -163,6 +165,25 @@ def q_epoch_gather_small(spark: SparkSession, d: str) -> DataFrame:
     return q_epoch_gather(spark, d, SMALL)
 
 
+def _window_files(spark: SparkSession, d: str, sizes: Sizes) -> str:
+    """A folder with this input's windows as fixed-width files."""
+    path = f"{WF.mounted(checkpoint_dir(spark)).rstrip('/')}/windows-{uuid.uuid4().hex}"
+    WF.write_windows(_windows(spark, d, sizes), path, sizes.seq_len, sizes.val_every)
+    return path
+
+
+def q_window_files(spark: SparkSession, d: str) -> DataFrame:
+    """The windows written as fixed-width files and read back."""
+    return WF.read_table(spark, _window_files(spark, d, FULL)).select("source", "tok_shard", "window_id", "split", "ids")
+
+
+def q_epoch_gather_files(spark: SparkSession, d: str) -> DataFrame:
+    """``epoch_gather_small`` with each planned window read from its place in the files."""
+    path = _window_files(spark, d, SMALL)
+    plan = written(_epoch_plan(WF.read_table(spark, path, "train").drop("ids"), SMALL))
+    return WF.fetch(plan.select("rank", "step", "micro", "rank_pos", "source", "tok_shard", "window_id"), path)
+
+
 def q_perplexity_rollup(spark: SparkSession, d: str) -> DataFrame:
     return EP.perplexity_rollup(EP.unigram_losses(_written_windows(spark, d), V))
 
@@ -186,6 +207,8 @@ QUERIES = {
     "token_index": q_token_index,
     "pack_windows_bpe": q_pack_windows_bpe,
     "epoch_plan": q_epoch_plan,
+    "window_files": q_window_files,
+    "epoch_gather_files": q_epoch_gather_files,
     "epoch_plan_small": q_epoch_plan_small,
     "epoch_gather_small": q_epoch_gather_small,
     "perplexity_rollup": q_perplexity_rollup,
@@ -283,3 +306,5 @@ for _name in ("epoch_plan", "epoch_plan_small"):
     SQL[_name.replace("plan", "gather")] = SQL[_name].replace(
         _PLAN_END, "SELECT pl.rank, pl.step, pl.micro, pl.rank_pos, pl.source, pl.tok_shard, pl.window_id, win.ids "
         "FROM pl JOIN win USING (source, tok_shard, window_id) WHERE step < (SELECT count(*) FROM tw)")
+SQL["window_files"] = SQL["pack_windows"]
+SQL["epoch_gather_files"] = SQL["epoch_gather_small"]
