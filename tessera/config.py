@@ -86,7 +86,6 @@ class DedupConfig:
     bands: int = 3
     rows: int = 10
     decontam_ngram: int = DECONTAM_NGRAM
-    max_broadcast_grams: int = 5_000_000
 
 
 @dataclass(frozen=True)

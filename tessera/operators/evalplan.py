@@ -64,21 +64,41 @@ def gather_windows(plan: DataFrame, windows: DataFrame) -> DataFrame:
     return plan.select("rank", "step", "micro", "rank_pos", *key).join(windows.select(*key, "ids"), key)
 
 
-def eval_window_plan(windows: DataFrame, world_size: int = 8, n_windows: int = 64) -> DataFrame:
+def eval_window_plan(windows: DataFrame, world_size: int = 8, n_windows: int = C.EVAL_WINDOWS,
+                     bucket_windows: int = 1 << 16) -> DataFrame:
     """Validation windows read by the in-training check: the flat validation index
     (files in (source, tok_shard) order, windows in order) strided over ranks, the
-    first ``n_windows`` per rank. Dense index via counts per file -> running total
-    over files -> row number inside a file (no global sort)."""
+    first ``n_windows`` per rank. Dense index via counts per range of ``bucket_windows`` windows of a file -> running
+    total over the ranges -> row number inside a range, so a file's windows lie on many tasks."""
     from tessera.operators.pack import prefix_sum
 
     val = windows.where(F.col("split") == "val").select("source", "tok_shard", "window_id")
-    g = prefix_sum(val, [], ["window_id"], F.lit(1), F.struct("source", "tok_shard"), "global_idx")
+    bucket = F.struct("source", "tok_shard", F.floor(F.col("window_id") / bucket_windows).alias("range"))
+    g = prefix_sum(val, [], ["window_id"], F.lit(1), bucket, "global_idx")
     return (g.select("source", "tok_shard", "window_id", "global_idx",
                      F.pmod(F.col("global_idx"), F.lit(world_size)).cast("int").alias("rank"),
                      F.floor(F.col("global_idx") / world_size).cast("bigint").alias("slot"))
             .where(F.col("slot") < n_windows))
 
 
+def training_check(losses: DataFrame, plan: DataFrame, world_size: int = 8, micro_batch: int = C.MICRO_BATCH,
+                   digits: int = 9) -> DataFrame:
+    """The in-training validation loss: (rank, windows, batches, loss) per rank, and overall with a NULL rank.
+
+    A rank's loss is the mean over its micro-batches of their mean window loss, 0.0 without windows; the overall loss is the
+    mean over ranks. So a short last batch weighs as much as a full one, unlike in ``perplexity_rollup``.
+    """
+    key = ["source", "tok_shard", "window_id"]
+    batches = (plan.join(losses, key).groupBy("rank", F.floor(F.col("slot") / micro_batch).alias("batch"))
+               .agg(F.avg("loss").alias("loss"), F.count(F.lit(1)).alias("windows")))
+    ranks = batches.groupBy("rank").agg(F.avg("loss").alias("loss"), F.count(F.lit(1)).alias("batches"),
+                                        F.sum("windows").alias("windows"))
+    every = plan.sparkSession.range(world_size).select(F.col("id").cast("int").alias("rank")).join(ranks, "rank", "left").select(
+        "rank", *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("windows", "batches")], F.coalesce("loss", F.lit(0.0)).alias("loss"))
+    return every.rollup("rank").agg(F.sum("windows").alias("windows"), F.sum("batches").alias("batches"),
+                                    F.round(F.avg("loss"), digits).alias("loss"))
+
+
 def unigram_losses(windows: DataFrame, vocab_size: int) -> DataFrame:
     """Add-one-smoothed unigram model fitted on train windows; mean -log p per val window.
 

@@ -12,6 +12,7 @@ from tessera.plans import oracle as Q
 from tessera.plans import reports as REP
 from tessera.plans.corpus import build_corpus, phase2_report
 from tessera.plans.inputs import Inputs
+from tessera.session import written
 
 KEY = ["source", "shard", "pos"]
 
@@ -62,16 +63,25 @@ def q_near_dup_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def q_build_corpus(spark: SparkSession, d: str) -> DataFrame:
     i = Inputs(spark, d)
-    return build_corpus(i.corpus_input(policy=("near_dup", "decontaminate")), i.table("benchmark")) \
+    return build_corpus(i.corpus_input(policy=("near_dup", "decontaminate")), [i.table("benchmark")]) \
         .select(*KEY, "reason", F.length("text").cast("bigint").alias("chars"))
 
 
 def q_phase2_report(spark: SparkSession, d: str) -> DataFrame:
     i = Inputs(spark, d)
-    return phase2_report(build_corpus(i.corpus_input(policy=("near_dup", "decontaminate")), i.table("benchmark")))
+    return phase2_report(build_corpus(i.corpus_input(policy=("near_dup", "decontaminate")), [i.table("benchmark")]))
+
+
+def q_phase2_document(spark: SparkSession, d: str) -> DataFrame:
+    """The phase-2 report written as one JSON document and read back with its schema: a row a source and reason."""
+    i = Inputs(spark, d)
+    built = build_corpus(i.corpus_input(policy=("near_dup", "decontaminate")), [i.table("benchmark")])
+    rows = REP.read_document(written(REP.phase2_document(built)), REP.PHASE2_SCHEMA)
+    return rows.select("position", F.col("name").alias("source"), "kept", "est_tokens", F.explode("reasons").alias("reason", "docs"))
 
 
 QUERIES = {
+    "phase2_document": q_phase2_document,
     "exact_dedup": q_exact_dedup,
     "exact_dedup_source": q_exact_dedup_source,
     "contam_grams": q_contam_grams,
@@ -207,3 +217,9 @@ SELECT coalesce(source, 'TOTAL') AS source, CAST(sum(kept) AS BIGINT) AS kept, C
        {", ".join(f"CAST(sum({r}_n) AS BIGINT) AS {r}" for r in ("near_dup", "exact_dup", "contaminated"))}
 FROM ps GROUP BY ROLLUP (source)""",
 }
+SQL["phase2_document"] = SQL["phase2_report"].split("SELECT coalesce(source, 'TOTAL')")[0].rstrip() + """,
+su AS (SELECT CAST(row_number() OVER (ORDER BY source) - 1 AS INTEGER) AS position, source, CAST(sum(kept) AS BIGINT) AS kept,
+              CAST(sum(est_tokens) AS BIGINT) AS est_tokens, """ + ", ".join(
+    f"CAST(sum({r}_n) AS BIGINT) AS {r}_n" for r in REP.PHASE2_REASONS) + """ FROM ps GROUP BY source)
+SELECT position, source, kept, est_tokens, unnest([""" + ", ".join(f"'{r}'" for r in REP.PHASE2_REASONS) + "]) AS reason, unnest([" \
+    + ", ".join(f"{r}_n" for r in REP.PHASE2_REASONS) + "]) AS docs FROM su"

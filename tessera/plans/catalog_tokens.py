@@ -20,6 +20,7 @@ from tessera.operators import bpe as B
 from tessera.operators import evalplan as EP
 from tessera.operators import pack as P
 from tessera.plans import oracle as Q
+from tessera.plans import reports as REP
 from tessera.plans.catalog_dedup import _ALL as CORPUS_SQL
 from tessera.plans.inputs import Inputs
 from tessera.session import checkpoint_dir, written
@@ -188,6 +189,23 @@ def q_perplexity_rollup(spark: SparkSession, d: str) -> DataFrame:
     return EP.perplexity_rollup(EP.unigram_losses(_written_windows(spark, d), V))
 
 
+def q_training_check(spark: SparkSession, d: str, sizes: Sizes = FULL) -> DataFrame:
+    """The in-training validation loss of the unigram model."""
+    windows = _written_windows(spark, d, sizes)
+    return EP.training_check(EP.unigram_losses(windows, V), EP.eval_window_plan(windows, WORLD, C.EVAL_WINDOWS), WORLD, sizes.micro)
+
+
+def q_training_check_small(spark: SparkSession, d: str) -> DataFrame:
+    return q_training_check(spark, d, SMALL)
+
+
+def q_index_document(spark: SparkSession, d: str) -> DataFrame:
+    """The token index written as one JSON document and read back: its shards in their order."""
+    text = written(REP.index_document(P.token_index(_windows(spark, d), FULL.seq_len), FULL.seq_len))
+    doc = text.select(F.from_json("value", REP.INDEX_SCHEMA, {"mode": "FAILFAST"}).alias("d"))
+    return doc.select(F.posexplode("d.shards").alias("position", "s")).select("position", "s.*")
+
+
 def q_eval_windows(spark: SparkSession, d: str) -> DataFrame:
     return EP.eval_window_plan(_written_windows(spark, d), WORLD, C.EVAL_WINDOWS)
 
@@ -207,6 +225,9 @@ QUERIES = {
     "token_index": q_token_index,
     "pack_windows_bpe": q_pack_windows_bpe,
     "epoch_plan": q_epoch_plan,
+    "training_check": q_training_check,
+    "training_check_small": q_training_check_small,
+    "index_document": q_index_document,
     "window_files": q_window_files,
     "epoch_gather_files": q_epoch_gather_files,
     "epoch_plan_small": q_epoch_plan_small,
@@ -264,6 +285,14 @@ SELECT * FROM pl WHERE step < (SELECT count(*) FROM tw) // {WORLD * sizes.per_gp
 
 LINES, L = _lines_sql(FULL), FULL.seq_len
 
+_LOSSES = f""",
+tr AS (SELECT unnest(ids) AS id FROM win WHERE split = 'train'),
+cnt AS (SELECT id, count(*) AS c FROM tr GROUP BY id),
+va AS (SELECT source, tok_shard, window_id, unnest(ids) AS id FROM win WHERE split = 'val'),
+wl AS (SELECT source, tok_shard, window_id,
+              avg(-ln((coalesce(cnt.c, 0) + 1) / CAST((SELECT count(*) FROM tr) + {V} AS DOUBLE))) AS loss
+       FROM va LEFT JOIN cnt ON va.id = cnt.id GROUP BY source, tok_shard, window_id)"""
+
 SQL = {
     "pretoken_counts": CORPUS_SQL + f"""
 SELECT pretoken, count(*) AS n FROM (
@@ -282,13 +311,7 @@ SELECT 'TOTAL', NULL, CAST(sum(train_windows) AS BIGINT), CAST(sum(val_windows)
        CAST(sum(train_windows) * {L} AS BIGINT), CAST(sum(val_windows) * {L} AS BIGINT) FROM per""",
     "epoch_plan": _plan_sql(FULL),
     "epoch_plan_small": _plan_sql(SMALL),
-    "perplexity_rollup": LINES + f""",
-tr AS (SELECT unnest(ids) AS id FROM win WHERE split = 'train'),
-cnt AS (SELECT id, count(*) AS c FROM tr GROUP BY id),
-va AS (SELECT source, tok_shard, window_id, unnest(ids) AS id FROM win WHERE split = 'val'),
-wl AS (SELECT source, tok_shard, window_id,
-              avg(-ln((coalesce(cnt.c, 0) + 1) / CAST((SELECT count(*) FROM tr) + {V} AS DOUBLE))) AS loss
-       FROM va LEFT JOIN cnt ON va.id = cnt.id GROUP BY source, tok_shard, window_id)
+    "perplexity_rollup": LINES + _LOSSES + f"""
 SELECT coalesce(source, 'TOTAL') AS source, count(*) AS windows, round(sum(loss) / count(*), 9) AS val_loss,
        round(exp(sum(loss) / count(*)), 6) AS perplexity
 FROM wl GROUP BY ROLLUP (source)""",
@@ -308,3 +331,15 @@ for _name in ("epoch_plan", "epoch_plan_small"):
         "FROM pl JOIN win USING (source, tok_shard, window_id) WHERE step < (SELECT count(*) FROM tw)")
 SQL["window_files"] = SQL["pack_windows"]
 SQL["epoch_gather_files"] = SQL["epoch_gather_small"]
+SQL["index_document"] = SQL["token_index"].rsplit("UNION ALL", 1)[0].replace(
+    "SELECT source, tok_shard, train_windows, val_windows,",
+    "SELECT CAST(row_number() OVER (ORDER BY source, tok_shard) - 1 AS INTEGER) AS position, source, tok_shard AS shard, train_windows, val_windows,")
+for _name, _sizes in (("training_check", FULL), ("training_check_small", SMALL)):
+    SQL[_name] = _lines_sql(_sizes) + _LOSSES + f""",
+vw AS (SELECT loss, row_number() OVER (ORDER BY source, tok_shard, window_id) - 1 AS g FROM wl),
+bt AS (SELECT g % {WORLD} AS rank, (g // {WORLD}) // {_sizes.micro} AS batch, avg(loss) AS loss, count(*) AS windows
+       FROM vw WHERE g // {WORLD} < {C.EVAL_WINDOWS} GROUP BY 1, 2),
+per_rank AS (SELECT r AS rank, coalesce(sum(windows), 0) AS windows, count(batch) AS batches, coalesce(avg(loss), 0.0) AS loss
+       FROM range({WORLD}) t(r) LEFT JOIN bt ON bt.rank = r GROUP BY r)
+SELECT CAST(rank AS INTEGER) AS rank, CAST(sum(windows) AS BIGINT) AS windows, CAST(sum(batches) AS BIGINT) AS batches, round(avg(loss), 9) AS loss
+FROM per_rank GROUP BY ROLLUP (rank)"""

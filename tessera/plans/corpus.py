@@ -14,7 +14,7 @@ from tessera.plans.reports import PHASE2_REASONS, TOTAL
 KEY = ["source", "shard", "pos"]
 
 
-def build_corpus(docs: DataFrame, benchmark: DataFrame, cfg: C.DedupConfig = C.DedupConfig(),
+def build_corpus(docs: DataFrame, benchmarks: list[DataFrame], cfg: C.DedupConfig = C.DedupConfig(),
                  exact_scope: str = "shard", sigs: DataFrame | None = None) -> DataFrame:
     """``docs(source, shard, pos, text, near_dup, decontaminate)`` -> same keys + ``reason``, ``text``.
 
@@ -25,8 +25,8 @@ def build_corpus(docs: DataFrame, benchmark: DataFrame, cfg: C.DedupConfig = C.D
     narrow key tables and joined on the unique document key.
     """
     near = DD.near_duplicates(docs.where("near_dup").select(*KEY, "text"), "text", cfg, sigs)
-    grams = DC.contamination_grams(DC.benchmark_text(benchmark), cfg.decontam_ngram)
-    hit = DC.contaminated_keys(docs.where("decontaminate"), grams, KEY, "text", cfg.decontam_ngram, cfg) \
+    grams = DC.contamination_grams(DC.benchmark_sets(benchmarks), cfg.decontam_ngram)
+    hit = DC.contaminated_keys(docs.where("decontaminate"), grams, KEY, "text", cfg.decontam_ngram) \
         .withColumn("_contam", F.lit(True))
     ex = DD.exact_firsts(docs, exact_scope).select(*KEY, "is_first")
     flags = (ex.join(near.where("near_dup").select(*KEY, F.lit(True).alias("_near")), KEY, "left")

@@ -74,7 +74,7 @@ class Inputs:
     def corpus(self) -> DataFrame:
         """Phase-2 output (kept rows: source, shard, pos, text), materialised once."""
         from tessera.plans.corpus import build_corpus, corpus_rows
-        built = build_corpus(self.corpus_input(policy=("near_dup", "decontaminate")), self.table("benchmark"),
+        built = build_corpus(self.corpus_input(policy=("near_dup", "decontaminate")), [self.table("benchmark")],
                              self.cfg.dedup)
         return written(corpus_rows(built))
 

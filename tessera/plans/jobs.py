@@ -45,6 +45,11 @@ def _report(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
+def _document(df: DataFrame, path: str) -> None:
+    """A one-row JSON document."""
+    df.coalesce(1).write.mode("overwrite").text(path)
+
+
 def run_smoke(spark: SparkSession, inp: str, out: str, n: int = C.SMOKE_N) -> None:
     from tessera.plans.catalog_clean import q_smoke_excerpts, q_smoke_summary
     _report(q_smoke_summary(spark, inp, n), f"{out}/smoke_summary")
@@ -90,8 +95,9 @@ def _clean(raw: DataFrame, plan: DataFrame, registry: DataFrame, dictionary: Dat
     _report(REP.shard_stats(done), f"{out}/shard_stats")
 
 
-def run_dedup(spark: SparkSession, inp: str, out: str, reuse_signatures: bool = False) -> None:
-    """Phase 2: clean_docs -> signatures (reusable) -> corpus + phase-2 report."""
+def run_dedup(spark: SparkSession, inp: str, out: str, reuse_signatures: bool = False, benchmarks: str = "") -> None:
+    """Phase 2: clean_docs -> signatures (reusable) -> corpus + phase-2 report. ``benchmarks``: Parquet paths, by commas
+    (else the input's table)."""
     from tessera.operators.dedup import with_signature
     i = Inputs(spark, inp)
     clean = spark.read.parquet(f"{out}/clean_docs").where("kept").select("source", "shard", "pos", "text")
@@ -100,9 +106,11 @@ def run_dedup(spark: SparkSession, inp: str, out: str, reuse_signatures: bool =
         _write(with_signature(docs.where("near_dup").select("source", "shard", "pos", "text"), "text")
                .select("source", "shard", "pos", "sig"), f"{out}/signatures")
     sigs = spark.read.parquet(f"{out}/signatures")
-    built = cut_lineage(build_corpus(docs, i.table("benchmark"), sigs=sigs))
+    sets = [spark.read.parquet(p) for p in benchmarks.split(",") if p] or [i.table("benchmark")]
+    built = cut_lineage(build_corpus(docs, sets, sigs=sigs))
     _write(corpus_rows(built), f"{out}/corpus")
     _report(phase2_report(built), f"{out}/phase2_report")
+    _document(REP.phase2_document(built), f"{out}/phase2_document")
 
 
 def run_tokenizer(spark: SparkSession, out: str, vocab_size: int = C.VOCAB_SIZE) -> None:
@@ -125,7 +133,9 @@ def run_tokenize(spark: SparkSession, inp: str, out: str, seq_len: int = C.SEQ_L
     _write(P.pack_windows(lines, "ids", seq_len, B.EOS_ID, val_every), f"{out}/windows", ("split", "source"))
     if window_files:
         WF.write_windows(spark.read.parquet(f"{out}/windows"), window_files, seq_len, val_every)
-    _report(P.token_index(spark.read.parquet(f"{out}/windows"), seq_len), f"{out}/token_index")
+    index = P.token_index(spark.read.parquet(f"{out}/windows"), seq_len)
+    _report(index, f"{out}/token_index")
+    _document(REP.index_document(index, seq_len), f"{out}/token_index_document")
 
 
 def run_ocr(spark: SparkSession, inp: str, out: str, n: int = C.OCR_SAMPLE_N) -> None:
@@ -138,7 +148,9 @@ def run_eval(spark: SparkSession, out: str, losses_path: str | None = None, voca
     without one, from the add-one unigram model of the train windows."""
     windows = spark.read.parquet(f"{out}/windows")
     losses = spark.read.parquet(losses_path) if losses_path else EP.unigram_losses(windows, vocab_size)
-    _report(EP.perplexity_rollup(losses), f"{out}/perplexity")
+    rollup = EP.perplexity_rollup(losses)
+    _report(rollup.orderBy("source"), f"{out}/perplexity")
+    _document(REP.perplexity_document(rollup), f"{out}/perplexity_document")
 
 
 def run_plan(spark: SparkSession, out: str, world_size: int = 8, max_steps: int = 0, start_step: int = 0) -> None:
@@ -168,6 +180,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--world-size", type=int, default=8)
     ap.add_argument("--max-steps", type=int, default=0)
     ap.add_argument("--losses", default=None)
+    ap.add_argument("--benchmarks", default="", help="dedup: Parquet paths of benchmark sets, by commas")
     ap.add_argument("--reuse-signatures", action="store_true")
     a = ap.parse_args(argv)
     spark = get_spark(app=f"tessera-{a.phase}")
@@ -176,7 +189,7 @@ def main(argv: list[str] | None = None) -> None:
         "measure": lambda: run_measure(spark, a.input, a.out, a.n or C.MEASURE_N),
         "clean": lambda: run_clean_files(spark, a.manifest, a.out, a.web_shards, a.only, a.dictionary) if a.manifest
         else run_clean(spark, a.input, a.out, a.web_shards, a.only, a.dictionary),
-        "dedup": lambda: run_dedup(spark, a.input, a.out, a.reuse_signatures),
+        "dedup": lambda: run_dedup(spark, a.input, a.out, a.reuse_signatures, a.benchmarks),
         "tokenizer": lambda: run_tokenizer(spark, a.out, a.vocab_size),
         "tokenize": lambda: run_tokenize(spark, a.input, a.out, a.seq_len, a.val_every, a.window_files),
         "ocr": lambda: run_ocr(spark, a.input, a.out, a.n or C.OCR_SAMPLE_N),

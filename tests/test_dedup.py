@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tessera import config as C
@@ -78,6 +80,52 @@ def test_decontamination_13_words(spark):
     assert hit == {1, 3}
 
 
+@pytest.mark.parametrize("max_bits", [28, 10])
+def test_decontamination_equals_the_plain_version(spark, max_bits):
+    """A gram in a third of all documents; a bit table so full that it lets most grams pass; keys named like inner columns."""
+    from tessera.operators import decontam as DC
+    rng = random.Random(3)
+    word = lambda: f"w{rng.randrange(400)}"
+    items = [[word() for _ in range(rng.randrange(5, 80))] for _ in range(60)]
+    hot = items[0] = [word() for _ in range(20)]
+    docs = []
+    for k in range(300):
+        text = [word() for _ in range(rng.randrange(0, 60))]
+        if k % 3 == 0:
+            text += hot[:13 + k % 5]
+        elif k % 7 == 0:
+            text += rng.choice(items)[:rng.randrange(10, 20)]
+        docs.append((k % 2, k, None if k % 50 == 49 else " ".join(text)))
+    grams = lambda t: {tuple(t[i:i + 13]) for i in range(len(t) - 12)}
+    known = set().union(*(grams(t) for t in items))
+    want = {(a, k) for a, k, t in docs if t and grams(t.split()) & known}
+    bench = spark.createDataFrame([(" ".join(t),) for t in items], "text string")
+    df = spark.createDataFrame(docs, "gram int, _salt int, text string").repartition(4)
+    got = DC.contaminated_keys(df, DC.contamination_grams(bench), ["gram", "_salt"], max_bits=max_bits)
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want and len(want) > 100
+    none = DC.contaminated_keys(df, DC.contamination_grams(bench.limit(0)), ["gram", "_salt"])
+    assert none.columns == ["gram", "_salt"] and none.count() == 0
+
+
+def test_benchmark_sets_take_test_rows_or_else_train_rows(spark):
+    from tessera.operators import decontam as DC
+    a = spark.createDataFrame([("test", "a one"), ("train", "a two"), ("dev", "a three")], "split string, text string")
+    b = spark.createDataFrame([("train", "b one", "more"), ("dev", "b two", "x")], "split string, question string, answer string")
+    c = spark.createDataFrame([(1, "c one")], "n int, text string")
+    assert sorted(r.text for r in DC.benchmark_sets([a, b, c]).collect()) == ["a one", "b one more", "c one"]
+
+
+def test_bit_table_never_loses_a_hash(spark):
+    from tessera.functions import bits as B
+    hashes = [0, 1, -1, 1 << 62, -(1 << 63), *(random.Random(1).getrandbits(64) - (1 << 63) for _ in range(2000))]
+    for most in (10, 28):
+        shared = B.bit_table(spark.createDataFrame([(h,) for h in hashes], "h bigint"), "h", most)
+        assert B.may_hold(shared.value, np.array(hashes)).all()
+    others = np.array([random.Random(2).getrandbits(64) - (1 << 63) for _ in range(1)] + list(range(5, 5000)))
+    assert B.may_hold(shared.value, others * 0x9E3779B97F4A7).mean() < 0.1
+
+
 def test_raw_records_from_files(spark):
     from tessera.sources.tables import raw_records_from_files
     from tests.conftest import SF001
