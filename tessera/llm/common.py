@@ -8,6 +8,7 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,22 @@ def shared_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+#: Bytes of an Arrow batch between the JVM and Python. Each is held several times over on both sides.
+BATCH_BYTES = 8 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Arrow batches of at most ``BATCH_BYTES`` for the jobs run inside."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+
+
 class Scratch:
     """Parquet tables of one job in the shared folder.
 
@@ -53,7 +70,8 @@ class Scratch:
         self.spark, self.base = spark, f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{self.base}/{name}")
+        with small_batches(self.spark):
+            df.write.mode("overwrite").parquet(f"{self.base}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.base}/{name}")
 
     def drop(self, name: str) -> None:

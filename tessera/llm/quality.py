@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import char_grams, mix64, slices, words_of
+from tessera.llm.common import char_grams, mix64, released, slices, small_batches, words_of
 
 
 @dataclass(frozen=True)
@@ -169,7 +169,8 @@ def fit(documents: DataFrame, labels: DataFrame, cfg: QualityConfig = QualityCon
                                       names=["doc_id", "quality", "buckets", "shares"])
 
     schema = "doc_id long, quality int, buckets binary, shares binary"
-    rows = sorted(texts.mapInArrow(features, schema).collect(), key=lambda r: (r["doc_id"], r["buckets"]))
+    with small_batches(spark):
+        rows = sorted(texts.mapInArrow(released(features), schema).collect(), key=lambda r: (r["doc_id"], r["buckets"]))
     return train([(np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["shares"], np.float32), r["quality"])
                   for r in rows], totals, cfg)
 
@@ -188,7 +189,7 @@ def score(documents: DataFrame, model, cfg: QualityConfig = QualityConfig(), col
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p, pa.float64())],
                                                  names=[*part.schema.names, column])
 
-    return kept.mapInArrow(scores, T.StructType([*kept.schema.fields, T.StructField(column, T.DoubleType())]))
+    return kept.mapInArrow(released(scores), T.StructType([*kept.schema.fields, T.StructField(column, T.DoubleType())]))
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, cfg: QualityConfig = QualityConfig()) -> DataFrame:
