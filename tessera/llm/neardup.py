@@ -8,9 +8,9 @@ average, so a linked pair meets again in one child on average). Independent ``tr
 The join runs twice over, first on sketches, then exactly:
 
 1. Candidates. Inside a node documents are compared by set sizes and 128 one-bit minwise sketches (a filter
-   six standard deviations wide): pair by pair in nodes of at most ``leaf`` documents, all at once in nodes
-   of at most ``block_limit``. Larger nodes first meet a pivot; a node whose members all reach it is done, any
-   other branches on. Only a spanning forest of the candidate pairs is kept: its components hold both ends of
+   six standard deviations wide): pair by pair in nodes of at most ``leaf`` documents, all at once in nodes of at
+   most ``block_limit``. Larger nodes first meet a pivot; a node whose members all reach it is done, any other branches
+   on. Only edges that join the same rows are kept, about one a row and node: their components hold both ends of
    every pair that passes the filter in some node.
 2. Links. Documents of a candidate component meet once with their full sets, in blocks of at most ``block``
    documents, and are compared unless a link found before puts them in one component already; so a group
@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import Scratch, mix64, slices, words_of
+from tessera.llm.common import Scratch, mix64, released, slices, words_of
 
 
 @dataclass(frozen=True)
@@ -51,7 +51,7 @@ class NearConfig:
     percent: int = 80       # linked: 100 * intersection >= percent * union
     trees: int = 16
     leaf: int = 64          # nodes compared pair by pair
-    block_limit: int = 8192  # nodes and candidate components compared in blocks
+    block_limit: int = 8192  # nodes of sketches compared at once, nodes and components of full sets compared in blocks
     block: int = 1024       # documents of a block of full sets
     broadcast_ids: int = 4_000_000   # candidates' ids (a few dozen bytes each) are broadcast up to this count, else joined
     depth: int = 40
@@ -141,7 +141,7 @@ def signed(documents: DataFrame, cfg: NearConfig) -> DataFrame:
                 yield pa.record_batch([part.column("doc_id"), *[pa.array(c, t) for c, t in zip(cols, kinds)]],
                                       names=["doc_id", "n_shingles", "d1", "d2", "lo", "hi", "signature"])
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SIGNED)
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(released(run), SIGNED)
 
 
 def full_sets(documents: DataFrame, wanted: DataFrame, cfg: NearConfig) -> DataFrame:
@@ -158,7 +158,7 @@ def full_sets(documents: DataFrame, wanted: DataFrame, cfg: NearConfig) -> DataF
                 yield pa.RecordBatch.from_arrays([*[part.column(part.schema.get_field_index(c)) for c in names],
                                                   pa.array(made, pa.binary())], names=[*names, "hashes"])
 
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(released(run), schema)
 
 
 # --- branching --------------------------------------------------------------------------------------------------
@@ -205,12 +205,28 @@ def branch(rows: DataFrame, cfg: NearConfig, picks: list[tuple[int, tuple[int, i
             yield pa.record_batch([pa.array(node), *[get(c).take(take) for c in ("id", "n", "lo", "hi", "label")], pa.array(pick)],
                                   names=["node", "id", "n", "lo", "hi", "label", "pick"])
 
-    return rows.mapInArrow(run, NODES)
+    return rows.mapInArrow(released(run), NODES)
 
 
-def leaf_pairs(rows: DataFrame, cfg: NearConfig) -> DataFrame:
+def _lowest(a: np.ndarray, b: np.ndarray, m: int) -> np.ndarray:
+    """For each of ``m`` rows the first row of its component under the pairs (a, b)."""
+    low = np.arange(m)
+    while True:
+        up = low.copy()
+        np.minimum.at(up, a, low[b])
+        np.minimum.at(up, b, low[a])
+        up = up[up]
+        if np.array_equal(up, low):
+            return low
+        low = up
+
+
+def leaf_pairs(rows: DataFrame, cfg: NearConfig, stars: bool) -> DataFrame:
     """Candidate pairs (a < b) of nodes with at most ``leaf`` rows: sizes and sketches allow a link, labels do not settle it.
 
+    With ``stars`` only what joins the same rows: each row with the smallest id of its component in the node, so
+    a group of copies makes an edge a row, and the same edge in every tree (pairs still to be verified need all).
+
     A partition holds whole nodes in order, so pairs are found by comparing each row with the rows
     one, two, ... places on, all rows at once.
     """
@@ -219,7 +235,7 @@ def leaf_pairs(rows: DataFrame, cfg: NearConfig) -> DataFrame:
     def compare(t: pa.Table) -> pa.RecordBatch:
         c = {k: t.column(k).to_numpy() for k in ("node", "id", "n", "lo", "hi")}
         label = t.column("label").fill_null(-(1 << 62)).to_numpy()
-        a_all, b_all = [], []
+        a_all, b_all = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         at = np.arange(len(c["node"]))
         for step in range(1, len(at)):
             at = at[at + step < len(c["node"])]
@@ -229,12 +245,15 @@ def leaf_pairs(rows: DataFrame, cfg: NearConfig) -> DataFrame:
             to = at + step
             ok = _close(c, at, to, cfg) & (c["id"][at] != c["id"][to]) & (
                 (label[at] != label[to]) | (label[at] == -(1 << 62)))
-            x, y = c["id"][at[ok]], c["id"][to[ok]]
-            a_all.append(np.minimum(x, y))
-            b_all.append(np.maximum(x, y))
-        none = [np.zeros(0, np.int64)]
-        return pa.record_batch([pa.array(np.concatenate(a_all or none)), pa.array(np.concatenate(b_all or none))],
-                               names=["a", "b"])
+            a_all.append(at[ok])
+            b_all.append(to[ok])
+        a, b = np.concatenate(a_all), np.concatenate(b_all)
+        if stars and len(a):
+            low = _lowest(a, b, len(c["node"]))
+            b = np.flatnonzero(low != np.arange(len(low)))
+            a = low[b]
+        a, b = c["id"][a], c["id"][b]           # rows of a node come by id
+        return pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
 
     def run(batches):
         rest: pa.Table | None = None
@@ -251,7 +270,7 @@ def leaf_pairs(rows: DataFrame, cfg: NearConfig) -> DataFrame:
         if rest is not None and rest.num_rows:
             yield compare(rest.combine_chunks())
 
-    return ordered.mapInArrow(run, "a long, b long")
+    return ordered.mapInArrow(released(run), "a long, b long")
 
 
 def _close(c, at, to, cfg: NearConfig) -> np.ndarray:
@@ -293,7 +312,7 @@ def verified(pairs: DataFrame, sets: DataFrame, cfg: NearConfig) -> DataFrame:
                     for x, y in zip(batch.column(2), batch.column(3))]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(released(run), "a long, b long")
 
 
 # --- components -------------------------------------------------------------------------------------------------
@@ -372,7 +391,7 @@ def forest(t: pa.Table, cfg: NearConfig, home: np.ndarray | None = None) -> pa.T
 def sketch_forest(rows: DataFrame, cfg: NearConfig) -> DataFrame:
     """Candidate forest of every node of ``rows`` (at most ``block_limit`` narrow rows each)."""
     return rows.select("node", "id", "n", "lo", "hi", "label").groupBy("node").applyInArrow(
-        lambda t: forest(t.combine_chunks(), cfg), "a long, b long")
+        lambda t: forest(t.sort_by([("id", "ascending")]).combine_chunks(), cfg), "a long, b long")
 
 
 def block_links(rows: DataFrame, cfg: NearConfig, homes: DataFrame | None = None) -> DataFrame:
@@ -381,16 +400,17 @@ def block_links(rows: DataFrame, cfg: NearConfig, homes: DataFrame | None = None
     ``homes`` (id, nodes by pick, 0 for none) names the root nodes compared in blocks: a pair that shares an
     earlier one is compared there.
     """
-    blocks = F.ceil(F.col("size") / cfg.block).cast("int")
-    own = F.pmod(F.xxhash64("id", "node"), F.col("blocks")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
-                        lambda o: F.struct(F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j")))
-    cols = ["node", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "own", "id", "n", "lo", "hi", "label", "hashes"]
+    cols = ["id", "n", "lo", "hi", "label", "hashes"]
     if homes is not None:
         rows = rows.join(homes.select(F.col("id").alias("_home"), "nodes"), F.col("id") == F.col("_home"), "left")
         none = F.array_repeat(F.lit(0).cast("long"), len(root_coordinates(cfg)))
         cols += ["pick", F.coalesce("nodes", none).alias("nodes")]
-    dealt = rows.withColumn("blocks", blocks).withColumn("own", own).withColumn("pair", F.explode(pairs)).select(*cols)
+    own = F.pmod(F.xxhash64("id", "node"), F.col("blocks")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
+                        lambda o: F.struct(F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j")))
+    dealt = (rows.withColumn("blocks", F.ceil(F.col("size") / cfg.block).cast("int")).withColumn("own", own)
+             .withColumn("pair", F.explode(pairs))
+             .select("node", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "own", *cols))
 
     def compare(t: pa.Table) -> pa.Table:
         t = t.sort_by([("id", "ascending")]).combine_chunks()
@@ -466,7 +486,7 @@ def _trees(keyed: DataFrame, sets: DataFrame | None, scratch: Scratch, cfg: Near
     while True:
         name = f"{tag}-{level}"
         large = scratch.write(_mixed(rows, cfg.leaf), f"large-{name}")
-        pairs = scratch.write(leaf_pairs(rows.join(large.select("node"), "node", "left_anti"), cfg).distinct(), f"pairs-{name}")
+        pairs = scratch.write(leaf_pairs(rows.join(large.select("node"), "node", "left_anti"), cfg, sets is None).distinct(), f"pairs-{name}")
         found.append(pairs if sets is None else scratch.write(verified(pairs, sets, cfg), f"near-{name}"))
         big = scratch.write(rows.join(large.where("NOT one").select("node", "size"), "node"), f"rows-{name}")
         if not _some(big):
