@@ -307,9 +307,11 @@ NEAR = "word string, n_near long, best struct<less: long, word: string>"
 
 def composed(words: DataFrame, cfg: SpellingConfig) -> DataFrame:
     """Near words below each initial state (word, n_near, best), by composition."""
+    # small rows, much work: dealt by the count of words, not by bytes
+    tasks = max(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), words.count() // (4 * cfg.node_words))
     dealt = (words.where(F.col("depth") <= F.length("word"))
              .select(F.expr("substring(word, 1, depth)").alias("node"), "word", "n", "depth")
-             .repartition("node").sortWithinPartitions("node", "word"))
+             .repartition(tasks, "node").sortWithinPartitions("node", "word"))
 
     def flush(node):
         words, counts, depth = node
