@@ -1,9 +1,9 @@
 """Byte-level BPE: pretoken histogram, vocabulary training, encode, decode.
 
 Training runs on Spark over the *distinct* pretokens, held as blocks of symbols on
-the executors. Pair counts are kept, not recounted: a round merges as many pairs
-as are sure to come in this order, rewrites the words that hold one of them, and
-sums the signed changes. Ids: special tokens, then the 256 byte symbols ordered by
+the executors. Pair counts are kept, not recounted: a round settles the merges of the
+most frequent pairs on the runs of symbols that these pairs form, rewrites the words
+that hold one of them, and sums the signed changes. Ids: special tokens, then the 256 byte symbols ordered by
 their printable stand-in, then merges.
 """
 
@@ -120,42 +120,70 @@ def pack_words(counts: DataFrame, block_words: int = 1 << 16) -> DataFrame:
     return words.repartition(parts, "pretoken").mapInArrow(run, BLOCK)
 
 
-def merge_block(syms: np.ndarray, n: np.ndarray, pairs: np.ndarray, ids: np.ndarray):
-    """(symbols, pair keys, signed changes) after all ``pairs`` (sorted keys) became ``ids``, left to right.
-
-    Only words that hold one of the pairs are rewritten and counted. Pairs of one round never overlap,
-    but for a pair of equal symbols, which takes every other place of a run.
-    """
+def _hits(syms: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places where one of ``pairs`` (sorted keys) begins, and which."""
     keys = (syms[:-1].astype(np.int64) << 32) | (syms[1:].astype(np.int64) & 0xFFFFFFFF)
     at = np.minimum(np.searchsorted(pairs, keys), len(pairs) - 1)
     hit = np.flatnonzero(pairs[at] == keys)
+    return hit, at[hit]
+
+
+def merge_words(syms: np.ndarray, word: np.ndarray, pairs: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols, their words) after all ``pairs`` became ``ids``, in the ids' order and left to right.
+
+    Each step merges, in every word, the pair of the smallest id; words without a pair left are laid aside. So two hits side by
+    side are a run of equal symbols, of which every other place is taken.
+    """
+    done = []
+    while len(syms):
+        hit, at = _hits(syms, pairs)
+        made, owner = ids[at], word[hit]
+        first = np.full(int(word[-1]) + 1, np.iinfo(np.int32).max, np.int32)
+        np.minimum.at(first, owner, made)
+        open_ = first[word] < np.iinfo(np.int32).max
+        done.append((syms[~open_], word[~open_]))
+        hit, made = hit[made == first[owner]], made[made == first[owner]]
+        if len(hit):
+            begin = np.concatenate([[True], np.diff(hit) != 1])
+            take = (hit - hit[begin][np.cumsum(begin) - 1]) % 2 == 0
+            hit, made = hit[take], made[take]
+        syms = syms.copy()
+        syms[hit] = made
+        open_[hit + 1] = False
+        syms, word = syms[open_], word[open_]
+    syms, word = (np.concatenate(x) for x in zip(*done))
+    order = np.argsort(word, kind="stable")
+    return syms[order], word[order]
+
+
+def merge_block(syms: np.ndarray, n: np.ndarray, pairs: np.ndarray, ids: np.ndarray):
+    """(symbols, pair keys, signed changes) after all ``pairs`` (sorted keys) became ``ids``, in the ids' order.
+
+    Only words that hold one of the pairs are rewritten and counted.
+    """
+    hit, _ = _hits(syms, pairs)
     if not len(hit):
         return syms, hit, hit
-    if len(hit) > 1:
-        same = syms[hit] == syms[hit + 1]
-        if same.any():
-            run = np.cumsum(np.concatenate([[True], (np.diff(hit) != 1) | ~same[1:]]))
-            place = hit - hit[np.searchsorted(run, run)]
-            hit = hit[~same | (place % 2 == 0)]
     ends = np.flatnonzero(syms == -1)
+    sizes = np.diff(ends, prepend=-1)
     word = np.unique(np.searchsorted(ends, hit))
-    begin = np.where(word > 0, ends[word - 1] + 1, 0)
-    size = ends[word] - begin + 1
-    stop = np.cumsum(size)
-    places = np.arange(stop[-1]) + np.repeat(begin - (stop - size), size)       # of the symbols of these words
-    weight = np.repeat(n[word], size)
-    old, lost = _pair_sums(syms[places], weight)
-    out = syms.copy()
-    out[hit] = ids[at[hit]]
-    keep = np.ones(len(out), bool)
-    keep[hit + 1] = False
-    left = keep[places]
-    new, won = _pair_sums(out[places][left], weight[left])
+    size = sizes[word]
+    here = np.zeros(len(sizes), bool)
+    here[word] = True
+    inside = np.repeat(here, sizes)                        # symbols of these words
+    before = syms[inside]
+    old, lost = _pair_sums(before, np.repeat(n[word], size))
+    after, owner = merge_words(before, np.repeat(np.arange(len(word)), size), pairs, ids)
+    new, won = _pair_sums(after, n[word][owner])
+    sizes[word] = np.bincount(owner, minlength=len(word))
+    inside_now = np.repeat(here, sizes)
+    out = np.empty(len(inside_now), np.int32)
+    out[inside_now], out[~inside_now] = after, syms[~inside]
     every, where = np.unique(np.concatenate([old, new]), return_inverse=True)
     change = np.zeros(len(every), np.int64)
     np.add.at(change, where, np.concatenate([-lost, won]))
     some = change != 0
-    return out[keep], every[some], change[some]
+    return out, every[some], change[some]
 
 
 def merge_round(blocks: DataFrame, accepted: Merges) -> DataFrame:
@@ -191,6 +219,82 @@ def pair_counts(blocks: DataFrame) -> DataFrame:
             .groupBy("p.l", "p.r").agg(F.sum("p.d").alias("c")).where("c <> 0"))
 
 
+def pair_runs(blocks: DataFrame, pairs: list[tuple[int, int]]) -> DataFrame:
+    """(run, n): the longest runs of symbols (int32) in which every two neighbours are one of ``pairs``, and how often each occurs."""
+    keys = np.array(sorted(l << 32 | r for l, r in pairs), np.int64)
+
+    def run(batches):
+        for batch in batches:
+            for s, n in zip(batch.column(0), batch.column(1)):
+                syms, n = np.frombuffer(s.as_buffer(), np.int32), np.frombuffer(n.as_buffer(), np.int64)
+                hit, _ = _hits(syms, keys)
+                if not len(hit):
+                    continue
+                gap = np.diff(hit) != 1
+                first, last = hit[np.concatenate([[True], gap])], hit[np.concatenate([gap, [True]])]
+                size = last + 2 - first
+                off = np.concatenate([[0], np.cumsum(size)])
+                body = syms[np.arange(off[-1]) + np.repeat(first - off[:-1], size)]
+                runs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(off * 4), pa.py_buffer(body)])
+                weight = n[np.searchsorted(np.flatnonzero(syms == -1), first)]
+                sums = pa.table({"run": runs, "n": weight}).group_by("run").aggregate([("n", "sum")]).combine_chunks()
+                yield pa.record_batch([sums.column("run").chunk(0).cast(pa.binary()), sums.column("n_sum").chunk(0)], names=["run", "n"])
+
+    return blocks.select("syms", "n").mapInArrow(run, "run binary, n bigint").groupBy("run").agg(F.sum("n").alias("n"))
+
+
+def settle(runs: Iterator[tuple[bytes, int]], bound: tuple[int, int, int] | None, next_id: int, vocab_size: int) -> Merges:
+    """All merges up to ``bound`` in merge order, one by one, on the runs that the pairs up to ``bound`` form.
+
+    Every place of such a pair, and of a pair that their merges make inside a run, lies in a run, so its count is exact. A pair
+    across a run's end counts at most what the pair there did when the round began, and a new symbol's id is above all
+    others: so it stays behind the bound.
+    """
+    words, weights, counts, where = [], [], {}, {}
+    for run, n in runs:
+        s = np.frombuffer(run, np.int32).tolist()
+        for p in zip(s, s[1:]):
+            counts[p] = counts.get(p, 0) + n
+            where.setdefault(p, set()).add(len(words))
+        words.append(s)
+        weights.append(n)
+    heap = [(-c, *p) for p, c in counts.items()]
+    heapq.heapify(heap)
+    out: Merges = []
+    while heap and next_id < vocab_size and (bound is None or heap[0] <= bound):
+        c, l, r = heapq.heappop(heap)
+        if counts.get((l, r)) != -c:
+            continue                                       # an older count
+        changed = set()
+        for k in where.pop((l, r)):
+            s, n, i, made = words[k], weights[k], 0, []
+            while i < len(s):
+                if s[i] == l and i + 1 < len(s) and s[i + 1] == r:
+                    made.append(next_id)
+                    i += 2
+                else:
+                    made.append(s[i])
+                    i += 1
+            if len(made) == len(s):
+                continue                                   # another merge took the pair here
+            for p in zip(s, s[1:]):
+                counts[p] -= n
+                changed.add(p)
+            for p in zip(made, made[1:]):
+                counts[p] = counts.get(p, 0) + n
+                where.setdefault(p, set()).add(k)
+                changed.add(p)
+            words[k] = made
+        for p in changed:
+            if counts[p] > 0:
+                heapq.heappush(heap, (-counts[p], *p))
+            else:
+                del counts[p]
+        out.append((l, r, next_id, -c))
+        next_id += 1
+    return out
+
+
 class PairHead:
     """The pairs that come up to ``bound`` in merge order (count, then symbols), exactly: the next merges until none is left.
 
@@ -217,6 +321,11 @@ class PairHead:
             else:
                 self.counts.pop((l, r), None)
 
+    def first(self, k: int) -> tuple[list[tuple[int, int]], tuple[int, int, int] | None]:
+        """The first ``k`` pairs in merge order, and the place (count, symbols) up to which they are all."""
+        rows = heapq.nsmallest(k + 1, ((-c, *p) for p, c in self.counts.items()))
+        return [p[1:] for p in rows[:k]], rows[k - 1] if len(rows) > k else self.bound
+
     def batch(self, next_id: int, vocab_size: int) -> Merges:
         """The next merges (l, r, id, count), as many as are sure to come in this order.
 
@@ -243,15 +352,31 @@ class PairHead:
         return out
 
 
+def next_merges(blocks: DataFrame, pairs: PairHead, some: int, next_id: int, vocab_size: int, max_runs: int) -> tuple[Merges, int]:
+    """(the next merges, pairs to look at in the next round), by the first ``some`` pairs of the head and the runs they form.
+
+    More than ``max_runs`` different runs do not go to the driver: then the head gives the merges that are sure without them.
+    """
+    if not pairs.counts:
+        return [], some
+    chosen, bound = pairs.first(some)
+    runs = pair_runs(blocks, chosen).limit(max_runs + 1).toArrow()
+    if runs.num_rows > max_runs:
+        return pairs.batch(next_id, vocab_size), max(1, some // 4)
+    merges = settle(zip(runs.column("run").to_pylist(), runs.column("n").to_pylist()), bound, next_id, vocab_size)
+    return merges, some * 2 if 3 * runs.num_rows < max_runs else some
+
+
 def train_bpe(counts: DataFrame, vocab_size: int = C.VOCAB_SIZE, head: int = C.TokenConfig.pair_head,
-              write_every: int = 24) -> Merges:
+              write_every: int = 24, first_pairs: int = 64, max_runs: int = 1 << 16) -> Merges:
     """Learn merges from a pretoken histogram. Returns ``[(left, right, new_id, count)]`` in merge order
     (the merge table is bounded by the vocabulary size).
 
-    Words stay in blocks on the executors. A round is one job: each block rewrites the words that hold a merged pair
-    and gives the changes of its pair counts; they are summed and only they reach the driver, which keeps the ``head``
-    most frequent pairs (all pairs are recounted only when these are used up). Blocks are persisted each
-    round and written to the shared folder every ``write_every`` rounds, which cuts the lineage.
+    Words stay in blocks on the executors. A round is two jobs. The first gives the runs that the most frequent pairs form,
+    counted (at most ``max_runs``); on them the driver settles these pairs' merges, overlapping ones too. In the second each
+    block rewrites the words that hold a merged pair and gives the changes of its pair counts; they are summed and only they
+    reach the driver, which keeps the ``head`` most frequent pairs (all pairs are recounted only when these are used up).
+    Blocks are persisted each round and written to the shared folder every ``write_every`` rounds, which cuts the lineage.
     """
     from pyspark import StorageLevel
 
@@ -259,9 +384,10 @@ def train_bpe(counts: DataFrame, vocab_size: int = C.VOCAB_SIZE, head: int = C.T
     pairs = PairHead(head)
     pairs.fill(pair_counts(blocks))
     merges: Merges = []
+    some = first_pairs
     held, rounds = [], 0                  # persisted frames, back to the last written one
     while FIRST_MERGE_ID + len(merges) < vocab_size:
-        accepted = pairs.batch(FIRST_MERGE_ID + len(merges), vocab_size)
+        accepted, some = next_merges(blocks, pairs, some, FIRST_MERGE_ID + len(merges), vocab_size, max_runs)
         if not accepted:
             if pairs.bound is None:
                 break

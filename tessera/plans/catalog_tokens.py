@@ -50,16 +50,17 @@ def word_ids(text, vocab: int = V):
         + F.lit(len(B.SPECIALS))).cast("int"))
 
 
-def _lines(i: Inputs) -> DataFrame:
+def _lines(i: Inputs, corpus: DataFrame | None = None) -> DataFrame:
     """Corpus lines with their line index and tokenisation shard."""
-    c = P.line_index(i.corpus())
+    c = P.line_index(i.corpus() if corpus is None else corpus)
     c = R.attach_policy(c, i.registry, ("token_shards",))
     return P.tok_shards(c, F.col("token_shards")).drop("token_shards")
 
 
-def _merge_table(spark: SparkSession, d: str, retrain: bool = False) -> DataFrame:
+def _merge_table(spark: SparkSession, d: str, retrain: bool = False, corpus: DataFrame | None = None) -> DataFrame:
     """The tokeniser model of this input, as the pipeline's tokenizer phase leaves it: a table in the shared folder, named by
-    what it was trained from (files, their sizes and times, vocabulary) and read by the encode and pack queries."""
+    what it was trained from (files, their sizes and times, vocabulary) and read by the encode and pack queries. ``corpus``: the
+    input's corpus, of a caller that has it."""
     names = ("documents", "labels", "benchmark")
     each = [read_table(spark, d, t).select(F.concat_ws("|", "_metadata.file_path", F.col("_metadata.file_size").cast("string"),
                                                        F.col("_metadata.file_modification_time").cast("string")).alias("f")) for t in names]
@@ -68,13 +69,13 @@ def _merge_table(spark: SparkSession, d: str, retrain: bool = False) -> DataFram
     path = f"{checkpoint_dir(spark).rstrip('/')}/merges-{V}-{name}"
     done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     if retrain or not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
-        merges = B.train_bpe(B.pretoken_counts(Inputs(spark, d).corpus()), V)
+        merges = B.train_bpe(B.pretoken_counts(corpus if corpus is not None else Inputs(spark, d).corpus()), V)
         B.merges_df(spark, merges).coalesce(1).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
-def _merges(spark: SparkSession, d: str) -> B.Merges:
-    return B.load_merges(_merge_table(spark, d))
+def _merges(spark: SparkSession, d: str, corpus: DataFrame | None = None) -> B.Merges:
+    return B.load_merges(_merge_table(spark, d, corpus=corpus))
 
 
 def q_pretoken_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -90,8 +91,9 @@ def q_vocab_layout(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _encoded(spark: SparkSession, d: str) -> tuple[DataFrame, B.Merges]:
-    m = _merges(spark, d)
-    return Inputs(spark, d).corpus().withColumn("ids", B.encode_column(F.col("text"), m)), m
+    corpus = Inputs(spark, d).corpus()
+    m = _merges(spark, d, corpus)
+    return corpus.withColumn("ids", B.encode_column(F.col("text"), m)), m
 
 
 def q_bpe_encode(spark: SparkSession, d: str) -> DataFrame:
@@ -138,8 +140,10 @@ def q_token_index(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_pack_windows_bpe(spark: SparkSession, d: str) -> DataFrame:
-    m = _merges(spark, d)
-    lines = _lines(Inputs(spark, d))
+    i = Inputs(spark, d)
+    corpus = i.corpus()
+    m = _merges(spark, d, corpus)
+    lines = _lines(i, corpus)
     lines = lines.withColumn("ids", B.encode_column(F.col("text"), m))
     return P.pack_windows(lines, "ids", FULL.seq_len, B.EOS_ID, FULL.val_every)
 

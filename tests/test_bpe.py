@@ -132,3 +132,55 @@ def test_merges_of_given_documents_equal_the_library(spark):
     assert [(l, r) for l, r, _, _ in m] == theirs
     got = docs.select("text", B.encode_column(F.col("text"), m).alias("ids")).collect()
     assert all(list(r.ids) == tok.encode(r.text).ids for r in got)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.text("abc", min_size=1, max_size=12), st.integers(1, 5)), min_size=1, max_size=12, unique_by=lambda x: x[0]),
+       st.integers(1, 12))
+def test_settled_rounds_equal_single_merges(words, some):
+    """Overlapping merges of a round, settled on the runs of the first pairs alone, and the blocks rewritten in their order."""
+    import pyarrow as pa
+    syms = np.concatenate([np.array([*(B.BYTE_IDS[b] for b in w.encode()), -1], np.int32) for w, _ in words])
+    n = np.array([c for _, c in words], np.int64)
+    weight = lambda s: np.repeat(n, np.diff(np.flatnonzero(s == -1), prepend=-1))
+    head = B.PairHead(1000)
+    table = lambda keys, c: pa.table({"l": keys >> 32, "r": keys & 0xFFFFFFFF, "c": c})
+    head.change(table(*B._pair_sums(syms, weight(syms))))
+    got, size = [], B.FIRST_MERGE_ID + 40
+    while head.counts and B.FIRST_MERGE_ID + len(got) < size:
+        chosen, bound = head.first(some)
+        runs = Counter()
+        for w, c in zip(np.split(syms, np.flatnonzero(syms == -1) + 1), n):
+            k = 0
+            while k < len(w) - 1:
+                e = k
+                while e < len(w) - 1 and (w[e], w[e + 1]) in chosen:
+                    e += 1
+                if e > k:
+                    runs[w[k:e + 1].tobytes()] += int(c)
+                k = max(e, k + 1)
+        made = B.settle(runs.items(), bound, B.FIRST_MERGE_ID + len(got), size)
+        assert made
+        got += made
+        order = sorted((l << 32 | r, i) for l, r, i, _ in made)
+        syms, keys, change = B.merge_block(syms, n, np.array([k for k, _ in order]), np.array([i for _, i in order], np.int32))
+        head.change(table(keys, change))
+        keys, sums = B._pair_sums(syms, weight(syms))
+        assert head.counts == {(int(k >> 32), int(k & 0xFFFFFFFF)): int(c) for k, c in zip(keys, sums)}
+    assert got == plain_merges(dict(words), size)
+
+
+def test_training_takes_few_rounds(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("text")
+    rounds, merge = [], B.merge_round
+    monkeypatch.setattr(B, "merge_round", lambda blocks, accepted: rounds.append(len(accepted)) or merge(blocks, accepted))
+    assert len(B.train_bpe(B.pretoken_counts(docs), B.FIRST_MERGE_ID + 600)) == 600
+    assert len(rounds) <= 12
+
+
+def test_few_runs_allowed_give_the_same_merges(spark):
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choice(["th", "e", "an", "aa", "ing", "o"]) for _ in range(rng.randrange(1, 5))) for _ in range(30)) for _ in range(20)]
+    counts = B.pretoken_counts(spark.createDataFrame([(t,) for t in texts], "text string"))
+    m = B.train_bpe(counts, B.FIRST_MERGE_ID + 40, head=9, write_every=3, first_pairs=4, max_runs=6)
+    assert m == plain_merges({r.pretoken: r.n for r in counts.collect()}, B.FIRST_MERGE_ID + 40)
