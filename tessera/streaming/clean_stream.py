@@ -26,11 +26,13 @@ from tessera.sources.tables import SCHEMAS, fixture_shard
 
 def raw_stream(spark: SparkSession, directory: str, file_glob: str = "documents*.parquet",
                n_shards: int = C.FIXTURE_SHARDS, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Documents files of a directory read as a stream (fixture adapter applied)."""
-    r = spark.readStream.schema(SCHEMAS["documents"]).option("pathGlobFilter", file_glob)
+    """Documents files of a directory read as a stream (fixture adapter applied). What ``file_glob`` matches may be files or
+    folders of part files."""
+    r = spark.readStream.schema(SCHEMAS["documents"])
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    docs = r.parquet(directory)
+    # in braces, so that a plain name is a pattern too: Spark takes a plain path to be a folder
+    docs = r.parquet(f"{directory.rstrip('/')}/{{{file_glob}}}")
     return docs.select("source", fixture_shard(F.col("doc_id"), n_shards).alias("shard"),
                        F.col("doc_id").alias("pos"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
@@ -71,7 +73,9 @@ def drop_counters(cleaned: DataFrame) -> DataFrame:
 
 
 def read_counters(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    """(source, reason, docs): each key's total of its latest batch (of those under ``before``)."""
+    """(source, reason, docs): each key's total of its latest batch (of those under ``before``); no rows before the first batch."""
+    if not _batches(spark, path)[1]:
+        return spark.createDataFrame([], "source string, reason string, docs bigint")
     rows = spark.read.schema(COUNTERS).parquet(path)
     if before is not None:
         rows = rows.where(F.col("batch_id") < before)
@@ -100,7 +104,8 @@ def upsert_counters(path: str, snapshot_every: int = SNAPSHOT_EVERY):
             old = read_counters(spark, path, batch_id).withColumn("new", F.lit(0))
             both = old.unionByName(rows.withColumn("new", F.lit(1)))
             rows = both.groupBy("source", "reason").agg(F.max_by("docs", "new").alias("docs"))
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        # a shuffle, so that the state's partitions are not one task's
+        rows.repartition(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         snapshots = [k for k in held if k < batch_id and k % snapshot_every == snapshot_every - 1]
         for k, folder in held.items():
             if snapshots and k < max(snapshots):

@@ -110,3 +110,20 @@ def test_pipeline_jobs_end_to_end(spark):
     from tessera.functions.text import exact_hash
     dup = corpus.groupBy("source", "shard", exact_hash(F.col("text")).alias("h")).count().where("count > 1")
     assert dup.count() == 0
+
+
+def test_stream_reads_documents_in_part_files(spark):
+    """``documents.parquet`` as a folder of part files: the stream once read none of them."""
+    from tessera.plans.catalog_clean import q_clean_stream, q_stream_counters
+    base = tempfile.mkdtemp(prefix="stream-parts-")
+    rows = [(k, f"{'A line of plain words that is long enough to stay in. ' * 20}{k}", "en", f"src{k % 3}", 1) for k in range(30)]
+    for name, some in (("documents", rows), ("labels", [(k, 1, 0) for k in range(30)])):
+        schema = {"documents": "doc_id bigint, text string, lang string, source string, n_chars bigint", "labels": "doc_id bigint, quality int, toxic int"}
+        spark.createDataFrame(some, schema[name]).repartition(3).write.parquet(f"{base}/{name}.parquet")
+    assert sorted(r.pos for r in q_clean_stream(spark, base).collect()) == list(range(30))
+    assert sum(r.docs for r in q_stream_counters(spark, base).collect()) == 30
+
+
+def test_counters_without_a_batch_are_empty(spark):
+    from tessera.streaming import clean_stream as S
+    assert S.read_counters(spark, tempfile.mkdtemp(prefix="stream-none-") + "/counters").collect() == []
