@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.memory import release
+
 MAX_BITS = 28
 
 
@@ -50,6 +52,7 @@ def passing(hashes: Column, shared) -> Column:
         ends = np.cumsum(size)
         row = np.searchsorted(ends, hit, side="right")
         off = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(size)))])
+        release()
         return pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(hit - (ends - size)[row], pa.int32()), mask=rows.is_null())
 
     return places(hashes)

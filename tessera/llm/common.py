@@ -5,7 +5,6 @@ Words are the runs ``[^\\x20\\x09-\\x0D]+`` everywhere in this package.
 
 from __future__ import annotations
 
-import ctypes
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -15,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_LIBC = ctypes.CDLL(None)
+from tessera.functions.memory import release
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 SPACE = "[\\x20\\x09-\\x0D]+"
@@ -128,12 +127,6 @@ def released(run):
     return wrapped
 
 
-def release() -> None:
-    pa.default_memory_pool().release_unused()
-    if hasattr(_LIBC, "malloc_trim"):
-        _LIBC.malloc_trim(0)
-
-
 def run_ends(starts: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first byte, end) of the runs that begin where ``starts`` is set and last while ``keep`` is, up to the next start.
 

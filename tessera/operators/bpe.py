@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera import config as C
+from tessera.functions.memory import release
 from tessera.session import written
 
 # Byte-level pretokeniser pattern (GPT-2 style), Unicode classes.
@@ -499,6 +500,7 @@ def encode_column(text: Column, merges: Merges) -> Column:
             per_row = np.cumsum(np.concatenate([[0], pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)]))
             off = np.concatenate([[0], ends])[per_row]
             yield pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat[at], pa.int32()), mask=rows.is_null())
+            release()
 
     return encode(pretokens(text))
 

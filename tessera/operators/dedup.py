@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tessera import config as C
 from tessera.functions import text as X
+from tessera.functions.memory import release
 from tessera.session import cut_lineage
 
 # Document order key packed in one BIGINT: shard < 2^23, position in shard < 2^40.
@@ -86,7 +87,9 @@ def _numpy_minhash(hashes: Column, params: list[tuple[int, int]]) -> Column:
                 return empty
             v = np.asarray(h, dtype=np.int64)[None, :]
             return ((a * v + b) % MERSENNE_P).min(axis=1).tolist()
-        return col.map(one)
+        out = col.map(one)
+        release()
+        return out
 
     return _minhash(hashes)
 

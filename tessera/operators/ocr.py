@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera import config as C
+from tessera.functions.memory import release
 from tessera.functions.text import ocr_tokens
 from tessera.functions.words import WordSet, letter_tokens, publish
 
@@ -63,6 +64,7 @@ def nonword_column(text: Column, words: WordSet, cfg: C.CleanConfig = C.CleanCon
     @F.arrow_udf("struct<n_tokens: int, n_nonword: bigint, nonword_ratio: double>")
     def measure(texts: pa.Array) -> pa.Array:
         n, bad = nonword_counts(texts, words)
+        release()
         bad = np.where((n >= least) & (words.size > 0), bad, 0)
         return pa.StructArray.from_arrays([pa.array(n, pa.int32()), pa.array(bad, pa.int64()), pa.array(bad / np.maximum(n, 1))],
                                           names=["n_tokens", "n_nonword", "nonword_ratio"], mask=texts.is_null())

@@ -12,13 +12,14 @@ from tessera.operators import ocr as O
 from tessera.operators.budget import apply_budget
 from tessera.operators.clean import clean_documents
 from tessera.sources import registry as R
-from tessera.session import written
+from tessera.session import small_batches, written
 from tessera.sources.tables import raw_docs, read_table
 
 
 class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: C.PipelineConfig = C.PipelineConfig()):
         self.spark, self.sf_dir, self.cfg = spark, sf_dir, cfg
+        small_batches(spark)
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)

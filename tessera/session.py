@@ -13,6 +13,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -35,6 +36,14 @@ def get_spark(master: str | None = None, app: str = "tessera",
     return spark
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 8 MB, where the session does not say how large: a Python worker holds each several times over,
+    and on large splits Spark's own bound is a multiple of that."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, DEFAULT_CONF[key])
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder of the cluster (``spark.checkpoint.dir``).
 
