@@ -317,9 +317,28 @@ def verified(pairs: DataFrame, sets: DataFrame, cfg: NearConfig) -> DataFrame:
 
 # --- components -------------------------------------------------------------------------------------------------
 
+def contracted(links: DataFrame) -> DataFrame:
+    """Fewer links (a < b) with the same components: of those of an Arrow batch only a star for each of its components.
+
+    The nodes of a large group each name it by another document, so every member comes with a link for each node. Ordered by
+    the member, a batch that holds all links of a thousand members keeps about a thousand.
+    """
+    def run(batches):
+        for batch in batches:
+            ids, ends = np.unique(np.concatenate([batch.column(k).to_numpy() for k in (0, 1)]), return_inverse=True)
+            low = _lowest(ends[:batch.num_rows], ends[batch.num_rows:], len(ids))
+            at = np.flatnonzero(low != np.arange(len(low)))
+            yield pa.record_batch([pa.array(ids[low[at]]), pa.array(ids[at])], names=["a", "b"])
+
+    each = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    # any part of the links contracts by itself, so a partition with a document of very many links may be split
+    return each.hint("rebalance", F.col("b")).sortWithinPartitions("b", "a").mapInArrow(released(run), "a long, b long")
+
+
 def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(id, comp) of every linked id: the smallest id it reaches."""
-    both = scratch.write(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(), f"{name}-both")
+    links = scratch.write(contracted(links).distinct(), f"{name}-links")
+    both = scratch.write(links.select("a", "b").union(links.select("b", "a")).distinct(), f"{name}-both")
     labels = scratch.write(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
                            .select("id", F.least("id", "m").alias("comp")), f"{name}-0")
     turn = 0
@@ -336,6 +355,7 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         labels = new.select("id", "comp")
         if not changed:
             scratch.drop(f"{name}-both")
+            scratch.drop(f"{name}-links")
             return labels
 
 

@@ -95,6 +95,16 @@ def test_odd_documents(spark):
     assert neardup.dedup(empty_documents(spark)).count() == 0
 
 
+def test_links_of_a_group_named_by_many_documents(spark):
+    """20 nodes of the same 1,000 documents, each a star around another one: about a link a document is left, the components stay."""
+    links = spark.range(20, 1000).selectExpr("explode(sequence(0L, 19L)) AS a", "id AS b").union(
+        spark.createDataFrame([(5000, 4000), (4000, 5000), (7, 7), (4500, 5000)], "a long, b long"))
+    left = [tuple(r) for r in neardup.contracted(links).distinct().collect()]
+    assert len(left) < 1200 and all(a < b for a, b in left)
+    got = {r.id: r.comp for r in neardup.components(links, neardup.Scratch(spark), "t").collect()}
+    assert got == {**{i: 0 for i in range(1000)}, **{i: 4000 for i in (4000, 4500, 5000)}}
+
+
 def test_components_of_a_long_chain(spark):
     from tessera.llm.common import Scratch
     edges = [(i, i + 1) for i in range(0, 90)] + [(200, 201), (300, 202), (202, 201)]
