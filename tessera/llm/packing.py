@@ -118,17 +118,25 @@ def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """The concatenation of ``start[i] .. start[i] + length[i] - 1``."""
     ends = np.cumsum(length)
     total = int(ends[-1]) if len(ends) else 0
-    return np.arange(total) + np.repeat(start - (ends - length), length)
+    kind = np.int32 if total and max(total, int(start.max()) + total) < 1 << 31 else np.int64
+    out = np.repeat((start - (ends - length)).astype(kind), length)
+    out += np.arange(total, dtype=kind)
+    return out
+
+
+def has_any(data: np.ndarray, strings: list[bytes]) -> bool:
+    """Does the text hold one of the strings?"""
+    whole = data.tobytes()
+    return any(s in whole for s in strings)
 
 
 def token_ids(texts: pa.Array, tokenizer) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all rows (no final id) and row offsets."""
     tok, ends, special = tokenizer
     data, off = text_bytes(texts)
-    whole = data.tobytes()
     keep = ~_BLANK[data]
     starts = keep.copy()
-    if any(s in whole for s in special):
+    if has_any(data, special):
         starts[1:] &= ~keep[:-1]
     else:
         data = ascii_lower_bytes(data)                          # the vocabulary is lower case
@@ -137,16 +145,23 @@ def token_ids(texts: pa.Array, tokenizer) -> tuple[np.ndarray, np.ndarray]:
         cut |= letter[:-1] & punct[1:]
         cut |= punct[:-1] & (data[:-1] != 39) & letter[1:]      # an apostrophe may start a contraction
         starts[1:] &= cut
+        del letter, punct, cut
     first = off[:-1][off[:-1] < off[1:]]
     starts[first] = keep[first]
+    # a Python worker's peak is here: what is a number a byte or a run goes as soon as it is used
     pos, strings = cut_strings(data, starts, keep)
+    row = np.searchsorted(pos, off)
+    del data, keep, starts, pos
     encoded = strings.dictionary_encode()
-    codes = np.asarray(encoded.indices)
-    flat, offsets = encode_runs(encoded.dictionary.to_pylist(), tok, ends)
-    lengths = np.diff(offsets)[codes] if len(codes) else np.zeros(0, np.int64)
-    ids = flat[ranges(offsets[codes], lengths)] if len(codes) else np.zeros(0, np.uint32)
-    per_run = np.concatenate([[0], np.cumsum(lengths)])
-    return ids, per_run[np.searchsorted(pos, off)]
+    del strings
+    codes, runs = np.asarray(encoded.indices), encoded.dictionary.to_pylist()
+    flat, offsets = encode_runs(runs, tok, ends)
+    del encoded, runs
+    if not len(codes):
+        return np.zeros(0, np.uint32), np.zeros(len(off), np.int64)
+    lengths = np.diff(offsets)[codes]
+    per_run = np.concatenate([[0], np.cumsum(lengths)])[row]
+    return flat[ranges(offsets[codes], lengths)], per_run
 
 
 def pieces(documents: DataFrame, cfg: PackConfig = PackConfig()) -> DataFrame:

@@ -1,5 +1,6 @@
 """Quality classifier, line dedup, license scans, mixing, packing, language ID and URL filters on small fixtures."""
 
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -249,6 +250,28 @@ def test_ids_equal_the_library(spark):
             assert ids[offsets[i]:offsets[i + 1]].tolist() == want, some[i]
 
 
+def test_encoding_holds_few_copies_of_the_text():
+    """A worker's peak while it encodes, as a multiple of the text's bytes (23 when the per-byte and per-run arrays lived on)."""
+    random = np.random.default_rng(5)
+    words = ["".join(random.choice(list("abcdefghij"), random.integers(1, 10))) for _ in range(2000)]
+    texts = pa.array([" ".join(random.choice(words, 400)) for _ in range(1000)])
+    tokenizer = packing.load(packing.tokenizer_path(packing.PackConfig()))
+    packing.token_ids(texts, tokenizer)
+    tracemalloc.start()
+    try:
+        packing.token_ids(texts, tokenizer)
+        assert tracemalloc.get_traced_memory()[1] < 14 * texts.nbytes
+    finally:
+        tracemalloc.stop()
+
+
+def test_ranges():
+    for start in ([3, 0, 10], [3, 0, (1 << 31) - 2]):
+        got = packing.ranges(np.array(start), np.array([2, 0, 3]))
+        assert got.tolist() == [3, 4, start[2], start[2] + 1, start[2] + 2]
+    assert packing.ranges(np.zeros(0, np.int64), np.zeros(0, np.int64)).tolist() == []
+
+
 def check_packing(rows, capacity):
     bins = defaultdict(list)
     for r in rows:
