@@ -51,14 +51,18 @@ def contaminated_keys(docs: DataFrame, grams: DataFrame, keys: list[str], text_c
     task's. Documents with fewer than n words have no grams and never match.
     """
     grams = written(grams.select("gram").distinct())
-    table = bit_table(grams.select(F.xxhash64("gram").alias("h")), "h", max_bits)
+    table = bit_table(grams.select(F.xxhash64(F.split("gram", " ")).alias("h")), "h", max_bits)
     own = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
     # a projection each, and no filter Spark could push below them: the words are made once a document, not once a gram
     w = docs.select(*own, X.dedup_words(F.col(text_col)).alias("_w"))
-    w = w.withColumn("_g", X.word_ngrams_joined(F.col("_w"), n))
-    w = w.withColumn("_at", passing(F.transform("_g", lambda g: F.xxhash64(g)), table))
+    # hashed word by word; only a gram that passes is made into a string
+    count = F.size("_w") - (n - 1)
+    hashes = F.when(count <= 0, F.array().cast("array<bigint>")).otherwise(
+        F.transform(F.sequence(F.lit(1), count), lambda i: F.xxhash64(F.slice("_w", i, n))))
+    w = w.withColumn("_h", hashes)
+    w = w.withColumn("_at", passing(F.col("_h"), table))
     found = w.select(*[f"_k{i}" for i in range(len(keys))],
-                     F.explode(F.array_distinct(F.transform("_at", lambda i: F.element_at("_g", i + 1)))).alias("gram"))
+                     F.explode(F.array_distinct(F.transform("_at", lambda i: F.array_join(F.slice("_w", i + 1, n), " ")))).alias("gram"))
     found = written(found.withColumn("_salt", F.pmod(F.xxhash64(*[f"_k{i}" for i in range(len(keys))]), F.lit(salts)).cast("int")))
     true = written(found.select("gram").distinct().join(grams, "gram", "left_semi"))
     dealt = true.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -10,12 +10,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
+import re
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from tessera import config as C
@@ -42,6 +43,7 @@ def key_pos(k: Column) -> Column:
 
 # MinHash family: h(s) = first 32 bits of md5(s) mod P; perm_i(h) = (a_i*h + b_i) mod P.
 MERSENNE_P = (1 << 31) - 1
+_WORD = re.compile(rb"[a-z0-9]+")
 EMPTY_SIGNATURE_VALUE = MERSENNE_P  # wordless documents: every position at the sentinel
 
 
@@ -73,40 +75,51 @@ def _native_minhash(hashes: Column, params: list[tuple[int, int]]) -> Column:
         F.lit(EMPTY_SIGNATURE_VALUE).cast("bigint")))
 
 
-def _numpy_minhash(hashes: Column, params: list[tuple[int, int]]) -> Column:
-    """Arrow-batched kernel: one (perm x shingle) matrix per document, min per row.
-    a, h < 2^31 so a*h + b < 2^63: exact in int64."""
+#: Shingles whose (perm x shingle) matrix is held at once.
+MATRIX_SHINGLES = 4096
+
+
+def _numpy_minhash(lowered: Column, k: int, params: list[tuple[int, int]]) -> Column:
+    """Arrow-batched kernel over lower-cased text: the distinct shingle hashes of a document, their (perm x shingle)
+    matrix a block at a time, min per row. a, h < 2^31 so a*h + b < 2^63: exact in int64."""
     a = np.array([x for x, _ in params], dtype=np.int64)[:, None]
     b = np.array([y for _, y in params], dtype=np.int64)[:, None]
-    empty = [EMPTY_SIGNATURE_VALUE] * len(params)
-
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def _minhash(col: pd.Series) -> pd.Series:
-        def one(h):
-            if h is None or len(h) == 0:
-                return empty
-            v = np.asarray(h, dtype=np.int64)[None, :]
-            return ((a * v + b) % MERSENNE_P).min(axis=1).tolist()
-        out = col.map(one)
+
+    @F.arrow_udf("array<bigint>")
+    def _minhash(texts: pa.Array) -> pa.Array:
+        def one(body: bytes) -> np.ndarray:
+            words = _WORD.findall(body)
+            made = {b" ".join(words[i:i + k]) for i in range(max(1, len(words) - k + 1))} if words else ()
+            first = b"".join([hashlib.md5(s, usedforsecurity=False).digest()[:4] for s in made])
+            v = np.unique(np.frombuffer(first, ">u4").astype(np.int64) % MERSENNE_P)
+            low = np.full(len(a), EMPTY_SIGNATURE_VALUE, np.int64)
+            for at in range(0, len(v), MATRIX_SHINGLES):
+                np.minimum(low, ((a * v[None, at:at + MATRIX_SHINGLES] + b) % MERSENNE_P).min(axis=1), out=low)
+            return low
+
+        rows = [one(x.as_buffer().to_pybytes() if x.is_valid else b"") for x in texts.cast(pa.large_binary())]
+        flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+        out = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * len(a), pa.int32()), pa.array(flat))
         release()
         return out
 
-    return _minhash(hashes)
+    return _minhash(lowered)
 
 
 def with_signature(df: DataFrame, text_col: str, cfg: C.DedupConfig = C.DedupConfig(),
                    out: str = "sig", kernel: str = "numpy") -> DataFrame:
     """Add ``out``: ARRAY<BIGINT> of ``num_perm`` MinHash values (narrow, no shuffle).
 
-    Words, shingles and shingle hashes are native expressions; the permutation
-    minimum (num_perm x shingles per document) runs in a NumPy Arrow kernel
-    (``kernel="native"``: the same as nested higher-order functions).
+    Words, shingles, their hashes and the permutation minimum (num_perm x shingles per
+    document) run in an Arrow kernel that takes the text alone (``kernel="native"``: the
+    same as nested higher-order functions).
     """
     params = minhash_params(cfg.num_perm)
+    if kernel == "numpy":
+        return df.withColumn(out, _numpy_minhash(F.lower(text_col), cfg.shingle_k, params))
     step = df.withColumn("_mh_w", X.dedup_words(F.col(text_col)))
     step = step.withColumn("_mh_h", F.array_distinct(F.transform(shingles(F.col("_mh_w"), cfg.shingle_k), shingle_hash)))
-    sig = _numpy_minhash(F.col("_mh_h"), params) if kernel == "numpy" else _native_minhash(F.col("_mh_h"), params)
-    return step.withColumn(out, sig).drop("_mh_w", "_mh_h")
+    return step.withColumn(out, _native_minhash(F.col("_mh_h"), params)).drop("_mh_w", "_mh_h")
 
 
 def band_members(sigs: DataFrame, cfg: C.DedupConfig = C.DedupConfig(), sig_col: str = "sig") -> DataFrame:

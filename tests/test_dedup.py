@@ -146,3 +146,12 @@ def test_minhash_kernels_agree(spark):
     b = {r.doc_id: list(r.sig) for r in DD.with_signature(docs, "text", kernel="native").collect()}
     assert a == b
     assert a[-1] == [DD.EMPTY_SIGNATURE_VALUE] * C.MINHASH_PERM
+
+
+def test_minhash_kernel_reads_the_text_alone(spark):
+    """Equal to the native form on odd texts, with no shingle strings or digests made in the JVM."""
+    texts = ["", "...", "one", "One  two", "a b c d e", "a b c d e f", "\u212A \u0130 É x1-y2\x1fz", "w " * 9000, " ".join(map(str, range(6000)))]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    fast, native = (DD.with_signature(df, "text", kernel=k).select("id", "sig") for k in ("numpy", "native"))
+    assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, native.collect()))
+    assert "md5" not in fast._jdf.queryExecution().optimizedPlan().toString()

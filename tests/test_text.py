@@ -1,6 +1,7 @@
 """Cleaning rules against rows worked out by hand, and properties of the rules."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -111,3 +112,21 @@ def test_cleaning_is_idempotent_and_only_removes_lines(spark):
     for before, after in zip(texts, once):
         lines = before.split("\n")
         assert all(x in lines and len(x) >= 40 for x in after.split("\n") if x)
+
+
+def test_nonalnum_share_without_a_regex_per_character(spark):
+    cases = ["", "abc", "a b", "---", "\U0001F600a\u0301é9 Z", "aZ09" * 10 + ". ,;", "٣ａＡ\u212A"]
+    plain = [1.0 if not t else 1.0 - sum(c.isascii() and c.isalnum() for c in t) / len(t) for t in cases]
+    assert _map(spark, cases, X.nonalnum_ratio) == plain
+    assert "regexp" not in str(X.nonalnum_ratio(F.col("t")))
+
+
+def test_dedup_words_of_odd_texts(spark):
+    cases = ["", " ", "...", "A-b  c", "\u212Aelvin \u0130x", " x\x1fy\u00a0z ", "é1é2", "a" * 50]
+    plain = [re.findall("[a-z0-9]+", t.lower()) for t in cases]
+    assert _map(spark, cases, X.dedup_words) == plain
+
+
+def test_word_ngrams(spark):
+    words = lambda t: X.word_ngrams_joined(X.whitespace_words(t), 3)
+    assert _map(spark, ["", "a b", "a b c", "a b c d"], words) == [[], [], ["a b c"], ["a b c", "b c d"]]
