@@ -7,6 +7,9 @@ two agree on the characters the chain can meet.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,10 +17,11 @@ from tessera import config as C
 
 # Python ``str.splitlines`` separators.
 LINE_BREAKS = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+RARE_BREAKS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 # Python ``\s`` for str patterns = Java Unicode white space plus \x1C-\x1F.
 WHITESPACE_RUN = r"(?U)[\s\x1C-\x1F]+"
 ALNUM = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
-NON_ASCII = r"[^\x00-\x7F]"
+ASCII = "".join(map(chr, range(128)))
 # After ``collapse_ws`` and the "\n" line join, str.split() = split on these.
 WORD_SEPARATORS = r"[ \n]+"
 OCR_TOKEN = r"[A-Za-z]{3,}"
@@ -34,7 +38,8 @@ def java_boilerplate_regex() -> str:
     for p in C.BOILERPLATE_PATTERNS:
         p = p.replace(r"[-\s]", "\0").replace(r"\s", r"[\s\x1F]").replace("\0", r"[-\s\x1F]")
         alts.append(f"(?:{p})")
-    return "(?iU)" + "|".join(alts)
+    # anchored as a whole: else every place of a line is tried, each time with all the patterns
+    return "(?iU)^(?:" + "|".join(alts) + ")"
 
 
 BOILERPLATE = java_boilerplate_regex()
@@ -56,7 +61,10 @@ def coerce_text(c: Column) -> Column:
 
 
 def split_lines(text: Column) -> Column:
-    return F.split(text, LINE_BREAKS, -1)
+    """``text`` should be a column reference (it is read several times)."""
+    rare = reduce(or_, [F.contains(text, F.lit(c)) for c in RARE_BREAKS])
+    # a plain split and searches for a character each take half the time of the pattern
+    return F.when(rare, F.split(text, LINE_BREAKS, -1)).otherwise(F.split(text, "\n", -1))
 
 
 def split_lines_exact(text: Column) -> Column:
@@ -64,7 +72,7 @@ def split_lines_exact(text: Column) -> Column:
 
     (Empty text gives [""] here and [] in Python; both join to "".)
     """
-    return split_lines(F.regexp_replace(text, r"(?:" + LINE_BREAKS + r")\z", ""))
+    return F.split(F.regexp_replace(text, r"(?:" + LINE_BREAKS + r")\z", ""), LINE_BREAKS, -1)
 
 
 def collapse_ws(x: Column) -> Column:
@@ -109,8 +117,9 @@ def clean_text(text: Column, cfg: C.CleanConfig = C.CleanConfig()) -> Column:
 
 def ascii_ratio(s: Column) -> Column:
     n = F.length(s)
-    ascii_n = F.length(F.regexp_replace(s, NON_ASCII, ""))
-    return F.when(n == 0, F.lit(0.0)).otherwise(ascii_n / n)
+    # as in ``nonalnum_ratio``; a text with as many bytes as characters has no other
+    ascii_n = n - F.length(F.translate(s, ASCII, ""))
+    return F.when(n == 0, F.lit(0.0)).when(F.octet_length(s) == n, F.lit(1.0)).otherwise(ascii_n / n)
 
 
 def lang_sample(s: Column, cfg: C.CleanConfig = C.CleanConfig()) -> Column:

@@ -130,3 +130,22 @@ def test_dedup_words_of_odd_texts(spark):
 def test_word_ngrams(spark):
     words = lambda t: X.word_ngrams_joined(X.whitespace_words(t), 3)
     assert _map(spark, ["", "a b", "a b c", "a b c d"], words) == [[], [], ["a b c"], ["a b c", "b c d"]]
+
+
+def test_ascii_share_without_a_regex_per_character(spark):
+    cases = ["", "abc", "\x00\x7f\x80", "é", "naïve \U0001F600 — ok", "\U00020BB7", "".join(map(chr, range(300)))]
+    plain = [sum(c < "\x80" for c in t) / len(t) if t else 0.0 for t in cases]
+    assert _map(spark, cases, X.ascii_ratio) == plain
+    assert "regexp" not in str(X.ascii_ratio(F.col("t")))
+
+
+def test_boilerplate_is_tried_at_the_line_start_alone(spark):
+    assert X.BOILERPLATE.startswith("(?iU)^(?:")
+    cases = [" Page 3 of 7", "see page 3 of 7", "a\nTable of Contents", "[x]", "y [x]", "the table of contents", "ALL RIGHTS RESERVED by us", "not all rights reserved"]
+    assert _map(spark, cases, X.is_boilerplate) == [True, False, False, True, False, False, True, False]
+
+
+def test_lines_of_texts_with_rare_breaks(spark):
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(["", "a\nb\n", "a\r\nb", "a\rb\x0bc\x0cd\x1ce\x1df\x1eg\x85h\u2028i\u2029j", "\n\r\n\n", "a\u0084b\nc"])], "i int, t string")
+    got = {r.i: r.x for r in df.select("i", X.split_lines(F.col("t")).alias("x")).collect()}
+    assert got == {0: [""], 1: ["a", "b", ""], 2: ["a", "b"], 3: list("abcdefghij"), 4: ["", "", "", ""], 5: ["a\u0084b", "c"]}
